@@ -50,6 +50,20 @@ def discard(df: DataFrame) -> None:
         where.getFileSystem(conf).delete(where, True)
 
 
+def held(value: Column) -> Column:
+    """value, as an expression that isn't deterministic in the optimizer's eyes.
+
+    The optimizer then neither copies it into the filters and lambdas that use
+    its column nor pushes those filters below it, so it is computed once a row.
+    """
+    return F.when(F.rand(0) < 2, value)
+
+
+def let(value: Column, body) -> Column:
+    """body(value), where value is computed once however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def words_of(text: Column) -> Column:
     """Words of a text, in order; a null text has none."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))

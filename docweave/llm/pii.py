@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import held
+
 BEFORE, AFTER = 48, 24
 OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
@@ -98,6 +100,7 @@ def with_spans(docs: DataFrame, text_col: str = "text", least_score: float = 0.6
         x = x.withColumn(f"_m{no}", F.when(hint, F.regexp_extract_all("_text", F.lit(k.pattern), F.lit(0))).otherwise(empty))
     for no, k in enumerate(KINDS):
         x = x.withColumn(f"_p{no}", F.when(F.size(f"_m{no}") > 0, F.split("_text", k.pattern, -1)).otherwise(empty))
+    x = x.select(*own, *[held(F.col(f"_{c}{no}")).alias(f"_{c}{no}") for no in range(len(KINDS)) for c in "mp"])
     x = x.select(*own, *[_spans(F.col("_text"), F.col(f"_p{no}"), F.col(f"_m{no}"), no).alias(f"_s{no}") for no in range(len(KINDS))])
     x = x.select(*own, F.concat(*[F.col(f"_s{no}") for no in range(BASE)]).alias("_base"), F.concat(*[F.col(f"_s{no}") for no in range(BASE, len(KINDS))]).alias("_more"))
     free = F.filter("_more", lambda e: (e["score"] >= least_score) & ~F.exists("_base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, words_of
+from .common import held, let, materialise, words_of
 
 SYMBOLS = "[#*$%&|<>]"
 #: measure -> (bins from the counts, least spread in bins, bound that thresholds don't go below)
@@ -36,9 +36,21 @@ def _repeat_words(words: Column) -> Column:
     are repeats.  The places of repeats, sorted, cover 3 words each, less what
     the one before already covers.  (64-bit hashes of windows of one text.)
     """
-    n = F.size(words)
-    windows = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))).otherwise(F.array().cast("array<bigint>"))
-    return windows
+    windows = F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
+    pairs = lambda w: F.array_sort(F.transform(w, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    same = lambda s, e, i: F.coalesce(F.get(s, i)["h"] == e["h"], F.lit(False))
+    twice = lambda s: F.filter(s, lambda e, i: same(s, e, F.when(i > 0, i - 1)) | same(s, e, i + 1))
+    places = lambda s: F.array_sort(F.transform(twice(s), lambda e: e["i"]))
+    covered = lambda at: F.aggregate(at, F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")), lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n")), lambda a: a["n"])
+    repeats = lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0).cast("long")).otherwise(let(let(pairs(w), places), covered))
+    return F.when(F.size(words) < 3, F.lit(0).cast("long")).otherwise(let(windows, repeats))
+
+
+def _measured(text: Column) -> Column:
+    lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^ \t-\r]"))
+    of_words = lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.aggregate(w, F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("word_chars"), _repeat_words(w).alias("n_repeat_words"))
+    of_lines = lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
+    return F.struct(let(words_of(text), of_words).alias("w"), let(lines, of_lines).alias("l"), F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"))
 
 
 def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -46,25 +58,9 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     Columns of these names that docs has already are replaced.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    x = docs.withColumn("_words", words_of(F.col(text_col)))
-    x = x.withColumn("_lines", F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^ \t-\r]")))
-    x = x.withColumn("_w3", _repeat_words(F.col("_words")))
-    pairs = F.transform(F.col("_w3"), lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    some = F.size(F.array_distinct("_w3")) < F.size("_w3")
-    x = x.withColumn("_sorted", F.when(some, F.array_sort(pairs)).otherwise(F.lit(None)))
-    s = F.col("_sorted")
-    twice = F.filter(s, lambda e, i: ((i > 0) & (F.get(s, i - 1)["h"] == e["h"])).__or__(F.coalesce(F.get(s, i + 1)["h"] == e["h"], F.lit(False))))
-    x = x.withColumn("_at", F.array_sort(F.transform(twice, lambda e: e["i"])))
-    at = F.col("_at")
-    covered = F.aggregate(F.transform(at, lambda p, i: F.when(i == 0, 3).otherwise(F.least(F.lit(3), p - F.get(at, i - 1)))), F.lit(0).cast("long"), lambda a, b: a + b)
-    x = x.withColumn("n_words", F.size("_words").cast("long"))
-    x = x.withColumn("word_chars", F.aggregate("_words", F.lit(0).cast("long"), lambda a, w: a + F.length(w)))
-    x = x.withColumn("n_symbols", F.regexp_count(text, F.lit(SYMBOLS)).cast("long"))
-    x = x.withColumn("n_lines", F.size("_lines").cast("long"))
-    x = x.withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
-    x = x.withColumn("n_repeat_words", F.when(F.col("_sorted").isNull(), F.lit(0)).otherwise(covered).cast("long"))
-    return x.drop("_words", "_lines", "_w3", "_sorted", "_at")
+    x = docs.withColumn("_m", held(_measured(F.coalesce(F.col(text_col), F.lit("")))))
+    x = x.withColumns({c: F.col(f"_m.w.{c}") for c in ("n_words", "word_chars", "n_repeat_words")} | {c: F.col(f"_m.l.{c}") for c in ("n_lines", "n_dup_lines")} | {"n_symbols": F.col("_m.n_symbols")})
+    return x.drop("_m")
 
 
 def base_failed() -> Column:
