@@ -5,8 +5,9 @@ shingle hashes have it.  Two fingerprints within ``max_distance`` bits link.
 Fingerprints are cut into segments; if two differ in at most d bits, then in
 one of m segments they differ in at most d // m.  Every distinct fingerprint is
 put into a table once for each segment, and looks up all values within that
-small Hamming ball around its own segment; what it meets is verified by the
-distance of the whole fingerprints.
+small Hamming ball around its own segment (one bit less in the segments that
+can do with that); what it meets is verified by the distance of the whole
+fingerprints.
 
 Copies: equal fingerprints are one entry however many documents have them.
 Crowded table entries: where more than ``crowd`` distinct fingerprints share a
@@ -23,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, materialise
@@ -82,14 +83,22 @@ def _longs(values: list[int]) -> Column:
     return F.array(*[F.lit(v).cast("long") for v in values])
 
 
-def _keyed(fps: DataFrame, m: int, radius: int, extra: list[str] = ()) -> DataFrame:
-    """(seg, key, fp, ...): for each segment, the values within ``radius`` bits of the fingerprint's own."""
+def _keyed(fps: DataFrame, m: int, radii: list[int]) -> DataFrame:
+    """(key, fp): for each segment, its own value and those that up to radii[segment] bits set in place of 0 make of it.
+
+    Bits are only set, never cleared: of two segments that differ in one bit,
+    the one that has 0 there finds the other.  (From two bits on, all masks
+    are taken, as bits may differ either way.)
+    """
     parts = []
     for no, (lo, width) in enumerate(_segments(m)):
-        own = ((1 << width) - 1) << lo
-        own = own - (1 << BITS) if own >> (BITS - 1) else own
-        key = F.explode(F.transform(_longs(_ball(lo, width, radius)), lambda x, own=own: F.col("fp").bitwiseAND(F.lit(own)).bitwiseXOR(x)))
-        parts.append(fps.select(F.lit(no).alias("seg"), key.alias("key"), "fp", *extra))
+        own = F.shiftrightunsigned(F.col("fp"), lo).bitwiseAND(F.lit((1 << width) - 1 if width < BITS else -1).cast("long"))
+        tag = F.lit(no << width).cast("long") if width < 62 else F.lit(0).cast("long")
+        masks = _longs(_ball(0, width, radii[no]))
+        if radii[no] == 1:
+            masks = F.filter(masks, lambda x: own.bitwiseAND(x) == 0)
+        key = F.transform(masks, lambda x: own.bitwiseXOR(x) + tag)
+        parts.append(fps.select(F.explode(key).alias("key"), "fp"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -102,16 +111,19 @@ def near_pairs(fps: DataFrame, max_distance: int = 2, segments: int = 2, crowd:
     Pairs met through table entries of at most ``crowd`` fingerprints are all
     returned; among crowds a pair may be joined through other links instead.
     """
-    radius = max_distance // segments
-    table = _keyed(fps, segments, 0)
-    counts = table.groupBy("seg", "key").agg(F.count("*").alias("n"))
-    entries = table.join(counts, ["seg", "key"])
-    entries = entries.where(F.col("n") <= crowd).select("seg", "key", F.col("fp").alias("other")).unionByName(
-        counts.where(F.col("n") > crowd).select("seg", "key", F.lit(None).cast("long").alias("other"))
+    # If max_distance = q * segments + r, then some of the first r + 1 segments differ in at most q bits or some other one in at most q - 1.
+    q, r = divmod(max_distance, segments)
+    radii = [q if no <= r else q - 1 for no in range(segments)]
+    table = _keyed(fps, segments, [0] * segments)
+    counts = table.groupBy("key").agg(F.count("*").alias("n"))
+    entries = table.join(counts, "key")
+    entries = entries.where(F.col("n") <= crowd).select("key", F.col("fp").alias("other")).unionByName(
+        counts.where(F.col("n") > crowd).select("key", F.lit(None).cast("long").alias("other"))
     )
-    met = _keyed(fps, segments, radius).join(entries, ["seg", "key"])
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_distance
-    met = materialise(met.where(F.col("other").isNull() | ((F.col("fp") < F.col("other")) & near)).select("fp", "other").distinct(), "simhash-met")
+    met = _keyed(fps, segments, [max(0, x) for x in radii]).join(entries, "key")
+    near = (F.col("fp") != F.col("other")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_distance)
+    met = met.where(F.col("other").isNull() | near).select(F.least("fp", "other").alias("fp"), F.when(F.col("other").isNotNull(), F.greatest("fp", "other")).alias("other"))
+    met = materialise(met.distinct(), "simhash-met")
     pairs = met.where("other is not null").select(F.col("fp").alias("a"), F.col("other").alias("b"))
     crowded = met.where("other is null").select("fp")
     return pairs.unionByName(_crowd_edges(crowded, max_distance))
@@ -136,6 +148,15 @@ def _crowd_edges(fps: DataFrame, max_distance: int) -> DataFrame:
     return one.where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance)).distinct()
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_distance: int, segments: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, text_hash, fp) of docs, and (fp, root, least) of fingerprints: their component's least fingerprint, their least id."""
+    text = F.col(text_col)
+    thin = materialise(docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), fingerprint_column(text, shingle).alias("fp")), "simhash-fp")
+    fps = thin.groupBy("fp").agg(F.min("id").alias("least"))
+    roots = components(near_pairs(fps.select("fp"), max_distance, segments, crowd), "simhash-cc")
+    return thin, fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 2, segments: int = 2, crowd: int = 64) -> DataFrame:
     """One row per row of docs: (id, fingerprint as 16 hex digits, component_id).
 
@@ -146,10 +167,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     all of its ids are null.  No rows in, no rows out.  Other columns are
     ignored, so clashing names do no harm.
     """
-    thin = materialise(docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), shingle).alias("fp")), "simhash-fp")
-    fps = thin.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = components(near_pairs(fps.select("fp"), max_distance, segments, crowd), "simhash-cc")
-    rooted = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    thin, rooted = _grouped(docs, id_col, text_col, shingle, max_distance, segments, crowd)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_fp = rooted.join(least, "root").select("fp", "component_id")
     return thin.join(of_fp, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 2, segments: int = 2, crowd: int = 64) -> DataFrame:
+    """docs with one row of each component: that of the least id, a null one last.
+
+    Rows of one id are told apart by a hash of their texts; of rows that
+    repeat id and text one stays.
+    """
+    thin, rooted = _grouped(docs, id_col, text_col, shingle, max_distance, segments, crowd)
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("first")
+    # Copies first come down to one row per fingerprint, then fingerprints to one per component.
+    per_fp = thin.groupBy("fp").agg(first)
+    keep = per_fp.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    keep = keep.select(F.col("first.id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+    kept = docs.withColumn("_text_hash", F.xxhash64(F.col(text_col))).join(keep, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")))
+    place = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy("_hash"))
+    return kept.withColumn("_place", place).where("_place = 1").select(*docs.columns)
