@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, pii, quality, simhash
+from . import chat, embeddings, mixing, packing, pii, quality, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(_read(spark, sf_dir, "documents"))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(chat.planted(_read(spark, sf_dir, "conversations")))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_read(spark, sf_dir, "documents"))
 
@@ -29,12 +33,16 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op5_best_fit_packing, op6_source_mixing, op7_simhash, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_pii, op3_chat_formatting, op5_best_fit_packing, op6_source_mixing, op7_simhash, op9_embedding_dedup, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -266,7 +266,7 @@ def test_lower_bound(sizes):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text(alphabet=st.sampled_from(list("abBZ'sdt9# \n\t\x0b\x1c\x85 éÉßİıΣςé中😀ﬀ_-<|>") + ["<|endoftext|>", "'ll", "²"]), max_size=30))
+@given(st.lists(st.sampled_from([*"abBZ'sdt9# \n\t\x0b\x1c\x85 éÉßİıΣςé中😀ﬀ_-<|>", "<|endoftext|>", "'ll", "²"]), max_size=30).map("".join))
 def test_tokenizer(text):
     import public_tokenizers
     from tokenizers import Tokenizer
