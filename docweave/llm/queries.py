@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, embeddings, mixing, packing, pii, quality, simhash
+from . import chat, embeddings, mixing, packing, pii, quality, simhash, substring
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.planted(_read(spark, sf_dir, "conversations")))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(_read(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_read(spark, sf_dir, "documents"))
 
@@ -42,7 +46,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op3_chat_formatting, op5_best_fit_packing, op6_source_mixing, op7_simhash, op9_embedding_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_pii, op3_chat_formatting, op4_substring_dedup, op5_best_fit_packing, op6_source_mixing, op7_simhash, op9_embedding_dedup, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
