@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, embeddings, mixing, packing, pii, quality, simhash, substring
+from . import chat, embeddings, mixing, packing, pii, quality, simhash, substring, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(_read(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_read(spark, sf_dir, "pages"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.planted(_read(spark, sf_dir, "conversations")))
 
@@ -46,7 +50,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op3_chat_formatting, op4_substring_dedup, op5_best_fit_packing, op6_source_mixing, op7_simhash, op9_embedding_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_pii, op2_warc, op3_chat_formatting, op4_substring_dedup, op5_best_fit_packing, op6_source_mixing, op7_simhash, op9_embedding_dedup, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
