@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, embeddings, mixing, packing, pii, quality, simhash, substring, warc
+from . import chat, embeddings, licenses, mixing, packing, pii, quality, simhash, substring, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digests(_read(spark, sf_dir, "documents"))
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(_read(spark, sf_dir, "embeddings"))
 
@@ -50,7 +54,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_warc, op3_chat_formatting, op4_substring_dedup, op5_best_fit_packing, op6_source_mixing, op7_simhash, op9_embedding_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_pii, op2_warc, op3_chat_formatting, op4_substring_dedup, op5_best_fit_packing, op6_source_mixing, op7_simhash, op8_license_scan, op9_embedding_dedup, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
