@@ -1 +1 @@
-"""Document-to-graph analytics on Spark DataFrames."""
+"""Column functions: text normalisation, similarity, reading of completion replies."""

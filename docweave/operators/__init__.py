@@ -1 +1 @@
-"""Document-to-graph analytics on Spark DataFrames."""
+"""Operators from documents to a graph: chunking, extraction, resolution, validation, graph upserts, evaluation."""

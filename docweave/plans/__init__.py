@@ -1 +1 @@
-"""Document-to-graph analytics on Spark DataFrames."""
+"""Whole plans made of operators."""

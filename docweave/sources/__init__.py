@@ -1 +1 @@
-"""Document-to-graph analytics on Spark DataFrames."""
+"""Sources and sinks: documents, JSON lines, settings, output tables."""

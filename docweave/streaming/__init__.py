@@ -1 +1 @@
-"""Document-to-graph analytics on Spark DataFrames."""
+"""The stateless part of the plan on streams, and upserts of their batches."""
