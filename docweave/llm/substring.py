@@ -2,10 +2,12 @@
 
 A window is ``window`` consecutive words of one document.  Its minimiser is
 the least of the hashes of its runs of ``run`` words; equal windows have equal
-minimisers.  Consecutive windows with one minimiser travel as one packed
-string of words to that minimiser's bucket, so each word is sent about three
-times instead of 35.  In a bucket windows are sorted by hash, and windows of
-equal hash compared word by word, which counts them exactly.
+minimisers.  Consecutive windows with one minimiser, a super-k-mer, go to that
+minimiser's bucket, in two rounds.  First only their places go: a super-k-mer
+whose minimiser nobody else has can't hold a repeated window.  Then those that
+are left travel as one packed string of words each.  In a bucket windows are
+sorted by hash, and windows of equal hash compared word by word, which counts
+them exactly.
 
 Hot groups.  Runs that make up more than one in ``heavy`` of all runs are found
 first, with mergeable summaries of bounded size (what survives has at least a
@@ -15,6 +17,7 @@ that one, so the windows around a very common passage spread by what differs in
 them.  What is left of a common passage is the same string everywhere: a batch
 sends it once.  Documents in which it occurs needn't go to its bucket once the
 batch alone has it twice; they go to buckets of their own, marked as repeated.
+The first round does the same with minimisers.
 """
 
 from __future__ import annotations
@@ -55,12 +58,62 @@ class _Hashes(dict):
 
 
 def _run_hashes(words: np.ndarray, run: int) -> np.ndarray:
-    out = np.zeros(len(words) - run + 1, np.uint64)
+    out = np.zeros(max(0, len(words) - run + 1), np.uint64)
     for k in range(run):
         out = out * MULTIPLIER + words[k : len(words) - run + 1 + k]
     return _mix(out)
 
 
+class _Batch:
+    """Words of several documents, one after the other."""
+
+    def __init__(self, hashes: _Hashes):
+        self.hashes, self.parts, self.sizes, self.keys, self.bytes = hashes, [], [], [], 0
+
+    def add(self, text: str | None, key: tuple = ()) -> int:
+        data = (text or "").encode("utf-8", "surrogatepass")
+        words = data.split()
+        self.parts.append(np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words)))
+        self.sizes.append(len(words))
+        self.keys.append(key)
+        self.bytes += len(data)
+        return len(data)
+
+    def runs(self, run: int) -> np.ndarray:
+        """Hashes of the runs within documents."""
+        words, sizes = np.concatenate(self.parts), np.array(self.sizes)
+        out = _run_hashes(words, run)
+        ends = np.cumsum(sizes)
+        left = np.repeat(ends, sizes)[: len(out)] - np.arange(len(out))
+        return out[left >= run]
+
+    def super_kmers(self, window: int, run: int, heavy: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(document, minimiser, first window, number of windows) of each super-k-mer."""
+        words, sizes = np.concatenate(self.parts), np.array(self.sizes)
+        if len(words) < window:
+            return (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        runs = _run_hashes(words, run)
+        order = runs >> np.uint64(1)
+        if len(heavy):
+            at = np.minimum(np.searchsorted(heavy, runs), len(heavy) - 1)
+            order |= (heavy[at] == runs).astype(np.uint64) << np.uint64(63)
+        # The low bits hold the place, so that a super-k-mer ends where its minimiser is met again further on: two
+        # equal windows are then never in one super-k-mer.
+        place = np.uint64((1 << 20) - 1)
+        least = _least((order & ~place) | (np.arange(len(order), dtype=np.uint64) & place), window - run + 1)
+        doc = np.repeat(np.arange(len(sizes)), sizes)[: len(least)]
+        ends = np.cumsum(sizes)
+        inside = ends[doc] - np.arange(len(least)) >= window
+        first = np.ones(len(least), bool)
+        first[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1]) | (inside[1:] != inside[:-1])
+        starts = np.flatnonzero(first)
+        n = np.diff(np.append(starts, len(least)))
+        use = inside[starts]
+        starts, n = starts[use], n[use]
+        doc = doc[starts]
+        return doc, _mix(least[starts] & ~place), starts - (ends - sizes)[doc], n
+
+
 def _least(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` consecutive values, by doubling."""
     have = 1
@@ -82,34 +135,29 @@ def heavy_runs(docs: DataFrame, window: int, run: int, heavy: int, text_col: str
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, size = _Hashes(), 0
-        keys, counts, waiting, held = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
-        total = 0
+        hashes, size, total = _Hashes(), 0, 0
+        keys, counts, now = np.zeros(0, np.uint64), np.zeros(0, np.int64), _Batch(hashes)
 
         def merge() -> None:
-            nonlocal keys, counts, waiting, held
-            k, n = np.unique(np.concatenate(waiting), return_counts=True) if waiting else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            # Runs seen once in a large batch are summarised like all others: by what stays after the cut below.
+            nonlocal keys, counts, now, total
+            if not now.sizes:
+                return
+            runs = now.runs(run)
+            k, n = np.unique(runs, return_counts=True)
+            total += len(runs)
+            now = _Batch(hashes)
             allk = np.concatenate([keys, k])
             keys, where = np.unique(allk, return_inverse=True)
             counts = np.bincount(where, np.concatenate([counts, n]), len(keys)).astype(np.int64)
             if len(keys) > 2 * heavy:
                 cut = np.partition(counts, len(counts) - 2 * heavy - 1)[len(counts) - 2 * heavy - 1]
                 keys, counts = keys[counts > cut], counts[counts > cut] - cut
-            waiting, held = [], 0
 
         for batch in batches:
             for text in batch.column(0):
-                data = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                size += len(data)
-                words = data.split()
-                if len(words) >= window:
-                    r = _run_hashes(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), run)
-                    total += len(r)
-                    waiting.append(r)
-                    held += len(r)
-                    if held > 1 << 20:
-                        merge()
+                size += now.add(text.as_py())
+                if now.bytes > BATCH_BYTES:
+                    merge()
         merge()
         large = counts >= max(2, total // (4 * heavy))
         keys, counts = keys[large], counts[large]
@@ -122,15 +170,85 @@ def heavy_runs(docs: DataFrame, window: int, run: int, heavy: int, text_col: str
     return np.sort(np.array([r.run for r in top], np.int64).view(np.uint64)), whole.get(0, 0)
 
 
-#: What travels: a string of words to its bucket (where it starts in its document, unless the batch has it several times), or ranges known to be repeated.
-PARCEL = "bucket int, words binary, doc_id long, no_id boolean, text_hash long, start int, n int"
+#: First round: super-k-mers of a batch for one bucket, as arrays of PLACE; those marked known have company already.
+PLACE = np.dtype([("minimiser", "<u8"), ("doc_id", "<i8"), ("text_hash", "<i8"), ("start", "<i4"), ("n", "<i4"), ("no_id", "u1"), ("known", "u1")])
+KEY = ["no_id", "doc_id", "text_hash"]
 
 
-def _parcels(docs: DataFrame, window: int, run: int, heavy: np.ndarray, buckets: int) -> DataFrame:
-    """docs (doc_id, no_id, text_hash, text) as super-k-mers."""
+def _places(docs: DataFrame, window: int, run: int, heavy: np.ndarray, buckets: int) -> DataFrame:
+    """(bucket, places) of docs (doc_id, no_id, text_hash, text)."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
+        now = _Batch(hashes)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            doc, minimiser, start, n = now.super_kmers(window, run, heavy) if now.sizes else [np.zeros(0, int)] * 4
+            out = np.zeros(len(doc), PLACE)
+            keys = np.array(now.keys, [("doc_id", "<i8"), ("no_id", "u1"), ("text_hash", "<i8")])[doc]
+            for c in KEY:
+                out[c] = keys[c]
+            out["minimiser"], out["start"], out["n"] = minimiser, start, n
+            _, which, count = np.unique(minimiser, return_inverse=True, return_counts=True)
+            bucket = (out["minimiser"] % np.uint64(buckets)).astype(np.int64)
+            several = count[which] > 1
+            # One of several stands for them in the bucket; all of them go elsewhere, by document.
+            _, one = np.unique(which[several], return_index=True)
+            lead = out[several][one]
+            lead["no_id"] = 2
+            out["known"] = several
+            bucket[several] = ((out["text_hash"][several] ^ out["doc_id"][several]).view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+            out, bucket = np.concatenate([out, lead]), np.concatenate([bucket, (lead["minimiser"] % np.uint64(buckets)).astype(np.int64)])
+            order = np.argsort(bucket, kind="stable")
+            out, bucket = out[order], bucket[order]
+            cuts = np.flatnonzero(np.diff(bucket)) + 1
+            parts = np.split(out, cuts) if len(out) else []
+            at = bucket[np.concatenate([[0], cuts])] if len(out) else []
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names=["bucket", "places"])
+
+        for batch in batches:
+            for doc_id, no_id, text_hash, text in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+                now.add(text.as_py(), (doc_id or 0, no_id, text_hash))
+                if now.bytes > BATCH_BYTES:
+                    yield from flush()
+                    now = _Batch(hashes)
+        yield from flush()
+
+    return docs.select("doc_id", "no_id", "text_hash", "text").mapInArrow(send, "bucket int, places binary")
+
+
+def _by_document(found: np.ndarray) -> pa.Table:
+    """Rows (no_id, doc_id, text_hash, places) of PLACE entries, one for each document."""
+    found = found[np.lexsort([found["start"], *(found[c] for c in reversed(KEY))])]
+    cut = np.flatnonzero(np.any([found[c][1:] != found[c][:-1] for c in KEY], axis=0)) + 1 if len(found) else np.zeros(0, int)
+    first = np.concatenate([[0], cut]).astype(int) if len(found) else []
+    head = found[first]
+    parts = np.split(found, cut) if len(found) else []
+    return pa.table({"no_id": pa.array(head["no_id"] == 1), "doc_id": pa.array(head["doc_id"]), "text_hash": pa.array(head["text_hash"]), "places": pa.array([x[["minimiser", "start", "n"]].copy().astype(SPAN).tobytes() for x in parts], pa.binary())})
+
+
+SPAN = np.dtype([("minimiser", "<u8"), ("start", "<i4"), ("n", "<i4")])
+
+
+def _in_company(table: pa.Table) -> pa.Table:
+    """Super-k-mers of a bucket whose minimiser another one has too."""
+    all_ = np.frombuffer(b"".join(table.column("places").to_pylist()), PLACE)
+    known, rest = all_[all_["known"] == 1], all_[all_["known"] == 0]
+    _, which, count = np.unique(rest["minimiser"], return_inverse=True, return_counts=True)
+    crowd = np.zeros(len(count), np.int64)
+    np.add.at(crowd, which, np.where(rest["no_id"] == 2, 2, 1))
+    rest = rest[(crowd[which] > 1) & (rest["no_id"] != 2)]
+    return _by_document(np.concatenate([known, rest]))
+
+
+#: Second round: a string of words to its bucket (where it starts in its document, unless the batch has it several times), or ranges known to be repeated.
+PARCEL = "bucket int, words binary, doc_id long, no_id boolean, text_hash long, start int, n int"
+
+
+def _parcels(docs: DataFrame, window: int, buckets: int) -> DataFrame:
+    """docs (doc_id, no_id, text_hash, text, places) as packed strings."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings: dict[bytes, list] = {}
         held = 0
 
@@ -149,34 +267,23 @@ def _parcels(docs: DataFrame, window: int, run: int, heavy: np.ndarray, buckets:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["bucket", "words", "doc_id", "no_id", "text_hash", "start", "n"])
 
         for batch in batches:
-            for doc_id, no_id, text_hash, text in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
-                words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
-                if len(words) < window:
-                    continue
-                runs = _run_hashes(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), run)
-                order = runs >> np.uint64(1)
-                if len(heavy):
-                    at = np.minimum(np.searchsorted(heavy, runs), len(heavy) - 1)
-                    order = order | ((heavy[at] == runs).astype(np.uint64) << np.uint64(63))
-                least = _least(order, window - run + 1)
-                cuts = np.flatnonzero(least[1:] != least[:-1]) + 1
-                starts = np.concatenate([[0], cuts])
-                ends = np.concatenate([cuts, [len(least)]])
-                at = (_mix(least[starts]) % np.uint64(buckets)).astype(np.int64).tolist()
-                for a, b, bucket in zip(starts.tolist(), ends.tolist(), at):
-                    s = b" ".join(words[a : b + window - 1])
+            for doc_id, no_id, text_hash, text, places in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3), batch.column(4)):
+                words = text.as_py().encode("utf-8", "surrogatepass").split()
+                spans = np.frombuffer(b"".join(places.as_py()), SPAN)
+                for minimiser, a, n in spans.tolist():
+                    s = b" ".join(words[a : a + n + window - 1])
                     held += len(s)
-                    place = (doc_id, no_id, text_hash, a, b - a)
+                    place = (doc_id, no_id, text_hash, a, n)
                     if s in strings:
                         strings[s][1].append(place)
                     else:
-                        strings[s] = (bucket, [place])
+                        strings[s] = (minimiser % buckets, [place])
                 if held > BATCH_BYTES:
                     yield from flush()
                     held = 0
         yield from flush()
 
-    return docs.select("doc_id", "no_id", "text_hash", "text").mapInArrow(send, PARCEL)
+    return docs.where("places is not null").select("doc_id", "no_id", "text_hash", "text", "places").mapInArrow(send, PARCEL)
 
 
 RANGES = "doc_id long, no_id boolean, text_hash long, ranges binary"
@@ -277,15 +384,16 @@ def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
     both are repetitions of each other and share their ranges.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    keyed = own.withColumn("no_id", F.col("doc_id").isNull()).withColumn("text_hash", F.xxhash64("text"))
+    keyed = own.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), F.xxhash64("text").alias("text_hash"), "text")
     heavies, size = heavy_runs(own, window, run, heavy)
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
-    parcels = _parcels(keyed, window, run, heavies, buckets)
-    ranges = parcels.groupBy("bucket").applyInArrow(lambda table: _bucket(table, window), RANGES)
-    whole = ranges.groupBy("doc_id", "no_id", "text_hash").agg(F.collect_list("ranges").alias("ranges"))
-    whole = whole.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("no_id").alias("_no_id"), F.col("text_hash").alias("_hash"), "ranges")
-    match = (F.coalesce(F.col("doc_id"), F.lit(0)) == F.col("_id")) & (F.col("no_id") == F.col("_no_id")) & (F.col("text_hash") == F.col("_hash"))
-    return keyed.join(whole, match, "left").select("doc_id", "text", "ranges")
+    per_document = lambda rows, name: rows.groupBy(*KEY).agg(F.collect_list(name).alias(name))
+    places = _places(keyed, window, run, heavies, buckets).groupBy("bucket").applyInArrow(_in_company, "no_id boolean, doc_id long, text_hash long, places binary")
+    # Texts are dealt by document once, for both joins.
+    placed = keyed.join(per_document(places, "places"), KEY, "left")
+    ranges = _parcels(placed, window, buckets).groupBy("bucket").applyInArrow(lambda table: _bucket(table, window), RANGES)
+    out = placed.join(per_document(ranges, "ranges"), KEY, "left")
+    return out.select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "text", "ranges")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
