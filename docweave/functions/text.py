@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,8 +65,6 @@ def folded(c: Column) -> Column:
 
 def folded_exact(c: Column) -> Column:
     """Full Unicode case folding, in Arrow batches; for texts beyond what folded() covers."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def fold(s: pd.Series) -> pd.Series:
         return s.map(lambda x: x if x is None else x.casefold())
