@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import held, materialise
 
 WINDOW, RUN, HEAVY = 35, 8, 1 << 16
 #: Bytes of text that a batch holds, and that a bucket is planned for.
@@ -283,7 +283,9 @@ def _parcels(docs: DataFrame, window: int, buckets: int) -> DataFrame:
                     held = 0
         yield from flush()
 
-    return docs.where("places is not null").select("doc_id", "no_id", "text_hash", "text", "places").mapInArrow(send, PARCEL)
+    # held() keeps the filter above the join that docs comes from, whose shuffle of texts then serves the last join as well.
+    some = docs.withColumn("places", held(F.col("places"))).where("places is not null")
+    return some.select("doc_id", "no_id", "text_hash", "text", "places").mapInArrow(send, PARCEL)
 
 
 RANGES = "doc_id long, no_id boolean, text_hash long, ranges binary"
@@ -389,10 +391,10 @@ def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     per_document = lambda rows, name: rows.groupBy(*KEY).agg(F.collect_list(name).alias(name))
     places = _places(keyed, window, run, heavies, buckets).groupBy("bucket").applyInArrow(_in_company, "no_id boolean, doc_id long, text_hash long, places binary")
-    # Texts are dealt by document once, for both joins.
+    # Both joins deal the same columns by the same key, so texts are shuffled once.
     placed = keyed.join(per_document(places, "places"), KEY, "left")
     ranges = _parcels(placed, window, buckets).groupBy("bucket").applyInArrow(lambda table: _bucket(table, window), RANGES)
-    out = placed.join(per_document(ranges, "ranges"), KEY, "left")
+    out = keyed.join(per_document(ranges, "ranges"), KEY, "left")
     return out.select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "text", "ranges")
 
 
