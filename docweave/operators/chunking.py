@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.shared import held
 
 LOOK_BACK, LEAST_CUT, MARK = 800, 200, "\n\n"
 
@@ -52,7 +53,7 @@ def clean(docs: DataFrame, max_chars: int = 0) -> DataFrame:
     """docs (base, text) with normal line ends, cut to max_chars if that is positive, without empty ones."""
     text = T.newlines(F.col("text"))
     text = F.substring(text, 1, max_chars) if max_chars > 0 else text
-    return docs.withColumn("text", text).where(F.length("text") > 0)
+    return docs.withColumn("text", held(text)).where(F.length("text") > 0)
 
 
 def rule_chunks(docs: DataFrame, size: int = 4000, overlap: int = 300, max_chunks: int = 5000) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.shared import held
 
 
 def allowed_types(types: DataFrame) -> DataFrame:
@@ -68,7 +69,7 @@ def mentions_by_rule(chunks: DataFrame, pattern: str = "[A-Z][a-z]{4,}") -> Data
     Types follow from lengths, so that every part of a schema is met.
     """
     found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    x = chunks.select("base", F.col("chunk_id").alias("row_pos"), "chunk_id", found.alias("_m"))
+    x = chunks.select("base", F.col("chunk_id").alias("row_pos"), "chunk_id", held(found).alias("_m"))
     kind = lambda n, *names: F.element_at(F.array(*[F.lit(v) for v in names]), (F.pmod(n, F.lit(len(names))) + 1).cast("int"))
     entity = lambda m, i: F.struct(F.concat(F.lit("e"), i).alias("id"), kind(F.length(m), "Person", "Group", "Place", "Other").alias("type"), m.alias("name"), F.concat(F.lit('{"length": '), F.length(m), F.lit("}")).alias("attributes"), m.alias("evidence"))
     pair = lambda i: F.struct(F.concat(F.lit("e"), i).alias("source_id"), kind(F.length(F.get("_m", i)) + F.length(F.get("_m", i + 1)), "knows", "located in", "unlisted").alias("type"), F.concat(F.lit("e"), i + 1).alias("target_id"), F.concat_ws(" ", F.get("_m", i), F.get("_m", i + 1)).alias("evidence"))

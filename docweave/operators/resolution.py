@@ -19,7 +19,7 @@ import difflib
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity
@@ -125,9 +125,8 @@ def best_name(name: Column, order: Column) -> Column:
 
 def resolved(mentions: DataFrame) -> DataFrame:
     """mentions with their entity's global_id: type and slug of the entity's first name."""
-    ids = mentions.groupBy("base", "type", "leader").agg(F.min_by("name", "ord").alias("first_name"))
-    ids = ids.select("base", "type", "leader", F.concat("type", F.lit(":"), T.slug(F.col("first_name"))).alias("global_id"))
-    return mentions.join(ids, ["base", "type", "leader"])
+    first = F.min_by("name", "ord").over(Window.partitionBy("base", "type", "leader"))
+    return mentions.withColumn("global_id", F.concat("type", F.lit(":"), T.slug(first)))
 
 
 def merged_attributes(mentions: DataFrame) -> DataFrame:

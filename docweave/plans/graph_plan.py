@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import chunking, extraction, graph, resolution, validation
 from ..sources import documents, tables
 from ..sources.settings import Settings
+from ..sources.shared import stored
 
 #: Types of the rule backend that its schema allows.
 ENTITY_TYPES, RELATION_TYPES = ("Person", "Group", "Place"), ("knows", "located in")
@@ -40,8 +41,10 @@ def build(docs: DataFrame, settings: Settings = Settings(), extract: Callable[[D
     found = extract(extraction.first_rows(chunks, settings.extract_max_chunks, "chunk_id"))
     if settings.extract_strict:
         found = extraction.filter_to_schema(found, entity_types if entity_types is not None else names(spark, ENTITY_TYPES), relation_types if relation_types is not None else names(spark, RELATION_TYPES))
+    # Several branches read extractions and mentions; texts are scanned for them once.
+    found = stored(found, "extractions")
     mentions = extraction.entities(found)
-    mentions = resolution.resolved(resolution.fuzzy(mentions, settings.resolve_sim_high) if fuzzy else resolution.exact(mentions))
+    mentions = stored(resolution.resolved(resolution.fuzzy(mentions, settings.resolve_sim_high) if fuzzy else resolution.exact(mentions)), "mentions")
     entities = resolution.entities(mentions)
     relations = resolution.relations(extraction.relations(found), mentions)
     texts = validation.chunk_texts(chunks.withColumn("row_pos", F.col("chunk_id")))
