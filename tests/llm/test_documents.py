@@ -274,7 +274,9 @@ def test_tokenizer(text):
     global plain, ours
     if "ours" not in globals():
         plain, ours = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), packing.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"), 50)
-    assert np.frombuffer(ours(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    for got in ours.batch([text, "", text]):
+        assert got == b"" or np.frombuffer(got, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert ours.batch([text])[0] or not plain.encode(text, add_special_tokens=False).ids
 
 
 def test_empty_tables(none):
