@@ -20,10 +20,12 @@ through its least member where their distances allow it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,13 +35,29 @@ BITS = 64
 SEED = 42
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """Signed 64-bit fingerprint of one text; 0 without words."""
+def bit_counts(words: np.ndarray) -> np.ndarray:
+    """How many rows of words (n x k, 64-bit) have each bit, by carry-save adders: three rows become a sum and a carry."""
+    total, weight = np.zeros(words.shape[1] * 64, np.int64), 1
+    while len(words):
+        carries = []
+        while len(words) > 2:
+            m = len(words) // 3
+            a, b, c = words[:m], words[m : 2 * m], words[2 * m : 3 * m]
+            x = a ^ b
+            carries.append((a & b) | (c & x))
+            words = np.concatenate([x ^ c, words[3 * m :]])
+        total += weight * np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        words, weight = np.concatenate(carries) if carries else words[:0], 2 * weight
+    return total
+
+
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of each run of ``shingle`` words, lower-cased in ASCII and joined by spaces; of all words if there are fewer."""
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # on bytes both know ASCII only
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     line = b" ".join(words)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(sizes + 1) - 1
@@ -49,14 +67,28 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     else:
         starts, ends = starts[:1], ends[-1:]
     h = xxhash.xxh64_intdigest
-    total, block = np.zeros(BITS, np.int64), 1 << 15
-    for i in range(0, len(starts), block):
-        hashes = np.array([h(line[s:e], SEED) for s, e in zip(starts[i : i + block].tolist(), ends[i : i + block].tolist())], dtype="<u8")
-        total += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = (2 * total > len(starts)).astype(np.uint8)
+    return np.array([h(line[s:e], SEED) for s, e in zip(starts.tolist(), ends.tolist())], dtype="<u8")
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """Signed 64-bit fingerprint of one text; 0 without words."""
+    hashes = shingle_hashes(text, shingle)
+    bits = 2 * bit_counts(hashes[:, None]) > len(hashes)
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
+def wide_fingerprint(text: str | None, shingle: int, bits: int) -> bytes:
+    """A fingerprint of more than 64 bits: each hash goes on as a sequence of mixed ones."""
+    hashes = shingle_hashes(text, shingle)
+    more = [hashes]
+    for _ in range(bits // 64 - 1):
+        x = more[-1] + np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        more.append(x ^ (x >> np.uint64(31)))
+    return np.packbits(2 * bit_counts(np.stack(more, axis=1)) > len(hashes), bitorder="little").tobytes()
+
+
 def fingerprint_column(text: Column, shingle: int = 3) -> Column:
     """The fingerprint of whole texts, computed in Arrow batches."""
 
@@ -173,13 +205,97 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return thin.join(of_fp, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 2, segments: int = 2, crowd: int = 64) -> DataFrame:
+#: Wide fingerprints: bits, sampled segments, bits of a segment, members that a block compares, rows of a task.
+WIDE, TABLES, TABLE_BITS, BLOCK, TASK_ROWS = 512, 64, 22, 512, 16384
+
+
+def _compare(table: pa.Table, far: int) -> pa.Table:
+    """(fp, root) of members that are within ``far`` bits of another one of their bucket's blocks."""
+    names = ("t", "key", "i", "j")
+    cols = {n: table.column(n).to_numpy() for n in (*names, "fp", "block")}
+    order = np.lexsort([cols["fp"], *(cols[n] for n in reversed(names))])
+    cols = {n: c[order] for n, c in cols.items()}
+    wide = np.frombuffer(b"".join(table.column("wide").to_pylist()), "<u8").reshape(len(order), -1)[order]
+    changes = np.any([cols[n][1:] != cols[n][:-1] for n in names], axis=0) if len(order) else np.zeros(0, bool)
+    cuts = [0, *(np.flatnonzero(changes) + 1).tolist(), len(order)]
+    nodes, roots = [], []
+    for lo, hi in zip(cuts, cuts[1:]):
+        w = wide[lo:hi]
+        distance = np.zeros((hi - lo, hi - lo), np.int32)
+        for k in range(w.shape[1]):
+            distance += np.bitwise_count(w[:, None, k] ^ w[None, :, k])
+        near = np.triu(distance <= far, 1)
+        if cols["i"][lo] != cols["j"][lo]:
+            near &= cols["block"][lo:hi][:, None] != cols["block"][lo:hi][None, :]
+        a, b = np.nonzero(near)
+        root, before = np.arange(hi - lo), None
+        while len(a) and (before is None or (root != before).any()):
+            before = root.copy()
+            low = np.minimum(root[a], root[b])
+            np.minimum.at(root, a, low)
+            np.minimum.at(root, b, low)
+            root = root[root]
+        hit = np.flatnonzero(root != np.arange(hi - lo))
+        nodes += cols["fp"][lo:hi][hit].tolist()
+        roots += cols["fp"][lo:hi][root[hit]].tolist()
+    return pa.table({"fp": pa.array(nodes, pa.int64()), "root": pa.array(roots, pa.int64())})
+
+
+def _grouped_wide(docs: DataFrame, id_col: str, text_col: str, shingle: int, least: float) -> tuple[DataFrame, DataFrame]:
+    """As _grouped(), for documents whose shingles have a Jaccard similarity of about ``least`` or more.
+
+    That similarity is a cosine of 2 s / (1 + s) at least, and the angle's
+    share of a half turn is the share of differing bits: a tenth to a seventh,
+    more than small balls around segments of 64 bits reach.  So fingerprints
+    are longer and their segments many, sampled from all bits; of two at a
+    tenth, one of 64 segments of 22 bits is equal with probability 0.998, and
+    at the threshold of 0.8 with 0.83.  All pairs of a bucket are verified by
+    the whole fingerprint, block by block; a block returns links to roots.
+    """
+    spots = np.array([np.random.default_rng(SEED + t).choice(WIDE, TABLE_BITS, replace=False) for t in range(TABLES)])
+    far = int(WIDE * np.arccos(2 * least / (1 + least)) / np.pi)
+
+    @F.pandas_udf("binary")
+    def wide_of(texts: pd.Series) -> pd.Series:
+        return pd.Series([wide_fingerprint(t, shingle, WIDE) for t in texts], dtype=object)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, 1024) for i in range(0, len(batch), 1024)):
+                bits = np.unpackbits(np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
+                key = bits[:, spots].astype(np.int64) @ (1 << np.arange(TABLE_BITS))
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), TABLES)), pa.array(np.tile(np.arange(TABLES, dtype=np.int32), len(part))), pa.array(key.ravel())], names=["fp", "t", "key"])
+
+    text = F.col(text_col)
+    rows = materialise(docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), wide_of(text).alias("wide")).withColumn("fp", F.xxhash64("wide")), "simhash-wide")
+    fps = rows.groupBy("fp").agg(F.min("id").alias("least"), F.first("wide").alias("wide"))
+    index = materialise(fps, "simhash-index")
+    entries = index.select("fp", "wide").mapInArrow(keys, "fp long, t int, key long")
+    full = entries.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    members = entries.join(full, ["t", "key"]).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    members = materialise(members.select("t", "key", "i", "j", "block", "fp"), "simhash-members")
+    tasks = max(1, -(-members.count() // TASK_ROWS))
+    dealt = members.join(index.select("fp", "wide"), "fp").withColumn("task", F.pmod(F.xxhash64("t", "key", "i", "j"), F.lit(tasks)))
+    edges = dealt.groupBy("task").applyInArrow(lambda table: _compare(table, far), "fp long, root long")
+    roots = components(edges.select(F.col("fp").alias("a"), F.col("root").alias("b")), "simhash-cc")
+    rooted = index.select("fp", "least").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    return rows.select("id", "text_hash", "fp"), rooted
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 2, segments: int = 2, crowd: int = 64, similarity: float | None = None) -> DataFrame:
     """docs with one row of each component: that of the least id, a null one last.
 
+    With similarity, components are those of wide fingerprints at about that
+    Jaccard similarity of shingles or more, in place of max_distance bits of 64.
+
     Rows of one id are told apart by a hash of their texts; of rows that
     repeat id and text one stays.
     """
-    thin, rooted = _grouped(docs, id_col, text_col, shingle, max_distance, segments, crowd)
+    if similarity is None:
+        thin, rooted = _grouped(docs, id_col, text_col, shingle, max_distance, segments, crowd)
+    else:
+        thin, rooted = _grouped_wide(docs, id_col, text_col, shingle, similarity)
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("first")
     # Copies first come down to one row per fingerprint, then fingerprints to one per component.
     per_fp = thin.groupBy("fp").agg(first)
