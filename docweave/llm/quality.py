@@ -23,7 +23,7 @@ SYMBOLS = "[#*$%&|<>]"
 #: measure -> (bins from the counts, least spread in bins, bound that thresholds don't go below)
 MEASURES = {
     "symbols": ("1000 * n_symbols div greatest(n_words, 1)", 20, 100),
-    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 50, 300),
+    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 50, 500),
     "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 50, 300),
     "word_length": ("10 * word_chars div greatest(n_words, 1)", 5, 100),
 }
