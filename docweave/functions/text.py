@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 #: Characters that Unicode-aware stripping removes (fixed values).
 SPACES = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
-QUOTES = "“”\"'"
+QUOTES = "\u201c\u201d\"'"
 
 
 def _steps(value: Column, *steps: Callable[[Column], Column]) -> Column:
@@ -39,12 +39,12 @@ def newlines(c: Column) -> Column:
 
 def entity_name(c: Column) -> Column:
     """The form in which entity names are compared."""
-    return _steps(c, strip, F.lower, _sub("­", ""), one_spaced, _sub(f"[{QUOTES}]", ""), strip)
+    return _steps(c, strip, F.lower, _sub("\u00ad", ""), one_spaced, _sub(f"[{QUOTES}]", ""), strip)
 
 
 def eval_name(c: Column) -> Column:
     """The form in which names are scored: as entity_name, but backticks go too and ends aren't stripped again."""
-    return _steps(c, strip, F.lower, _sub("­", ""), one_spaced, _sub(f"[{QUOTES}`]", ""))
+    return _steps(c, strip, F.lower, _sub("\u00ad", ""), one_spaced, _sub(f"[{QUOTES}`]", ""))
 
 
 def slug(c: Column) -> Column:

@@ -51,6 +51,11 @@ def test_strip_is_python_strip(spark, values):
     assert apply(spark, T.strip, values) == [v.strip() for v in values]
 
 
+def test_all_spaces(spark):
+    every = "".join(chr(i) for i in range(0x10000) if chr(i).isspace())
+    assert apply(spark, T.strip, [every + "a" + every]) == ["a"] and apply(spark, T.one_spaced, ["a" + every + "b"]) == ["a b"]
+
+
 def test_replies():
     assert replies.first_json('x {"a":1} y') == {"a": 1}
     assert replies.first_json('{"a":1} and {"b":2}') is None
