@@ -1,9 +1,8 @@
+import random
 from collections import Counter
 
 import corpus_pipeline
 from docweave.llm import packing, simhash
-import random
-import re
 
 
 def test_stages(spark, odd, sf_dir):
