@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Characters that Unicode-aware stripping removes (fixed values).
-SPACES = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
+SPACES = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 QUOTES = "\u201c\u201d\"'"
 
 

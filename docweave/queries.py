@@ -33,11 +33,11 @@ def sql_strip(x: str) -> str:
 
 
 def sql_entity(x: str) -> str:
-    return sql_strip(rx(rx(rx(f"lower({sql_strip(x)})", "­"), f"{S}+", " "), "[“”\"']"))
+    return sql_strip(rx(rx(rx(f"lower({sql_strip(x)})", "\u00ad"), f"{S}+", " "), "[“”\"']"))
 
 
 def sql_eval(x: str) -> str:
-    return rx(rx(rx(f"lower({sql_strip(x)})", "­"), f"{S}+", " "), "[“”\"'`]")
+    return rx(rx(rx(f"lower({sql_strip(x)})", "\u00ad"), f"{S}+", " "), "[“”\"'`]")
 
 
 def sql_match(x: str) -> str:
