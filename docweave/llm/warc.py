@@ -16,10 +16,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held, materialise, new_path
+from .common import discard, held, materialise, new_path
 
 #: Fixed values of the format.
 VERSION, EOL, TERMINATOR = "WARC/1.1", "\r\n", "\r\n\r\n"
@@ -27,9 +27,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
 
 
-def base32_sha1(value: Column) -> Column:
-    """Upper-case base32 SHA-1 of a string's UTF-8 bytes: each five hex digits are four base32 digits."""
-    digest = F.sha1(value.cast("binary"))
+def base32(digest: Column) -> Column:
+    """Upper-case base32 of a SHA-1 in hex: each five hex digits are four base32 digits."""
     digits = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.lpad(F.conv(F.substring(digest, 5 * i + 1, F.lit(5)), 16, 32), 4, "0")), "")
     return F.translate(digits, "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
@@ -54,7 +53,7 @@ def transactions(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     read, so pages should be a table of files or otherwise come in fixed order.
     """
     rows = pages.select(F.col(id_col).alias("page"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"), F.monotonically_increasing_id().alias("row"))
-    rows = rows.withColumn("digest", held(base32_sha1(F.col("html")))).withColumn("bytes", F.octet_length("html").cast("long"))
+    rows = rows.withColumn("digest", held(F.sha1(F.col("html").cast("binary")))).withColumn("bytes", F.octet_length("html").cast("long"))
     groups = rows.where(F.col("bytes") >= least_bytes).groupBy("digest").agg(F.max(F.struct("page", "row")).alias("first"), F.count("*").alias("n"))
     # Most payloads are met once; only the others are looked up.
     x = rows.join(groups.where("n > 1").select("digest", F.col("first.row").alias("first_row")), "digest", "left")
@@ -71,7 +70,7 @@ def transactions(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     target = ("WARC-Target-URI", F.col("uri"))
     capture = _record(
         F.when(F.col("again"), "revisit").otherwise("response"), F.col("id"),
-        [target, ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))), ("WARC-Profile", F.when(F.col("again"), F.lit(PROFILE))), ("WARC-Refers-To", F.when(F.col("again"), F.col("original"))), ("Content-Type", F.lit("application/http; msgtype=response"))],
+        [target, ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32(F.col("digest")))), ("WARC-Profile", F.when(F.col("again"), F.lit(PROFILE))), ("WARC-Refers-To", F.when(F.col("again"), F.col("original"))), ("Content-Type", F.lit("application/http; msgtype=response"))],
         F.when(F.col("again"), http).otherwise(F.concat(http, F.col("html"))),
     )
     side = lambda kind, content, block: _record(kind, _urn(F.lit(kind), "row", "digest"), [target, ("WARC-Concurrent-To", F.col("id")), ("Content-Type", F.lit(content))], block)
@@ -79,7 +78,8 @@ def transactions(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
 
 def write(records: DataFrame, path: str, compression: str = "gzip", records_per_file: int = 60_000) -> None:
-    records.write.option("lineSep", TERMINATOR).option("compression", compression).option("maxRecordsPerFile", records_per_file).text(path)
+    # Pages are read back once or twice, so the fastest level is the cheapest.
+    records.write.option("lineSep", TERMINATOR).option("compression", compression).option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", records_per_file).text(path)
 
 
 def _by_length(spark: SparkSession, files: list[str]) -> DataFrame:
@@ -111,22 +111,36 @@ def _field(name: str) -> Column:
     return F.when(found != "", found)
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(head, block, file, fits) of what lies between the starts of records; fits: its length is what it says."""
+    raw = spark.read.option("lineSep", TERMINATOR + VERSION + EOL).text(path).select("value", F.col("_metadata.file_path").alias("file")).where("value <> ''")
+    # From here on bytes are cut, not characters: lengths are at hand and nothing is decoded.
+    first = len(VERSION + EOL)
+    x = raw.select("file", F.when(F.startswith("value", F.lit(VERSION + EOL)), F.substring(F.col("value").cast("binary"), first + 1, 1 << 30)).otherwise(F.col("value").cast("binary")).alias("data"))
+    x = x.withColumn("head", F.substring_index(F.col("data").cast("string"), TERMINATOR, 1))
+    x = x.select("head", "file", held(_after(F.col("data"), F.col("head"))).alias("block"))
+    over = F.octet_length("block") - F.regexp_extract(F.concat(F.lit(EOL), F.col("head")), r"(?i)\r\nContent-Length: *([0-9]+)", 1).try_cast("int")
+    # The last record of a file still has its terminator.
+    last = (over == 4) & (F.substring("block", F.octet_length("block") - 3, F.lit(4)) == F.lit(TERMINATOR).cast("binary"))
+    return x.select("file", "head", F.when(last, F.substring("block", F.lit(1), F.octet_length("block") - 4)).otherwise(F.col("block")).cast("string").alias("block"), F.coalesce((over == 0) | last, F.lit(False)).alias("fits"))
+
+
+def _after(data: Column, head: Column) -> Column:
+    """The bytes after a head and its blank line."""
+    return F.substring(data, F.octet_length(head) + 1 + len(TERMINATOR), F.octet_length(data))
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    return lines.select(_field("WARC-Type").alias("type"), _field("WARC-Record-ID").alias("record_id"), _field("WARC-Concurrent-To").alias("concurrent_to"), _field("WARC-Refers-To").alias("refers_to"), _field("WARC-Target-URI").alias("uri"), _field("WARC-Payload-Digest").alias("digest"), "block")
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Records (type, record_id, concurrent_to, refers_to, uri, digest, block) of all archives under path."""
-    raw = spark.read.option("lineSep", TERMINATOR + VERSION + EOL).text(path).select(F.regexp_replace("value", f"^{VERSION}\r\n".replace(".", r"\."), "").alias("value"), F.col("_metadata.file_path").alias("file"))
-    x = raw.withColumn("head", F.substring_index("value", TERMINATOR, 1))
-    x = x.withColumn("block", F.substring("value", F.length("head") + 1 + len(TERMINATOR), F.length("value")))
-    size = F.octet_length("block") - F.expr("try_cast(regexp_extract(concat('\r\n', head), '(?i)\\\\r\\\\nContent-Length: *([0-9]+)', 1) as int)")
-    x = x.withColumn("over", size)
-    # The last record of a file still has its terminator.
-    fits = (F.col("over") == 0) | ((F.col("over") == 4) & F.col("block").endswith(TERMINATOR))
-    odd = [r.file for r in x.where(~F.coalesce(fits, F.lit(False)) & (F.col("value") != "")).select("file").distinct().collect()]  # names of files, not of records
-    good = x.where(F.col("value") != "")
-    if odd:
-        good = good.where(~F.col("file").isin(odd))
-    good = good.select("head", F.when(F.col("over") == 4, F.substring("block", F.lit(1), F.length("block") - 4)).otherwise(F.col("block")).alias("block"))
-    records = good.unionByName(_by_length(spark, odd)) if odd else good
-    return records.select(_field("WARC-Type").alias("type"), _field("WARC-Record-ID").alias("record_id"), _field("WARC-Concurrent-To").alias("concurrent_to"), _field("WARC-Refers-To").alias("refers_to"), _field("WARC-Target-URI").alias("uri"), _field("WARC-Payload-Digest").alias("digest"), "block")
+    lines = _lines(spark, path)
+    odd = [r.file for r in lines.where(~F.col("fits")).select("file").distinct().collect()]  # names of files, not of records
+    if not odd:
+        return _records(lines)
+    return _records(lines.where(~F.col("file").isin(odd)).select("head", "block").unionByName(_by_length(spark, odd)))
 
 
 def captures(records: DataFrame) -> DataFrame:
@@ -137,22 +151,23 @@ def captures(records: DataFrame) -> DataFrame:
     n), of the least record_id if there are several (n), and null without any.
     A response's length and digest are those of the payload that was read; a
     revisit's are those that its headers state.  Satellites without a capture
-    make no row.
+    make no row.  All three kinds meet at the capture's id in one shuffle, and
+    columns that aren't asked for don't travel.
     """
     kind = F.col("type")
-    side = records.where(kind.isin("request", "metadata") & F.col("concurrent_to").isNotNull()).groupBy("concurrent_to").agg(
-        *[F.min(F.when(kind == k, F.struct("record_id", "block"))).alias(k) for k in ("request", "metadata")], *[F.count(F.when(kind == k, 1)).alias(f"n_{k}") for k in ("request", "metadata")]
-    )
-    side = side.select("concurrent_to", *[F.when(F.col(k).isNotNull(), F.struct(f"{k}.record_id", f"{k}.block", F.col(f"n_{k}").alias("n"))).alias(k) for k in ("request", "metadata")])
-    x = records.where(kind.isin("response", "revisit")).drop("concurrent_to")
-    x = x.withColumn("http", F.substring_index("block", TERMINATOR, 1)).withColumn("payload", F.substring("block", F.length("http") + 1 + len(TERMINATOR), F.length("block")))
-    stated = F.regexp_extract(F.concat(F.lit(EOL), F.col("http")), r"(?i)\r\nContent-Length: *([0-9]+)", 1)
-    again = kind == "revisit"
-    x = x.select(
-        "record_id", "type", "uri", "refers_to", F.when(again, stated.try_cast("bigint")).otherwise(F.octet_length("payload").cast("long")).alias("payload_bytes"),
-        F.when(again, F.regexp_replace("digest", "^sha1:", "")).otherwise(base32_sha1(F.col("payload"))).alias("payload_digest"), F.when(~again, F.col("payload")).alias("payload"),
-    )
-    return x.join(side, x["record_id"] == side["concurrent_to"], "left").drop("concurrent_to")
+    capture, again, satellite = kind.isin("response", "revisit"), kind == "revisit", kind.isin("request", "metadata") & F.col("concurrent_to").isNotNull()
+    http = F.substring_index("block", TERMINATOR, 1)
+    x = records.where(capture | satellite).withColumn("at", F.when(capture, F.col("record_id")).otherwise(F.col("concurrent_to")))
+    x = x.withColumn("payload", F.when(kind == "response", _after(F.col("block").cast("binary"), http)))
+    stated = F.regexp_extract(F.concat(F.lit(EOL), http), r"(?i)\r\nContent-Length: *([0-9]+)", 1).try_cast("bigint")
+    x = x.withColumn("payload_bytes", F.when(again, stated).otherwise(F.octet_length("payload").cast("long")))
+    x = x.withColumn("payload_digest", F.when(again, F.regexp_replace("digest", "^sha1:", "")).when(capture, F.sha1("payload")))
+    own = [F.max(F.when(capture, F.col(c))).alias(c) for c in ("type", "uri", "refers_to", "payload_bytes", "payload_digest", "payload")]
+    sides = [F.min(F.when(kind == k, F.struct("record_id", "block"))).alias(k) for k in ("request", "metadata")] + [F.count(F.when(kind == k, 1)).alias(f"n_{k}") for k in ("request", "metadata")]
+    x = x.groupBy(F.col("at").alias("record_id")).agg(*own, *sides).where("type is not null")
+    nested = [F.when(F.col(k).isNotNull(), F.struct(f"{k}.record_id", f"{k}.block", F.col(f"n_{k}").alias("n"))).alias(k) for k in ("request", "metadata")]
+    digest = F.when(F.col("type") == "revisit", F.col("payload_digest")).otherwise(base32(F.col("payload_digest"))).alias("payload_digest")
+    return x.select("record_id", "type", "uri", "refers_to", "payload_bytes", digest, F.col("payload").cast("string").alias("payload"), *nested)
 
 
 def round_trip(pages: DataFrame, path: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0) -> DataFrame:
@@ -167,7 +182,13 @@ def round_trip(pages: DataFrame, path: str | None = None, id_col: str = "page_id
     path = path or new_path(spark, "warc")
     write(transactions(pages, id_col, url_col, html_col, least_bytes), path)
     page = F.regexp_extract(F.concat(F.lit(EOL), F.col("metadata.block")), r"\r\npageId: (-?[0-9]+)", 1).try_cast("bigint")
-    found = materialise(captures(read(spark, path)).select("record_id", "type", "uri", "refers_to", "payload_bytes", "payload_digest", page.alias("page_id")), "warc-captures")
+    thin = lambda records: materialise(captures(records).select("record_id", "type", "uri", "refers_to", "payload_bytes", "payload_digest", page.alias("page_id")), "warc-captures")
+    # Lengths are checked in the same pass; only if one doesn't fit are archives read once more, by length.
+    fit = Observation()
+    found = thin(_records(_lines(spark, path).observe(fit, F.count(F.when(~F.col("fits"), 1)).alias("odd"))))
+    if fit.get["odd"]:
+        discard(found)
+        found = thin(read(spark, path))
     originals = found.where("type = 'response'").select(F.col("record_id").alias("original"), F.col("page_id").alias("original_page"))
     again = found.where("type = 'revisit'").join(originals, F.col("refers_to") == F.col("original"), "left")
     columns = ["page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type")]
