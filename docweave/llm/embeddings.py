@@ -10,7 +10,7 @@ double precision, and only those that pass link.
 
 Which pairs are looked at: tables of ``key_bits`` bits of the codes.  A pair at
 cosine 0.98 differs in a bit with probability 0.064, shares a key of 18 bits
-with probability 0.3 and one of 24 keys with probability 0.9998.  A pair counts
+with probability 0.3 and one of 32 keys with probability 0.99999.  A pair counts
 in the first table that it shares, so links are neither listed nor counted
 twice.  Members of a bucket are compared in blocks, and a block gives back one
 row per member (its links and a root), never a row per pair.  Equal vectors
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import components, materialise
 
-TABLES, KEY_BITS, BLOCK, TASK_ROWS = 24, 18, 1024, 16384
+TABLES, KEY_BITS, BLOCK, TASK_ROWS = 32, 18, 1024, 16384
 #: Standard deviations of an estimate's error that its bounds cover.
 SURE = 4.0
 
