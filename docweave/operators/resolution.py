@@ -45,8 +45,7 @@ def leaders(names: DataFrame, least: float) -> DataFrame:
     """(base, type, leader, leader_ord) of distinct names (base, type, norm, ord)."""
     schema = ", ".join(f"{c} {names.schema[f].dataType.simpleString()}" for c, f in (("base", "base"), ("type", "type"), ("leader", "norm"))) + ", row_pos int, ent_pos int"
 
-    def elect(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["row_pos", "ent_pos"])
+    def elect(frame: pd.DataFrame) -> list[tuple]:
         chosen: list[str] = []
         rows = []
         for r in frame.itertuples(index=False):
@@ -63,10 +62,18 @@ def leaders(names: DataFrame, least: float) -> DataFrame:
             if not close:
                 chosen.append(r.norm)
                 rows.append((r.base, r.type, r.norm, r.row_pos, r.ent_pos))
+        return rows
+
+    def elect_all(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["row_pos", "ent_pos"])
+        rows = [row for _, group in frame.groupby(["base", "type"], sort=False) for row in elect(group)]
         return pd.DataFrame(rows, columns=["base", "type", "leader", "row_pos", "ent_pos"])
 
+    # A document has few names of a type, so many of them share a task rather than each being a call of its own.
+    tasks = 4 * int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     flat = names.select("base", "type", "norm", F.col("ord.row_pos").cast("int").alias("row_pos"), F.col("ord.ent_pos").cast("int").alias("ent_pos"))
-    out = flat.groupBy("base", "type").applyInPandas(elect, schema)
+    flat = flat.withColumn("task", F.pmod(F.xxhash64("base", "type"), F.lit(tasks)))
+    out = flat.groupBy("task").applyInPandas(elect_all, schema)
     return out.select("base", "type", "leader", F.struct("row_pos", "ent_pos").alias("leader_ord"))
 
 
