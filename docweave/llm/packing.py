@@ -17,6 +17,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ class WordTokenizer:
     Memory is bounded: the table of known pieces is emptied at ``most`` entries.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         own = lambda kind: "".join(re.escape(chr(i)) for i in range(0x21, 0x250) if unicodedata.category(chr(i))[0] == kind)
@@ -86,6 +87,12 @@ class WordTokenizer:
         return b"".join([self.words[w] if w in self.words else np.array(self.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes() for w in words])
 
 
+@lru_cache(maxsize=1)
+def tokenizer_of(path: str) -> WordTokenizer:
+    """One for all tasks of a worker process, so that what one has learnt serves the next."""
+    return WordTokenizer(path)
+
+
 def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 0, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces (doc_id, piece, start, length, ids_crc32) of at most ``capacity`` ids; each document ends with ``end_id``.
 
@@ -100,7 +107,7 @@ def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id:
             import public_tokenizers
 
             path = public_tokenizers.path(tokenizer)
-        tokens, last = WordTokenizer(path), np.array([end_id], dtype="<u4").tobytes()
+        tokens, last = tokenizer_of(path), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             ids, rows = batch.column(0), {"doc": [], "piece": [], "start": [], "length": [], "crc": []}
             texts, i = batch.column(1), 0
