@@ -57,6 +57,14 @@ class _Hashes(dict):
         return h
 
 
+#: One for all tasks of a worker process.
+KNOWN = _Hashes()
+
+
+def _hashes() -> _Hashes:
+    return KNOWN
+
+
 def _run_hashes(words: np.ndarray, run: int) -> np.ndarray:
     out = np.zeros(max(0, len(words) - run + 1), np.uint64)
     for k in range(run):
@@ -135,7 +143,7 @@ def heavy_runs(docs: DataFrame, window: int, run: int, heavy: int, text_col: str
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, size, total = _Hashes(), 0, 0
+        hashes, size, total = _hashes(), 0, 0
         keys, counts, now = np.zeros(0, np.uint64), np.zeros(0, np.int64), _Batch(hashes)
 
         def merge() -> None:
@@ -179,7 +187,7 @@ def _places(docs: DataFrame, window: int, run: int, heavy: np.ndarray, buckets:
     """(bucket, places) of docs (doc_id, no_id, text_hash, text)."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
+        hashes = _hashes()
         now = _Batch(hashes)
 
         def flush() -> Iterator[pa.RecordBatch]:
