@@ -23,8 +23,13 @@ def _sub(pattern: str, by: str) -> Callable[[Column], Column]:
     return lambda c: F.regexp_replace(c, pattern, by)
 
 
+#: The same characters one by one.
+EACH_SPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACES}+|{SPACES}+$", "")
+    """Ends only are looked at, which a pattern can't do."""
+    return F.btrim(c, F.lit(EACH_SPACE))
 
 
 def one_spaced(c: Column) -> Column:
