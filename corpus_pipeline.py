@@ -18,7 +18,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, an estimated Jaccard similarity of 0.8 or more), the document with the least id."""
+    """Of each group of near copies (five-word shingles, a Jaccard similarity of 0.8 or more), the document with the least id."""
     return simhash.one_of_each(docs, shingle=5, similarity=0.8)
 
 

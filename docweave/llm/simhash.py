@@ -77,9 +77,8 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
-def wide_fingerprint(text: str | None, shingle: int, bits: int) -> bytes:
-    """A fingerprint of more than 64 bits: each hash goes on as a sequence of mixed ones."""
-    hashes = shingle_hashes(text, shingle)
+def wide_fingerprint(hashes: np.ndarray, bits: int) -> bytes:
+    """A fingerprint of more than 64 bits of distinct shingle hashes: each hash goes on as a sequence of mixed ones."""
     more = [hashes]
     for _ in range(bits // 64 - 1):
         x = more[-1] + np.uint64(0x9E3779B97F4A7C15)
@@ -205,80 +204,182 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return thin.join(of_fp, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Wide fingerprints: bits, sampled segments, bits of a segment, members that a block compares, rows of a task.
-WIDE, TABLES, TABLE_BITS, BLOCK, TASK_ROWS = 512, 64, 22, 512, 16384
+#: Wide fingerprints: bits; tables, minima of a table's key, members that a block compares, rows of a task.
+WIDE, TABLES, MINIMA, BLOCK, TASK_ROWS = 512, 32, 5, 512, 16384
+_FACTORS, _SHIFTS = (np.random.default_rng(SEED + k).integers(0, 1 << 64, TABLES * MINIMA, dtype=np.uint64) for k in (0, 1))
+
+
+def table_keys(hashes: np.ndarray) -> np.ndarray:
+    """A key for each table: of so many orders of all shingles, each set's least ones.
+
+    Two sets of Jaccard similarity s have a table's key in common with
+    probability s ** MINIMA.
+    """
+    import xxhash
+
+    least = np.full(TABLES * MINIMA, np.iinfo(np.uint64).max, "<u8")
+    for i in range(0, len(hashes), 2048):
+        least = np.minimum(least, (hashes[i : i + 2048, None] * (_FACTORS | np.uint64(1)) + _SHIFTS).min(axis=0))
+    return np.array([xxhash.xxh64_intdigest(x.tobytes(), t) for t, x in enumerate(least.astype("<u8").reshape(TABLES, MINIMA))], dtype="<u8")
+
 
+def distances(similarity: float) -> tuple[int, int]:
+    """(expected distance at that similarity, one that hardly any pair at it exceeds) of wide fingerprints.
 
-def _compare(table: pa.Table, far: int) -> pa.Table:
-    """(fp, root) of members that are within ``far`` bits of another one of their bucket's blocks."""
-    names = ("t", "key", "i", "j")
-    cols = {n: table.column(n).to_numpy() for n in (*names, "fp", "block")}
+    The similarity is a cosine of 2 s / (1 + s) at least, and the angle's share
+    of a half turn is the share of differing bits.  Among few shingles ties add
+    to it (four of five: 0.1875 in place of 0.1516), hence a quarter more, and
+    then five standard deviations.
+    """
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    most = min(1.0, 1.25 * share)
+    return int(WIDE * share), int(np.ceil(WIDE * most + 5 * np.sqrt(WIDE * most * (1 - most))))
+
+
+def _blocks(table: pa.Table, far: int) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
+    """(columns, near) of each bucket's block of members: which pairs are within ``far`` bits and not joined by links so far (``root`` differs)."""
+    names = ("key", "i", "j")
+    cols = {n: table.column(n).to_numpy() for n in table.column_names}
     order = np.lexsort([cols["fp"], *(cols[n] for n in reversed(names))])
     cols = {n: c[order] for n, c in cols.items()}
-    wide = np.frombuffer(b"".join(table.column("wide").to_pylist()), "<u8").reshape(len(order), -1)[order]
     changes = np.any([cols[n][1:] != cols[n][:-1] for n in names], axis=0) if len(order) else np.zeros(0, bool)
     cuts = [0, *(np.flatnonzero(changes) + 1).tolist(), len(order)]
-    nodes, roots = [], []
     for lo, hi in zip(cuts, cuts[1:]):
-        w = wide[lo:hi]
+        x = {n: c[lo:hi] for n, c in cols.items()}
+        if (x["root"] == x["root"][:1]).all():
+            continue
+        w = np.frombuffer(b"".join(x["wide"]), "<u8").reshape(hi - lo, -1)
         distance = np.zeros((hi - lo, hi - lo), np.int32)
         for k in range(w.shape[1]):
             distance += np.bitwise_count(w[:, None, k] ^ w[None, :, k])
-        near = np.triu(distance <= far, 1)
-        if cols["i"][lo] != cols["j"][lo]:
-            near &= cols["block"][lo:hi][:, None] != cols["block"][lo:hi][None, :]
-        a, b = np.nonzero(near)
-        root, before = np.arange(hi - lo), None
-        while len(a) and (before is None or (root != before).any()):
-            before = root.copy()
-            low = np.minimum(root[a], root[b])
-            np.minimum.at(root, a, low)
-            np.minimum.at(root, b, low)
-            root = root[root]
-        hit = np.flatnonzero(root != np.arange(hi - lo))
-        nodes += cols["fp"][lo:hi][hit].tolist()
-        roots += cols["fp"][lo:hi][root[hit]].tolist()
-    return pa.table({"fp": pa.array(nodes, pa.int64()), "root": pa.array(roots, pa.int64())})
+        near = (distance <= far) & (x["root"][:, None] != x["root"][None, :])
+        if x["i"][0] != x["j"][0]:
+            near &= x["block"][:, None] != x["block"][None, :]
+        yield x, near
+
+
+def _stars(table: pa.Table, far: int) -> pa.Table:
+    """(a, b, degree): each member a with that of its neighbours that has most neighbours (``degree``) itself, then the least."""
+    out = [np.zeros((0, 3), np.int64)]
+    for x, near in _blocks(table, far):
+        degree = near.sum(axis=1)
+        a = np.flatnonzero(degree)
+        b = np.where(near[a], degree[None, :], -1).argmax(axis=1)
+        out.append(np.stack([x["fp"][a], x["fp"][b], degree[b]], axis=1))
+    rows = np.unique(np.concatenate(out), axis=0)
+    return pa.table({n: pa.array(rows[:, k], pa.int64()) for k, n in enumerate(("a", "b", "degree"))})
+
+
+def _doubtful(table: pa.Table, far: int) -> pa.Table:
+    """(key, i, j, block, fp) of members with a neighbour that no links join them with."""
+    out = [(x, near.any(axis=1)) for x, near in _blocks(table, far)]
+    types = {"key": pa.int64(), "i": pa.int32(), "j": pa.int32(), "block": pa.int32(), "fp": pa.int64()}
+    return pa.table({n: pa.array(np.concatenate([np.zeros(0, np.int64), *(x[n][hit] for x, hit in out)]), t) for n, t in types.items()})
+
+
+def alike(x: np.ndarray, y: np.ndarray, least: float) -> bool:
+    """Whether two sets of shingles, sorted, have a Jaccard similarity of ``least`` or more."""
+    if min(len(x), len(y)) < least * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= least * (len(x) + len(y) - both)
+
+
+def _verified(table: pa.Table, far: int, least: float) -> pa.Table:
+    """Links (a, b) that join all alike members of a block; a pair is looked at in the first table only in which it shares a key."""
+    out = []
+    for x, near in _blocks(table, far):
+        keys = np.frombuffer(b"".join(x["keys"]), "<i8").reshape(len(near), -1)
+        first = np.zeros(near.shape, bool)
+        for t in range(keys.shape[1] - 1, -1, -1):
+            first = np.where(keys[:, None, t] == keys[None, :, t], keys[0, t] == x["key"][0], first)
+        sets = [np.frombuffer(v, "<u8") for v in x["shingles"]]
+        root = x["root"].copy()
+        for a, b in zip(*np.nonzero(np.triu(near & first, 1))):
+            if root[a] != root[b] and alike(sets[a], sets[b], least):
+                root[root == root[b]] = root[a]
+                out.append((x["fp"][a], x["fp"][b]))
+    return pa.table({n: pa.array([pair[k] for pair in out], pa.int64()) for k, n in enumerate(("a", "b"))})
 
 
 def _grouped_wide(docs: DataFrame, id_col: str, text_col: str, shingle: int, least: float) -> tuple[DataFrame, DataFrame]:
-    """As _grouped(), for documents whose shingles have a Jaccard similarity of about ``least`` or more.
-
-    That similarity is a cosine of 2 s / (1 + s) at least, and the angle's
-    share of a half turn is the share of differing bits: a tenth to a seventh,
-    more than small balls around segments of 64 bits reach.  So fingerprints
-    are longer and their segments many, sampled from all bits; of two at a
-    tenth, one of 64 segments of 22 bits is equal with probability 0.998, and
-    at the threshold of 0.8 with 0.83.  All pairs of a bucket are verified by
-    the whole fingerprint, block by block; a block returns links to roots.
+    """As _grouped(), for documents whose sets of shingles have a Jaccard similarity of ``least`` or more.
+
+    Candidates share the key of one of 32 tables (a key is five minima: at
+    0.8 all but 3 pairs in a million do), and their fingerprints are within a
+    distance that hardly any such pair exceeds.  What links them is the exact
+    similarity of their sets.  It's computed for one candidate of each member a
+    round, as long as that joins any, then for all candidates that the links
+    found don't join.  Equal sets are one entry.
     """
-    spots = np.array([np.random.default_rng(SEED + t).choice(WIDE, TABLE_BITS, replace=False) for t in range(TABLES)])
-    far = int(WIDE * np.arccos(2 * least / (1 + least)) / np.pi)
+    mean, far = distances(least)
+
+    @F.pandas_udf("fp long, wide binary, keys binary")
+    def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        import xxhash
 
-    @F.pandas_udf("binary")
-    def wide_of(texts: pd.Series) -> pd.Series:
-        return pd.Series([wide_fingerprint(t, shingle, WIDE) for t in texts], dtype=object)
+        for texts in batches:
+            sets = [np.unique(shingle_hashes(t, shingle)) for t in texts]
+            yield pd.DataFrame({"fp": pd.Series([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype="uint64").astype("int64"), "wide": [wide_fingerprint(s, WIDE) for s in sets], "keys": [table_keys(s).tobytes() for s in sets]})
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 1024) for i in range(0, len(batch), 1024)):
-                bits = np.unpackbits(np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
-                key = bits[:, spots].astype(np.int64) @ (1 << np.arange(TABLE_BITS))
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), TABLES)), pa.array(np.tile(np.arange(TABLES, dtype=np.int32), len(part))), pa.array(key.ravel())], names=["fp", "t", "key"])
+                key = np.frombuffer(b"".join(part.column(1).to_pylist()), "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), TABLES)), pa.array(key)], names=["fp", "key"])
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, 256) for i in range(0, len(batch), 256)):
+                sets = [np.unique(shingle_hashes(t.as_py(), shingle)).tobytes() for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["fp", "shingles"])
+
+    @F.pandas_udf("boolean")
+    def linked(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([alike(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), least) for x, y in zip(a, b)], dtype=bool)
 
     text = F.col(text_col)
-    rows = materialise(docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), wide_of(text).alias("wide")).withColumn("fp", F.xxhash64("wide")), "simhash-wide")
-    fps = rows.groupBy("fp").agg(F.min("id").alias("least"), F.first("wide").alias("wide"))
+    own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    rows = materialise(own.withColumn("s", sketch("text")).select("id", "text_hash", "s.fp", "s.wide", "s.keys"), "simhash-wide")
+    fps = rows.groupBy("fp").agg(F.min("id").alias("least"), F.min("text_hash").alias("text_hash"), F.first("wide").alias("wide"), F.first("keys").alias("keys"))
     index = materialise(fps, "simhash-index")
-    entries = index.select("fp", "wide").mapInArrow(keys, "fp long, t int, key long")
-    full = entries.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    members = entries.join(full, ["t", "key"]).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    entries = index.select("fp", "keys").mapInArrow(keys, "fp long, key long")
+    full = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    members = entries.join(full, "key").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    members = materialise(members.select("t", "key", "i", "j", "block", "fp"), "simhash-members")
+    members = materialise(members.select("key", "i", "j", "block", "fp"), "simhash-members")
     tasks = max(1, -(-members.count() // TASK_ROWS))
-    dealt = members.join(index.select("fp", "wide"), "fp").withColumn("task", F.pmod(F.xxhash64("t", "key", "i", "j"), F.lit(tasks)))
-    edges = dealt.groupBy("task").applyInArrow(lambda table: _compare(table, far), "fp long, root long")
-    roots = components(edges.select(F.col("fp").alias("a"), F.col("root").alias("b")), "simhash-cc")
+    dealt = members.join(index.select("fp", "wide"), "fp").withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
+
+    # Sets of all that share a key with another one, once each: copies of a text hash are one text.
+    met = index.join(members.select("fp").distinct(), "fp", "left_semi").select("fp", "text_hash")
+    texts = own.select("text_hash", "text").join(met, "text_hash").dropDuplicates(["fp"]).select("fp", "text")
+    sets = materialise(texts.mapInArrow(shingles, "fp long, shingles binary"), "simhash-sets")
+
+    def labelled(x: DataFrame, roots: DataFrame | None) -> DataFrame:
+        if roots is None:
+            return x.withColumn("root", F.col("fp"))
+        return x.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+    links, roots = None, None
+    for stars in (lambda table: _stars(table, mean), lambda table: _stars(table, far)):
+        while True:
+            found = labelled(dealt, roots).groupBy("task").applyInArrow(stars, "a long, b long, degree long")
+            pairs = found.groupBy("a").agg(F.max(F.struct("degree", "b")).alias("hub")).select(F.least("a", "hub.b").alias("a"), F.greatest("a", "hub.b").alias("b")).distinct()
+            x = pairs.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("of_a")), "a").join(sets.select(F.col("fp").alias("b"), F.col("shingles").alias("of_b")), "b")
+            more = materialise(x.where(linked("of_a", "of_b")).select("a", "b"), "simhash-links")
+            none = more.isEmpty()
+            if links is None or not none:
+                links = more if links is None else links.unionByName(more)
+                roots = components(links, "simhash-cc")
+            if none:
+                break
+    # What is left is compared block by block, so that no table grows as pairs do.
+    left = materialise(labelled(dealt, roots).groupBy("task").applyInArrow(lambda table: _doubtful(table, far), "key long, i int, j int, block int, fp long"), "simhash-left")
+    tasks = max(1, -(-left.count() // (TASK_ROWS // 8)))
+    left = labelled(left.join(index.select("fp", "wide", "keys"), "fp").join(sets, "fp"), roots).withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
+    more = left.groupBy("task").applyInArrow(lambda table: _verified(table, far, least), "a long, b long")
+    roots = components(links.unionByName(more), "simhash-cc")
     rooted = index.select("fp", "least").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     return rows.select("id", "text_hash", "fp"), rooted
 
@@ -286,8 +387,8 @@ def _grouped_wide(docs: DataFrame, id_col: str, text_col: str, shingle: int, lea
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 2, segments: int = 2, crowd: int = 64, similarity: float | None = None) -> DataFrame:
     """docs with one row of each component: that of the least id, a null one last.
 
-    With similarity, components are those of wide fingerprints at about that
-    Jaccard similarity of shingles or more, in place of max_distance bits of 64.
+    With similarity, links are pairs of that Jaccard similarity of shingles or
+    more, in place of max_distance bits of 64.
 
     Rows of one id are told apart by a hash of their texts; of rows that
     repeat id and text one stays.

@@ -57,3 +57,35 @@ def test_near_copies(spark, documents, monkeypatch):
     assert len(late) <= 2 and [i for i in kept if i >= 90000] == [90000, 90002]
     exact = simhash.one_of_each(docs, shingle=5)
     assert exact.where("doc_id = 90003").count() == 0 and exact.columns == docs.columns
+
+
+def test_threshold(spark, monkeypatch):
+    """Pairs whose shingle sets have a similarity of 0.8 or more, from right there up, lose one; pairs below lose none."""
+    monkeypatch.setattr(simhash, "TASK_ROWS", 500)
+    r = random.Random(8)
+    sets = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    rows, alike = [], {}
+    for i in range(600):
+        a = [f"w{r.randrange(10**6)}" for _ in range(r.choice([8, 30, 100, 300]))]
+        b = list(a)
+        goal = r.choice([0.72, 0.76, 0.81, 0.82, 0.84, 0.88])
+        for k in range(100):
+            c = list(b)
+            if k == 0 and len(a) == 8:
+                c.append("more")  # four of five shingles: 0.8
+            else:
+                c[r.randrange(len(c))] = f"changed{i}-{k}"
+            if len(sets(a) & sets(c)) < goal * len(sets(a) | sets(c)) and not len(a) == 8:
+                break
+            b = c
+            if len(a) == 8:
+                break
+        if goal < 0.8 and len(a) > 8:
+            b = c  # the first one below the goal
+        x, y = sets(a), sets(b)
+        alike[i] = 5 * len(x & y) >= 4 * len(x | y)
+        rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
+    assert 200 < sum(alike.values()) < 500
+    kept = {x.doc_id for x in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), shingle=5, similarity=0.8).collect()}
+    assert {i for i in alike if 2 * i + 1 not in kept} == {i for i in alike if alike[i]}
+    assert all(2 * i in kept for i in alike)
