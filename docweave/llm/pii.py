@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held
+from .common import held, let
 
 BEFORE, AFTER = 48, 24
 OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
@@ -35,6 +35,8 @@ class Kind:
     score: float
     checked: float
     context: str
+    #: The group that is proposed, if not the match.
+    group: int = 0
 
 
 #: In the order in which spans at one place are listed.
@@ -46,12 +48,16 @@ KINDS = (
     # Narrower proposals inside what a greedy match above has run together with its neighbours.
     Kind("card", r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4})(?![0-9])", "", 0.4, 0.4, "card|visa|master|credit|karte|carte|tarjeta"),
     Kind("phone", r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9])", "+", 0.6, 0.2, "tel|phone|call|fax|mobil|whatsapp"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "", 0.3, 0.5, "iban|account|bank|konto|compte|cuenta"),
+    # The match is a start of four characters only, so that a start within the run after another one is met as well; the group goes on over what may belong to it.
+    Kind("iban", r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?s:.{0,24})))[A-Z]{2}[0-9]{2}", "", 0.3, 0.5, "iban|account|bank|konto|compte|cuenta", 1),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", 0.3, 0.1, r"ssn|social security|taxpayer|tax id"),
     Kind("local_phone", r"(?<![0-9+(])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])", "", 0.3, 0.1, r"tel|phone|call|fax|mobile|cell"),
 )
 BASE = 4
 
+#: Characters of an account number by country; other countries' have any length.
+ACCOUNTS = dict(part.split(":") for part in "AD:24 AE:23 AL:28 AT:20 AZ:28 BA:20 BE:16 BG:22 BH:22 BR:29 BY:28 CH:21 CR:22 CY:28 CZ:24 DE:22 DK:18 DO:28 EE:20 EG:29 ES:24 FI:18 FO:18 FR:27 GB:22 GE:22 GI:23 GL:18 GR:27 GT:28 HR:21 HU:28 IE:22 IL:23 IQ:23 IS:26 IT:27 JO:30 KW:30 KZ:20 LB:28 LC:32 LI:21 LT:20 LU:20 LV:21 MC:27 MD:24 ME:22 MK:19 MR:27 MT:31 MU:30 NL:18 NO:15 PK:24 PL:28 PS:29 PT:25 QA:29 RO:24 RS:22 SA:24 SC:31 SE:24 SI:19 SK:24 SM:27 TN:24 TR:26 UA:29 VA:22 VG:24 XK:20".split())
+
 
 def _digits(m: Column) -> Column:
     return F.regexp_replace(m, "[^0-9]", "")
@@ -72,16 +78,44 @@ def _valid(kind: str, m: Column) -> Column:
         return F.length(_digits(m)).between(12, 19) & F.call_function("luhn_check", _digits(m))
     if kind == "phone":
         return F.length(_digits(m)).between(9, 15)
-    if kind == "iban":
-        return (_mod97(m) == 1) & (F.length(F.regexp_replace(m, " ", "")) <= 34)
     if kind == "ssn":
         return ~m.rlike("^(?:000|666|9..)|-00-|0000$")
     return F.lit(True)
 
 
+def _account(run: Column) -> Column:
+    """The account number that a run of characters starts with, null if none.
+
+    All cuts of 15 to 34 characters at a word's end are tried by mod 97; of
+    several valid ones that of the country's length is taken, or the longest.
+    """
+    cut = lambda n: F.call_function("regexp_extract", run, F.concat(F.lit("^(?: ?[A-Z0-9]){"), n.cast("string"), F.lit("}(?![A-Za-z0-9])")), F.lit(0))
+    valid = F.filter(F.transform(F.sequence(F.lit(15), F.lit(34)), cut), lambda m: (m != "") & (_mod97(m) == 1))
+    length = F.element_at(F.create_map(*[F.lit(x) for c, n in ACCOUNTS.items() for x in (c, int(n))]), F.left(run, F.lit(2)))
+    best = lambda v: F.coalesce(F.get(F.filter(v, lambda m: F.length(F.regexp_replace(m, " ", "")) == length), F.lit(0)), F.get(v, F.size(v) - 1))
+    return F.when(F.size(valid) > 0, let(valid, best))
+
+
+def _accounts(pieces: Column, found: Column, no: int) -> Column:
+    """As _spans(), for runs: an account number is in a run of its own, and none starts within the one before."""
+    k = KINDS[no]
+    words = lambda i, e, m: F.concat_ws(" ", F.right(F.get(pieces, i), F.lit(BEFORE)), F.left(F.substring(e, F.length(m) + 1, F.length(e)), F.lit(AFTER)))
+    item = lambda i, e, m: F.struct(F.length(F.get(pieces, i)).alias("gap"), F.length(m).alias("size"), F.when(words(i, e, m).rlike(f"(?i)(?<![a-z])(?:{k.context})"), 0.3).otherwise(0.0).alias("context"))
+    each = F.transform(found, lambda e, i: let(_account(e), lambda m: item(i, e, m)))
+    entry = lambda acc, e: F.struct((acc["at"] + e["gap"]).alias("start"), F.lit(no).alias("kind_no"), (acc["at"] + e["gap"] + e["size"]).alias("end"), F.lit(k.name).alias("kind"), F.least(F.lit(1.0), F.lit(k.score + k.checked) + e["context"]).alias("score"))
+    none = F.array().cast("array<struct<start:int,kind_no:int,end:int,kind:string,score:double>>")
+    ok = lambda acc, e: e["size"].isNotNull() & (acc["at"] + e["gap"] >= acc["until"])
+    step = lambda acc, e: F.struct(
+        (acc["at"] + e["gap"] + 4).alias("at"), F.when(ok(acc, e), acc["at"] + e["gap"] + e["size"]).otherwise(acc["until"]).alias("until"), F.when(ok(acc, e), F.concat(acc["out"], F.array(entry(acc, e)))).otherwise(acc["out"]).alias("out")
+    )
+    return F.aggregate(each, F.struct(F.lit(0).alias("at"), F.lit(0).alias("until"), none.alias("out")), step, lambda acc: acc["out"])
+
+
 def _spans(text: Column, pieces: Column, found: Column, no: int) -> Column:
     """Valid matches as array<struct<start, kind_no, end, kind, score>>; pieces are the texts between all matches."""
     k = KINDS[no]
+    if k.name == "iban":
+        return _accounts(pieces, found, no)
     near = lambda i: F.concat_ws(" ", F.right(F.get(pieces, i), F.lit(BEFORE)), F.left(F.get(pieces, i + 1), F.lit(AFTER))).rlike(f"(?i)(?<![a-z])(?:{k.context})")
     each = F.transform(found, lambda m, i: F.struct(F.length(F.get(pieces, i)).alias("gap"), F.length(m).alias("size"), _valid(k.name, m).alias("ok"), F.when(near(i), 0.3).otherwise(0.0).alias("context")))
     entry = lambda acc, e: F.struct((acc["at"] + e["gap"]).alias("start"), F.lit(no).alias("kind_no"), (acc["at"] + e["gap"] + e["size"]).alias("end"), F.lit(k.name).alias("kind"), F.least(F.lit(1.0), F.lit(k.score + k.checked) + e["context"]).alias("score"))
@@ -97,7 +131,7 @@ def with_spans(docs: DataFrame, text_col: str = "text", least_score: float = 0.6
     empty = F.array().cast("array<string>")
     for no, k in enumerate(KINDS):
         hint = F.col("_text").contains(k.hint) if k.hint else F.col("_text").rlike("[0-9]{2}|[0-9][ -][0-9]")
-        x = x.withColumn(f"_m{no}", F.when(hint, F.regexp_extract_all("_text", F.lit(k.pattern), F.lit(0))).otherwise(empty))
+        x = x.withColumn(f"_m{no}", F.when(hint, F.regexp_extract_all("_text", F.lit(k.pattern), F.lit(k.group))).otherwise(empty))
     for no, k in enumerate(KINDS):
         x = x.withColumn(f"_p{no}", F.when(F.size(f"_m{no}") > 0, F.split("_text", k.pattern, -1)).otherwise(empty))
     x = x.select(*own, *[held(F.col(f"_{c}{no}")).alias(f"_{c}{no}") for no in range(len(KINDS)) for c in "mp"])
