@@ -12,6 +12,7 @@ template's words that are aligned.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -94,9 +95,10 @@ class Scanner:
     """Finds templates in word sequences.
 
     A text is cut into regions where enough of a template's words lie close
-    together: windows of twice the template's length, a template's length
-    apart, whose bag of words covers ``least`` of it.  Regions that touch are
-    one.  Each region is aligned; a find is the span from its first to its
+    together: windows a template's length apart, one template's length longer
+    than the longest span that ``stretch`` allows (rounded up), whose bag of
+    words covers ``least`` of it.  So each such span lies whole in a window.
+    Regions that touch are one.  Each region is aligned; a find is the span from its first to its
     last aligned word, if its coverage is at least ``least`` and at most
     ``stretch`` words of text lie in it for each of the template.
     """
@@ -107,21 +109,26 @@ class Scanner:
         self.bags = {name: Counter(t) for name, t in self.templates.items()}
         self.known = set().union(*self.templates.values()) if templates else set()
 
+    def span(self, m: int) -> int:
+        """Words of text that a find of a template of m words takes at most."""
+        return int(self.stretch * m) + 1
+
     def regions(self, at: dict[str, list[int]], name: str) -> Iterator[tuple[int, int]]:
         template, bag = self.templates[name], self.bags[name]
         m = len(template)
         if sum(min(n, len(at.get(w, ()))) for w, n in bag.items()) < self.least * m:
             return
-        # Occurrences fall in cells of m words; a window is two cells, and each cell begins one.
+        # Occurrences fall in cells of m words; each cell begins a window, which holds every span that starts in the cell.
+        width = math.ceil((m - 1 + self.span(m)) / m)
         cells: dict[int, Counter] = {}
         for w in bag:
             for i in at.get(w, ()):
                 cells.setdefault(i // m, Counter())[w] += 1
         start = end = None
-        for c in sorted({x for i in cells for x in (i - 1, i)}):
-            both = cells.get(c, Counter()) + cells.get(c + 1, Counter())
-            if sum(min(n, both[w]) for w, n in bag.items()) >= self.least * m:
-                lo, hi = max(0, c * m), (c + 2) * m
+        for c in sorted({x for i in cells for x in range(i - width + 1, i + 1)}):
+            near = sum((cells[x] for x in range(c, c + width) if x in cells), Counter())
+            if sum(min(n, near[w]) for w, n in bag.items()) >= self.least * m:
+                lo, hi = max(0, c * m), (c + width) * m
                 if end is not None and lo <= end:
                     end = hi
                 else:
@@ -161,7 +168,7 @@ class Scanner:
         passes, those of one span are compared: more words aligned, then fewer
         words of text, then the earlier one.
         """
-        m, span = len(template), int(self.stretch * len(template)) + 1
+        m, span = len(template), self.span(len(template))
         bag, best, until = Counter(template), (), hi
         for start in range(lo, hi):
             if start >= until:

@@ -60,3 +60,15 @@ def test_lines_of_documents(documents, odd, none):
     want = {(r.doc_id, next((n for x, n in lines.items() if x in r.text), None)) for r in documents.collect()}
     assert {(r.doc_id, r.best_license) for r in licenses.scan(documents).collect()} == want
     assert licenses.digests(odd).count() == odd.count() and licenses.scan(none).count() == 0
+
+
+def test_every_offset():
+    """A stretched notice is found wherever it starts, and the same words of it each time."""
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8, 1.5)
+    for name, template in scanner.templates.items():
+        m = len(template)
+        middle = m // 2
+        notice = template[:middle] + ["zzz"] * (m // 2) + template[middle:]
+        for offset in range(2 * m + 1):
+            text = " ".join(["qqq"] * offset + notice + ["qqq"] * (3 * m))
+            assert (offset, offset + len(notice), name, 1.0) in scanner.finds(text), (name, offset)
