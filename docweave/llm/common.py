@@ -2,66 +2,52 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A word is a run of characters other than these six (ASCII white space).
-SPACE = r"[ \t-\r]"
-WORD = r"[^ \t-\r]+"
-
+from ..sources.shared import discard, held, new_path, stored, temporaries
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="docweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+__all__ = ["SPACE", "WORD", "components", "discard", "folded", "held", "let", "materialise", "new_path", "temporaries", "word_count", "words_of"]
 
+materialise = stored
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/docweave/{name}-{uuid.uuid4().hex}"
-
+#: A word is a run of characters other than these six (ASCII white space).
+SPACE = r"[ \t-\r]"
+WORD = r"[^ \t-\r]+"
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a Parquet table in the shared folder and reads it back.
 
-    This cuts the lineage: a lost executor costs the tasks it ran, and later
-    plans start from the files.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._docweave_path = path
-    return out
+def let(value: Column, body) -> Column:
+    """body(value), where value is computed once however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def discard(df: DataFrame) -> None:
-    """Deletes the files of a table made by materialise(); nothing may read it any more."""
-    path = getattr(df, "_docweave_path", None)
-    if path:
-        spark = df.sparkSession
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(conf).delete(where, True)
+def blocks_of(items: Column, size: int) -> Column:
+    """items as an array of arrays of at most ``size``."""
+    n = F.size(items)
+    last = lambda k: F.least(n, (k + 1) * size) - 1
+    each = F.transform(F.sequence(F.lit(0), ((n - 1) / size).cast("int")), lambda k: F.transform(F.sequence(k * size, last(k)), lambda i: F.get(items, i)))
+    return F.when(n > 0, each)
 
 
-def held(value: Column) -> Column:
-    """value, as an expression that isn't deterministic in the optimizer's eyes.
+def folded(items: Column, state: Column, entry_type: str, step: Callable[[Column, Column], tuple[Column, Column, Column]], block: int = 128) -> Column:
+    """Entries of one pass over items in order: step(state, item) gives the next state, whether there is an entry, and the entry.
 
-    The optimizer then neither copies it into the filters and lambdas that use
-    its column nor pushes those filters below it, so it is computed once a row.
+    An array can only grow by being copied.  Entries therefore grow in blocks,
+    and blocks in a list of blocks, so that n items cost some n * block copies
+    rather than n * n.
     """
-    return F.when(F.monotonically_increasing_id() >= 0, value)
+    none = F.array().cast(f"array<{entry_type}>")
 
+    def inside(acc: Column, e: Column) -> Column:
+        then, some, entry = step(acc["state"], e)
+        return F.struct(then.alias("state"), F.when(some, F.concat(acc["out"], F.array(entry))).otherwise(acc["out"]).alias("out"))
 
-def let(value: Column, body) -> Column:
-    """body(value), where value is computed once however often body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    one = lambda start, part: F.aggregate(part, F.struct(start.alias("state"), none.alias("out")), inside)
+    add = lambda acc, part: let(one(acc["state"], part), lambda r: F.struct(r["state"].alias("state"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
+    start = F.struct(state.alias("state"), F.array().cast(f"array<array<{entry_type}>>").alias("out"))
+    return let(items, lambda all_: F.when(F.size(all_) > 0, F.aggregate(blocks_of(all_, block), start, add, lambda acc: F.flatten(acc["out"]))).otherwise(none))
 
 
 def words_of(text: Column) -> Column:

@@ -10,7 +10,8 @@ overlap no base span.
 
 Patterns start only where a run of their characters starts (or right after the
 match before), and repeat possessively, so a text of one long run costs time
-in proportion to its length and no recursion.
+in proportion to its length and no recursion.  Spans are gathered in blocks:
+100,000 of them in one text take a few seconds.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, let
+from .common import blocks_of, folded, held, let
 
 BEFORE, AFTER = 48, 24
 OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
@@ -96,49 +97,86 @@ def _account(run: Column) -> Column:
     return F.when(F.size(valid) > 0, let(valid, best))
 
 
+#: A span: code points from 0, end exclusive; kinds are numbered as in KINDS.
+SPAN = "struct<start:int,kind_no:int,end:int,kind:string,score:double>"
+NONE = f"array<{SPAN}>"
+
+
+def _entry(no: int, start: Column, size: Column, context: Column) -> Column:
+    k = KINDS[no]
+    return F.struct(start.alias("start"), F.lit(no).alias("kind_no"), (start + size).alias("end"), F.lit(k.name).alias("kind"), F.least(F.lit(1.0), F.lit(k.score + k.checked) + context).alias("score"))
+
+
+def _context(no: int, before: Column, after: Column) -> Column:
+    near = F.concat_ws(" ", F.right(before, F.lit(BEFORE)), F.left(after, F.lit(AFTER)))
+    return F.when(near.rlike(f"(?i)(?<![a-z])(?:{KINDS[no].context})"), 0.3).otherwise(0.0)
+
+
 def _accounts(pieces: Column, found: Column, no: int) -> Column:
     """As _spans(), for runs: an account number is in a run of its own, and none starts within the one before."""
-    k = KINDS[no]
-    words = lambda i, e, m: F.concat_ws(" ", F.right(F.get(pieces, i), F.lit(BEFORE)), F.left(F.substring(e, F.length(m) + 1, F.length(e)), F.lit(AFTER)))
-    item = lambda i, e, m: F.struct(F.length(F.get(pieces, i)).alias("gap"), F.length(m).alias("size"), F.when(words(i, e, m).rlike(f"(?i)(?<![a-z])(?:{k.context})"), 0.3).otherwise(0.0).alias("context"))
+    item = lambda i, e, m: F.struct(F.length(F.get(pieces, i)).alias("gap"), F.length(m).alias("size"), _context(no, F.get(pieces, i), F.substring(e, F.length(m) + 1, F.length(e))).alias("context"))
     each = F.transform(found, lambda e, i: let(_account(e), lambda m: item(i, e, m)))
-    entry = lambda acc, e: F.struct((acc["at"] + e["gap"]).alias("start"), F.lit(no).alias("kind_no"), (acc["at"] + e["gap"] + e["size"]).alias("end"), F.lit(k.name).alias("kind"), F.least(F.lit(1.0), F.lit(k.score + k.checked) + e["context"]).alias("score"))
-    none = F.array().cast("array<struct<start:int,kind_no:int,end:int,kind:string,score:double>>")
-    ok = lambda acc, e: e["size"].isNotNull() & (acc["at"] + e["gap"] >= acc["until"])
-    step = lambda acc, e: F.struct(
-        (acc["at"] + e["gap"] + 4).alias("at"), F.when(ok(acc, e), acc["at"] + e["gap"] + e["size"]).otherwise(acc["until"]).alias("until"), F.when(ok(acc, e), F.concat(acc["out"], F.array(entry(acc, e)))).otherwise(acc["out"]).alias("out")
-    )
-    return F.aggregate(each, F.struct(F.lit(0).alias("at"), F.lit(0).alias("until"), none.alias("out")), step, lambda acc: acc["out"])
 
+    def step(s: Column, e: Column) -> tuple[Column, Column, Column]:
+        start = s["at"] + e["gap"]
+        ok = e["size"].isNotNull() & (start >= s["until"])
+        return F.struct((start + 4).alias("at"), F.when(ok, start + e["size"]).otherwise(s["until"]).alias("until")), ok, _entry(no, start, e["size"], e["context"])
 
-def _spans(text: Column, pieces: Column, found: Column, no: int) -> Column:
-    """Valid matches as array<struct<start, kind_no, end, kind, score>>; pieces are the texts between all matches."""
-    k = KINDS[no]
-    if k.name == "iban":
+    return folded(each, F.struct(F.lit(0).alias("at"), F.lit(0).alias("until")), SPAN, step)
+
+
+def _spans(pieces: Column, found: Column, no: int) -> Column:
+    """Valid matches as spans; pieces are the texts between all matches."""
+    if KINDS[no].name == "iban":
         return _accounts(pieces, found, no)
-    near = lambda i: F.concat_ws(" ", F.right(F.get(pieces, i), F.lit(BEFORE)), F.left(F.get(pieces, i + 1), F.lit(AFTER))).rlike(f"(?i)(?<![a-z])(?:{k.context})")
-    each = F.transform(found, lambda m, i: F.struct(F.length(F.get(pieces, i)).alias("gap"), F.length(m).alias("size"), _valid(k.name, m).alias("ok"), F.when(near(i), 0.3).otherwise(0.0).alias("context")))
-    entry = lambda acc, e: F.struct((acc["at"] + e["gap"]).alias("start"), F.lit(no).alias("kind_no"), (acc["at"] + e["gap"] + e["size"]).alias("end"), F.lit(k.name).alias("kind"), F.least(F.lit(1.0), F.lit(k.score + k.checked) + e["context"]).alias("score"))
-    none = F.array().cast("array<struct<start:int,kind_no:int,end:int,kind:string,score:double>>")
-    step = lambda acc, e: F.struct((acc["at"] + e["gap"] + e["size"]).alias("at"), F.when(e["ok"], F.concat(acc["out"], F.array(entry(acc, e)))).otherwise(acc["out"]).alias("out"))
-    return F.aggregate(each, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+    each = F.transform(found, lambda m, i: F.struct(F.length(F.get(pieces, i)).alias("gap"), F.length(m).alias("size"), _valid(KINDS[no].name, m).alias("ok"), _context(no, F.get(pieces, i), F.get(pieces, i + 1)).alias("context")))
 
+    def step(s: Column, e: Column) -> tuple[Column, Column, Column]:
+        start = s["at"] + e["gap"]
+        return F.struct((start + e["size"]).alias("at")), e["ok"], _entry(no, start, e["size"], e["context"])
 
-def with_spans(docs: DataFrame, text_col: str = "text", least_score: float = 0.6, out_col: str = "pii") -> DataFrame:
-    """docs with ``out_col``: spans (start, kind_no, end, kind, score) by start, then kind; code points, end exclusive."""
-    own = [f"`{c}`" for c in docs.columns]
-    x = docs.withColumn("_text", F.coalesce(F.col(text_col), F.lit("")))
-    empty = F.array().cast("array<string>")
+    return folded(each, F.struct(F.lit(0).alias("at")), SPAN, step)
+
+
+def _merged(base: Column, more: Column) -> Column:
+    """Spans of base, and those of more that overlap none of them, in order of start and kind.
+
+    Two passes over all of them in order: forwards, a span goes that starts
+    before the end of a base span met so far; backwards, one that ends after
+    the start of the base span met last.
+    """
+    is_base = lambda e: e["kind_no"] < BASE
+    ahead = lambda s, e: (F.struct(F.when(is_base(e), F.greatest(s["edge"], e["end"])).otherwise(s["edge"]).alias("edge")), is_base(e) | (e["start"] >= s["edge"]), e)
+    back = lambda s, e: (F.struct(F.when(is_base(e), e["start"]).otherwise(s["edge"]).alias("edge")), is_base(e) | (e["end"] <= s["edge"]), e)
+    both = folded(F.reverse(folded(F.array_sort(F.concat(base, more)), F.struct(F.lit(0).alias("edge")), SPAN, ahead)), F.struct(F.lit((1 << 31) - 1).alias("edge")), SPAN, back)
+    return F.when(F.size(more) > 0, F.reverse(both)).otherwise(F.array_sort(base))
+
+
+def _found(docs: DataFrame, text_col: str, least_score: float) -> DataFrame:
+    """(row, text, spans): each row of docs as a struct, so that no name of its columns matters, its text (null: empty) and its spans."""
+    x = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    empty, numbers = F.array().cast("array<string>"), range(len(KINDS))
     for no, k in enumerate(KINDS):
-        hint = F.col("_text").contains(k.hint) if k.hint else F.col("_text").rlike("[0-9]{2}|[0-9][ -][0-9]")
-        x = x.withColumn(f"_m{no}", F.when(hint, F.regexp_extract_all("_text", F.lit(k.pattern), F.lit(k.group))).otherwise(empty))
+        hint = F.col("text").contains(k.hint) if k.hint else F.col("text").rlike("[0-9]{2}|[0-9][ -][0-9]")
+        x = x.withColumn(f"m{no}", F.when(hint, F.regexp_extract_all("text", F.lit(k.pattern), F.lit(k.group))).otherwise(empty))
     for no, k in enumerate(KINDS):
-        x = x.withColumn(f"_p{no}", F.when(F.size(f"_m{no}") > 0, F.split("_text", k.pattern, -1)).otherwise(empty))
-    x = x.select(*own, *[held(F.col(f"_{c}{no}")).alias(f"_{c}{no}") for no in range(len(KINDS)) for c in "mp"])
-    x = x.select(*own, *[_spans(F.col("_text"), F.col(f"_p{no}"), F.col(f"_m{no}"), no).alias(f"_s{no}") for no in range(len(KINDS))])
-    x = x.select(*own, F.concat(*[F.col(f"_s{no}") for no in range(BASE)]).alias("_base"), F.concat(*[F.col(f"_s{no}") for no in range(BASE, len(KINDS))]).alias("_more"))
-    free = F.filter("_more", lambda e: (e["score"] >= least_score) & ~F.exists("_base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))
-    return x.select(*own, F.array_sort(F.concat(F.col("_base"), free)).alias(out_col))
+        x = x.withColumn(f"p{no}", F.when(F.size(f"m{no}") > 0, F.split("text", k.pattern, -1)).otherwise(empty))
+    x = x.select("row", "text", *[held(F.col(f"{c}{no}")).alias(f"{c}{no}") for no in numbers for c in "mp"])
+    some = lambda no: F.when(F.size(f"m{no}") > 0, _spans(F.col(f"p{no}"), F.col(f"m{no}"), no)).otherwise(F.array().cast(NONE))
+    x = x.select("row", "text", *[some(no).alias(f"s{no}") for no in numbers])
+    more = F.filter(F.concat(*[F.col(f"s{no}") for no in numbers if no >= BASE]), lambda e: e["score"] >= least_score)
+    x = x.select("row", "text", F.concat(*[F.col(f"s{no}") for no in range(BASE)]).alias("base"), held(more).alias("more"))
+    return x.select("row", "text", held(_merged(F.col("base"), F.col("more"))).alias("spans"))
+
+
+def with_spans(docs: DataFrame, text_col: str = "text", least_score: float = 0.6, out_col: str = "pii") -> DataFrame:
+    """docs with ``out_col``: spans (start, kind_no, end, kind, score) by start, then kind; code points, end exclusive.
+
+    A null or empty text has none; a column of that name is replaced.  Other
+    columns may have any names.  Repeated rows stay, no rows give none.
+    """
+    x = _found(docs, text_col, least_score)
+    return x.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != out_col], F.col("spans").alias(out_col))
 
 
 def listed(spans: Column) -> Column:
@@ -161,16 +199,37 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
+def _cut(text: Column, spans: Column, block: int = 256) -> Column:
+    """text with each span replaced by its kind in square brackets, where spans overlap by that of the first.
+
+    A place in a text is found by counting its characters, so a block of
+    neighbouring spans takes its part of the text first.
+    """
+    step = lambda s, e: (F.struct(F.greatest(s["at"], e["end"]).alias("at")), e["start"] >= s["at"], F.struct(s["at"].alias("lo"), e["start"].alias("hi"), e["kind"].alias("kind")))
+    cuts = folded(spans, F.struct(F.lit(0).alias("at")), "struct<lo:int,hi:int,kind:string>", step)
+    last = lambda part: F.get(part, F.size(part) - 1)
+    piece = lambda c, x: F.concat(F.substring(c["text"], x["lo"] - c["lo"] + 1, x["hi"] - x["lo"]), F.lit("["), F.upper(x["kind"]), F.lit("]"))
+    whole = lambda part: F.struct(F.get(part, F.lit(0))["lo"].alias("lo"), F.substring(text, F.get(part, F.lit(0))["lo"] + 1, last(part)["hi"] - F.get(part, F.lit(0))["lo"]).alias("text"))
+    joined = F.transform(let(cuts, lambda c: blocks_of(c, block)), lambda part: let(whole(part), lambda c: F.array_join(F.transform(part, lambda x: piece(c, x)), "")))
+    end = F.array_max(F.transform(spans, lambda e: e["end"]))
+    return F.concat(F.array_join(joined, ""), F.substring(text, end + 1, F.length(text)))
+
+
 def redacted(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """docs with every span replaced by its kind in square brackets, where spans overlap by that of the first.
 
-    A null text stays null; length_col, if docs has it, follows the new text.
+    A null text stays null, an empty one empty; length_col, if docs has it,
+    follows the new text.  Other columns stay, whatever their names.  Repeated
+    rows stay repeated, and no rows give none.
     """
-    x = with_spans(docs, text_col, out_col="_pii")
-    text = F.col(text_col)
-    step = lambda acc, e: F.when(e["start"] < acc["at"], F.struct(F.greatest(acc["at"], e["end"]).alias("at"), acc["out"].alias("out"))).otherwise(F.struct(e["end"].alias("at"), F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, e["start"] - acc["at"]), F.concat(F.lit("["), F.upper(e["kind"]), F.lit("]")))).alias("out")))
-    clean = F.aggregate("_pii", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
-    x = x.withColumn("_clean", F.when(text.isNull() | (F.size("_pii") == 0), text).otherwise(clean)).withColumn(text_col, F.col("_clean"))
-    if length_col and length_col in docs.columns:
-        x = x.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
-    return x.select(*docs.columns)
+    x = _found(docs, text_col, 0.6)
+    x = x.select("row", held(F.when(F.col("row")[text_col].isNull() | (F.size("spans") == 0), F.col("row")[text_col]).otherwise(_cut(F.col("text"), F.col("spans")))).alias("clean"))
+
+    def column(c: str) -> Column:
+        if c == text_col:
+            return F.col("clean")
+        if c == length_col:
+            return F.length("clean").cast(docs.schema[c].dataType)
+        return F.col("row")[c]
+
+    return x.select(*[column(c).alias(c) for c in docs.columns])
