@@ -2,35 +2,50 @@
 
 from __future__ import annotations
 
-from .quality import MEASURES
-
 WORDS = "regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')"
 
 
 def _quality() -> str:
-    bins = ", ".join(f"({sql.replace(' div ', ' // ')}) as {m}" for m, (sql, _, _) in MEASURES.items())
-    each = " union all ".join(f"select lang, source, '{m}' as measure, {m} as bin from binned where not base_failed" for m in MEASURES)
+    words, lines = "greatest(n_words, 1)", "greatest(n_lines, 1)"
+    value = {
+        "symbols": f"1000.0::double * n_symbols / {words}", "dup_lines": f"1000.0::double * n_dup_lines / {lines}",
+        "repeats": f"1000000.0::double * n_repeat_words / greatest(n_words * n_words, 1)", "word_length": f"100.0::double * word_chars / {words}",
+    }
+    error = {
+        "symbols": f"1000.0::double * sqrt(symbol_squares) / {words}", "dup_lines": f"1000.0::double * sqrt(n_dup_lines) / {lines}",
+        "repeats": f"1000000.0::double * sqrt(repeat_squares) / greatest(n_words * n_words, 1)",
+        "word_length": f"100.0::double * sqrt(greatest(0, word_squares / {words} - (word_chars / {words}) * (word_chars / {words})) / {words})",
+    }
+    width = lambda v: f"(1::bigint << greatest(0, length(bin({v})) - 8)::bigint)"
+    each = " union all ".join(f"select lang, source, '{m}' as measure, floor({x})::bigint as v from measured where not base_failed" for m, x in value.items())
 
     def level(name: str, by: str) -> str:
-        keys = f"{by}, measure" if by else "measure"
-        return f"""{name} as (select {keys}, max(docs) as docs, min(bin) filter (upto * 4 >= docs) as q25, min(bin) filter (upto * 4 >= 3 * docs) as q75 from
- (select {keys}, bin, sum(n) over (partition by {keys} order by bin) as upto, sum(n) over (partition by {keys}) as docs from (select {keys}, bin, count(*) as n from each_ group by all)) group by {keys})"""
+        """Quantiles of a sketch: the lowest bin up to which a share of the documents lies, and how far into it."""
+        keys = f"{by}measure"
+        first = lambda q, c: f"arg_min({c}, bin) filter (upto >= ({q} - 1e-9::double) * docs)"
+        into = lambda q: f"{first(q, 'bin')} + {width(first(q, 'bin'))} * ({q}::double * max(docs) - ({first(q, 'upto')} - {first(q, 'n')})) / {first(q, 'n')}"
+        return f"""{name} as (select {keys}, max(docs) as docs, {into('0.25')} as q25, {into('0.75')} as q75 from
+ (select *, (sum(n) over (partition by {keys} order by bin))::bigint as upto, (sum(n) over (partition by {keys}))::bigint as docs from (select {keys}, bin, sum(n)::bigint as n from sketch group by all)) group by {keys.rstrip(', ')})"""
 
-    spread = " ".join(f"when '{m}' then {x}" for m, (_, x, _) in MEASURES.items())
-    floor = " ".join(f"when '{m}' then {x}" for m, (_, _, x) in MEASURES.items())
-    tops = ", ".join(f"max(most) filter (measure = '{m}') as max_{m}" for m in MEASURES)
-    within = " and ".join(f"b.{m} <= l.max_{m}" for m in MEASURES)
+    pulled = lambda q, a, b: f"({a}.docs * {a}.{q} + 100.0::double * {b}.{q}) / ({a}.docs + 100.0::double) as {q}"
+    tops = ", ".join([*(f"max(q75 + 3.0::double * (q75 - q25)) filter (measure = '{m}') as max_{m}" for m in value), "max(q25 - 3.0::double * (q75 - q25)) filter (measure = 'word_length') as min_word_length"])
+    within = " and ".join([*(f"{value[m]} - 3.0::double * ({error[m]}) <= max_{m}" for m in value), f"{value['word_length']} + 3.0::double * ({error['word_length']}) >= min_word_length"])
+    squares = lambda parts: f"coalesce(list_sum(list_transform({parts}, lambda x: length(x) * length(x))), 0)::bigint"
     return f"""with d as (select row_number() over () as rn, doc_id, lang, source, coalesce(text, '') as text, {WORDS} as w from documents),
 windows as (select rn, i, count(*) over (partition by rn, a, b, c) as times from (select rn, i, w[i] as a, w[i + 1] as b, w[i + 2] as c from (select rn, w, unnest(range(1, len(w) - 1)) as i from d))),
-covered as (select rn, count(distinct i + k) as n from windows, (select unnest([0, 1, 2]) as k) where times > 1 group by rn),
-lines as (select rn, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) as l from d),
-measured as (select d.rn, doc_id, lang, source, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols, len(l)::bigint as n_lines, (len(l) - len(list_distinct(l)))::bigint as n_dup_lines, coalesce(n, 0)::bigint as n_repeat_words from d join lines using (rn) left join covered using (rn)),
-binned as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, {bins} from measured),
-each_ as ({each}),
-{level("fine", "lang, source")}, {level("mid", "lang")}, {level("top_", "")},
-picked as (select f.lang, f.source, f.measure, case when f.docs >= 100 then f.q25 when m.docs >= 100 then m.q25 else t.q25 end as a, case when f.docs >= 100 then f.q75 when m.docs >= 100 then m.q75 else t.q75 end as b from fine f join mid m on f.lang is not distinct from m.lang and f.measure = m.measure join top_ t on f.measure = t.measure),
-limits as (select lang, source, {tops} from (select *, greatest(b + 3 * greatest(b - a, case measure {spread} end), case measure {floor} end) as most from picked) group by lang, source)
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and coalesce({within}, false) as kept from binned b left join limits l on b.lang is not distinct from l.lang and b.source is not distinct from l.source"""
+covered as (select distinct rn, i + k as i from windows, (select unnest([0, 1, 2]) as k) where times > 1),
+runs as (select rn, count(*) as n from (select rn, i - row_number() over (partition by rn order by i) as run from covered) group by rn, run),
+repeated as (select rn, sum(n)::bigint as n_repeat_words, sum(n * n)::bigint as repeat_squares from runs group by rn),
+lines as (select rn, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) as l, regexp_extract_all(text, '[#*$%&|<>]+') as s from d),
+counted as (select d.rn, doc_id, lang, source, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars, {squares('w')} as word_squares, coalesce(list_sum(list_transform(s, lambda x: length(x))), 0)::bigint as n_symbols, {squares('s')} as symbol_squares,
+  len(l)::bigint as n_lines, (len(l) - len(list_distinct(l)))::bigint as n_dup_lines, coalesce(n_repeat_words, 0)::bigint as n_repeat_words, coalesce(repeat_squares, 0)::bigint as repeat_squares from d join lines using (rn) left join repeated using (rn)),
+measured as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counted),
+sketch as (select lang, source, measure, v - v % {width('v')} as bin, count(*) as n from ({each}) group by all),
+{level('fine', 'lang, source, ')}, {level('mid', 'lang, ')}, {level('top_', '')},
+langs as (select m.lang, m.measure, {pulled('q25', 'm', 't')}, {pulled('q75', 'm', 't')} from mid m join top_ t using (measure)),
+groups_ as (select f.lang, f.source, f.measure, {pulled('q25', 'f', 'l')}, {pulled('q75', 'f', 'l')} from fine f join langs l on f.lang is not distinct from l.lang and f.measure = l.measure),
+limits as (select lang, source, {tops} from groups_ group by lang, source)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and coalesce({within}, false) as kept from measured b left join limits l on b.lang is not distinct from l.lang and b.source is not distinct from l.source"""
 
 
 def _chat() -> str:
