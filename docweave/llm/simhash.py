@@ -401,7 +401,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Copies first come down to one row per fingerprint, then fingerprints to one per component.
     per_fp = thin.groupBy("fp").agg(first)
     keep = per_fp.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min("first").alias("first"))
-    keep = keep.select(F.col("first.id").alias("_id"), F.col("first.text_hash").alias("_hash"))
-    kept = docs.withColumn("_text_hash", F.xxhash64(F.col(text_col))).join(keep, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")))
-    place = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy("_hash"))
-    return kept.withColumn("_place", place).where("_place = 1").select(*docs.columns)
+    keep = keep.select(F.col("first.id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
+    own = docs.columns
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), *[F.col(f"`{c}`").alias(f"own_{i}") for i, c in enumerate(own)])
+    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash")))
+    place = F.row_number().over(Window.partitionBy("id", "text_hash").orderBy("text_hash"))
+    return kept.withColumn("place", place).where("place = 1").select(*[F.col(f"own_{i}").alias(c) for i, c in enumerate(own)])
