@@ -19,6 +19,18 @@ def odd_rows():
     return rows
 
 
+#: Names that operators use for columns of their own, or used to.
+CLASHING = ["_id", "_hash", "_text_hash", "_place", "_size", "_source", "_words", "_n", "_copy", "_pii", "_m0", "_base", "_text", "_clean", "_row", "row", "text_hash", "rank", "class", "copies", "clean", "spans", "own_0", "lo", "fp_", "n_words", "kept", "measure", "bin", "no_source", "source_key", "take", "kept_id", "place", "a.b", "_docweave_measured"]
+
+
+@pytest.fixture(scope="session")
+def clashing(spark, odd):
+    """odd with more columns, of names that operators might use themselves; each holds the row's own number."""
+    from pyspark.sql import functions as F
+
+    return odd.select("*", *[F.concat(F.lit(f"{c}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias(c) for c in CLASHING])
+
+
 @pytest.fixture(scope="session")
 def odd(spark):
     return spark.createDataFrame(odd_rows(), SCHEMA).repartition(3).cache()
