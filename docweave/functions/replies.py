@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 from typing import Any
 
 import pandas as pd
@@ -45,12 +46,28 @@ def extraction(reply: str | None) -> tuple[bool, list[tuple], list[tuple]]:
     return True, entities, relations
 
 
+def _batched(of: Callable[[str | None], Any], kind: str) -> Callable[[Column], Column]:
+    """of as a column function that takes replies in Arrow batches."""
+
+    @F.pandas_udf(kind)
+    def parse(texts: pd.Series) -> pd.Series:
+        return pd.Series([of(t) for t in texts], dtype=object)
+
+    return parse
+
+
+def _extraction_row(reply: str | None) -> dict[str, Any]:
+    ok, entities, relations = extraction(reply)
+    names = ("id", "type", "name", "attributes", "evidence"), ("source_id", "type", "target_id", "evidence")
+    return {"ok": ok, "entities": [dict(zip(names[0], e)) for e in entities], "relations": [dict(zip(names[1], r)) for r in relations]}
+
+
 def parse_extraction(reply: Column) -> Column:
-    @F.udf(EXTRACTION, useArrow=True)
-    def parse(text):
-        ok, entities, relations = extraction(text)
-        names = ("id", "type", "name", "attributes", "evidence"), ("source_id", "type", "target_id", "evidence")
-        return {"ok": ok, "entities": [dict(zip(names[0], e)) for e in entities], "relations": [dict(zip(names[1], r)) for r in relations]}
+    """A struct (ok, entities, relations), see extraction()."""
+
+    @F.pandas_udf(EXTRACTION)
+    def parse(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_extraction_row(t) for t in texts], columns=["ok", "entities", "relations"])
 
     return parse(reply)
 
@@ -67,30 +84,46 @@ def segments(reply: str | None) -> list[tuple[int, int, str | None]] | None:
 
 
 def parse_segments(reply: Column) -> Column:
-    @F.udf(SEGMENTS, useArrow=True)
-    def parse(text):
+    names = ("start_paragraph", "end_paragraph", "topic")
+
+    def one(text: str | None) -> list[dict] | None:
         found = segments(text)
-        return found and [dict(zip(("start_paragraph", "end_paragraph", "topic"), s)) for s in found]
+        return None if found is None else [dict(zip(names, s)) for s in found]
 
-    return parse(reply)
+    return _batched(one, SEGMENTS)(reply)
 
 
-def verdict(reply: Column) -> Column:
-    """SUPPORTED, UNSUPPORTED or UNSURE, the last for anything else."""
+def answer(text: str | None) -> dict:
+    """The object from the first brace to the last one; empty if that isn't one."""
+    found = re.search(r"\{.*\}", text or "", re.DOTALL)
+    try:
+        value = json.loads(found[0]) if found else {}
+    except ValueError:
+        value = {}
+    return value if isinstance(value, dict) else {}
 
-    @F.pandas_udf("string")
-    def parse(s: pd.Series) -> pd.Series:
-        def one(text):
-            value = first_json(text)
-            said = str(value.get("verdict", "")).strip().upper() if isinstance(value, dict) else ""
-            return said if said in ("SUPPORTED", "UNSUPPORTED") else "UNSURE"
 
-        return s.map(one)
+def said(text: str | None) -> str:
+    word = str(answer(text).get("verdict", "")).strip().upper()
+    return word if word in ("SUPPORTED", "UNSUPPORTED") else "UNSURE"
 
-    return parse(reply)
+
+def verdict(reply: Column) -> Column:
+    """SUPPORTED, UNSUPPORTED or UNSURE, the last for anything else."""
+    return _batched(said, "string")(reply)
 
 
 def same(reply: str | None) -> bool:
     """Whether a reply says that two names are one entity."""
+    return bool(answer(reply).get("same", False))
+
+
+def same_column(reply: Column) -> Column:
+    return _batched(same, "boolean")(reply)
+
+
+def domain_schema(reply: str | None) -> dict | None:
+    """The domain schema that a reply holds: an object with two lists of types; None if it holds none."""
     value = first_json(reply)
-    return bool(value.get("same", False)) if isinstance(value, dict) else False
+    fine = isinstance(value, dict) and all(isinstance(value.get(k), list) for k in ("entity_types", "relation_types"))
+    return value if fine else None

@@ -87,3 +87,10 @@ def evaluated(predictions: DataFrame, gold_docs: DataFrame, strict: bool = False
     """
     p, g = predictions.select("doc").distinct(), gold_docs.select("doc").distinct()
     return (g if strict else p.join(g, "doc", "left_semi")), p.join(g, "doc", "left_anti")
+
+
+def doc_counts(evaluated: DataFrame, missing: DataFrame) -> DataFrame:
+    """One row (evaluated_docs, missing_gold_docs) of evaluated()."""
+    n = lambda x, kind: x.select(F.lit(kind).alias("kind"))
+    of = lambda kind: F.count(F.when(F.col("kind") == kind, 1))
+    return n(evaluated, "e").unionByName(n(missing, "m")).agg(of("e").alias("evaluated_docs"), of("m").alias("missing_gold_docs"))

@@ -8,98 +8,144 @@ first name of an entity, its leader, decides what joins it:
    this is sequential, and only over distinct names.
 2. Assignment.  A mention whose name leads belongs to that leader; any other
    to the most similar leader that came before the mention, the earlier one on
-   ties.  That is a join on (base, type) within a length bound, scored once for
-   every pair of names, and a minimum.
+   ties.  Leaders that are similar enough are scored once for every name, where
+   the letters that two names share allow it, and a mention takes a minimum.
 3. Folds over each entity's mentions.
 """
 
 from __future__ import annotations
 
 import difflib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import similarity
 from ..functions import text as T
+from ..sources.shared import stored
 
 
-def named(mentions: DataFrame) -> DataFrame:
+def named(mentions: DataFrame, strict: bool = True) -> DataFrame:
     """mentions (base, row_pos, ent_pos, chunk_id, id, type, name, attributes, evidence) that have a local id, with norm and ord.
 
-    A mention without type or name is an error, as it can't be filed.
+    A mention without type or name can't be filed: an error, or without strict
+    left out.
     """
     x = mentions.withColumns({c: T.strip(F.coalesce(c, F.lit(""))) for c in ("id", "type", "name")}).where("id <> ''")
-    x = x.withColumn("name", F.when((F.col("type") != "") & (F.col("name") != ""), F.col("name")).otherwise(F.raise_error(F.lit("entity without type or name")).cast("string")))
+    fine = (F.col("type") != "") & (F.col("name") != "")
+    x = x.withColumn("name", F.when(fine, F.col("name")).otherwise(F.raise_error(F.lit("entity without type or name")).cast("string"))) if strict else x.where(fine)
     return x.withColumn("norm", T.entity_name(F.col("name"))).withColumn("ord", F.struct("row_pos", "ent_pos"))
 
 
-def exact(mentions: DataFrame) -> DataFrame:
+def exact(mentions: DataFrame, strict: bool = True) -> DataFrame:
     """named() with leader, the name that an entity is filed under: its own."""
-    return named(mentions).withColumn("leader", F.col("norm"))
-
-
-def leaders(names: DataFrame, least: float) -> DataFrame:
-    """(base, type, leader, leader_ord) of distinct names (base, type, norm, ord)."""
-    schema = ", ".join(f"{c} {names.schema[f].dataType.simpleString()}" for c, f in (("base", "base"), ("type", "type"), ("leader", "norm"))) + ", row_pos int, ent_pos int"
+    return named(mentions, strict).withColumn("leader", F.col("norm"))
+
+
+#: Distinct names that a task is planned for.
+TASK_NAMES = 20_000
+
+
+class _Leaders:
+    """Leaders of a group so far, with their letters' counts, which bound the similarity to any name from above."""
+
+    def __init__(self, names: list[str], least: float):
+        self.least, self.letters = least, {c: i for i, c in enumerate(sorted(set("".join(names))))}
+        self.norms: list[str] = []
+        self.matchers: list[difflib.SequenceMatcher] = []
+        self.counts, self.sizes = np.zeros((16, len(self.letters)), np.int32), np.zeros(16, np.int64)
+
+    def count(self, name: str) -> np.ndarray:
+        return np.bincount([self.letters[c] for c in name], minlength=len(self.letters)).astype(np.int32) if name else np.zeros(len(self.letters), np.int32)
+
+    def add(self, name: str, count: np.ndarray) -> None:
+        n = len(self.norms)
+        if n == len(self.sizes):
+            self.counts, self.sizes = np.concatenate([self.counts, np.zeros_like(self.counts)]), np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+        self.counts[n], self.sizes[n] = count, len(name)
+        self.norms.append(name)
+        # The second sequence is the one that a matcher indexes; the first may change at no cost.
+        self.matchers.append(difflib.SequenceMatcher(None, "", name))
+
+    def close(self, name: str, count: np.ndarray) -> Iterator[tuple[int, float]]:
+        """(number, similarity) of the leaders that are similar enough, where the most letters are shared first."""
+        n = len(self.norms)
+        # Letters are few: minima over them are taken a column at a time only where the name has them.
+        has = np.flatnonzero(count)
+        shared = np.minimum(self.counts[:n][:, has], count[has]).sum(axis=1)
+        bound = 2.0 * shared / np.maximum(self.sizes[:n] + len(name), 1)
+        some = np.flatnonzero(bound >= self.least - 1e-9)
+        for i in some[np.argsort(-bound[some], kind="stable")].tolist():
+            matcher = self.matchers[i]
+            matcher.set_seq1(name)
+            score = matcher.ratio()
+            if score >= self.least:
+                yield i, score
+
+
+def scored(names: DataFrame, least: float) -> DataFrame:
+    """(base, type, norm, leader, score, leader_ord) of distinct names (base, type, norm, ord).
+
+    A leader has one row, itself; any other name one for each leader that is
+    similar enough, whichever came first.  Groups of names are dealt over as
+    many tasks as their number asks for; a (base, type) is one task's work, as
+    its leaders are elected one after the other, and memory holds its names.
+    """
+    schema = ", ".join(f"{c} {names.schema[f].dataType.simpleString()}" for c, f in (("base", "base"), ("type", "type"), ("norm", "norm"), ("leader", "norm"))) + ", score double, row_pos int, ent_pos int"
 
     def elect(frame: pd.DataFrame) -> list[tuple]:
-        chosen: list[str] = []
-        rows = []
-        for r in frame.itertuples(index=False):
-            matcher = difflib.SequenceMatcher(None, r.norm, "")
-            n, close = len(r.norm), False
-            for c in chosen:
-                # Length and letters bound the ratio from above.
-                if 2 * min(n, len(c)) < least * (n + len(c)) - 1e-9:
-                    continue
-                matcher.set_seq2(c)
-                if matcher.quick_ratio() >= least and matcher.ratio() >= least:
-                    close = True
-                    break
-            if not close:
-                chosen.append(r.norm)
-                rows.append((r.base, r.type, r.norm, r.row_pos, r.ent_pos))
-        return rows
+        norms, ords = frame["norm"].tolist(), list(zip(frame["row_pos"].tolist(), frame["ent_pos"].tolist()))
+        leaders = _Leaders(norms, least)
+        places: list[int] = []
+        others: list[tuple[str, np.ndarray]] = []
+        for i, name in enumerate(norms):
+            count = leaders.count(name)
+            if next(leaders.close(name, count), None) is None:
+                leaders.add(name, count)
+                places.append(i)
+            else:
+                others.append((name, count))
+        rows = [(norms[i], norms[i], 1.0, *ords[i]) for i in places]
+        rows += [(name, leaders.norms[k], score, *ords[places[k]]) for name, count in others for k, score in leaders.close(name, count)]
+        return [(frame["base"].iat[0], frame["type"].iat[0], *r) for r in rows]
 
     def elect_all(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["row_pos", "ent_pos"])
-        rows = [row for _, group in frame.groupby(["base", "type"], sort=False) for row in elect(group)]
-        return pd.DataFrame(rows, columns=["base", "type", "leader", "row_pos", "ent_pos"])
+        rows = [row for _, group in frame.groupby(["base", "type"], sort=False, dropna=False) for row in elect(group)]
+        return pd.DataFrame(rows, columns=["base", "type", "norm", "leader", "score", "row_pos", "ent_pos"])
 
     # A document has few names of a type, so many of them share a task rather than each being a call of its own.
-    tasks = 4 * int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    flat = names.select("base", "type", "norm", F.col("ord.row_pos").cast("int").alias("row_pos"), F.col("ord.ent_pos").cast("int").alias("ent_pos"))
-    flat = flat.withColumn("task", F.pmod(F.xxhash64("base", "type"), F.lit(tasks)))
-    out = flat.groupBy("task").applyInPandas(elect_all, schema)
-    return out.select("base", "type", "leader", F.struct("row_pos", "ent_pos").alias("leader_ord"))
-
-
-def fuzzy(mentions: DataFrame, least: float = 0.92) -> DataFrame:
-    """named() with leader by similarity of at least ``least``, as described above."""
-    x = named(mentions)
-    names = x.groupBy("base", "type", "norm").agg(F.min("ord").alias("ord"))
-    lead = leaders(names, least)
-    others = names.join(lead.select("base", "type", F.col("leader").alias("norm")), ["base", "type", "norm"], "left_anti")
-    pairs = others.select("base", "type", "norm").join(lead, ["base", "type"]).where(similarity.length_bound(F.col("norm"), F.col("leader"), least))
-    scored = pairs.withColumn("score", similarity.ratios("norm", "leader")).where(F.col("score") >= least)
-    rest = x.join(lead.select("base", "type", F.col("leader").alias("norm")), ["base", "type", "norm"], "left_anti")
-    own = x.join(lead.select("base", "type", F.col("leader").alias("norm")), ["base", "type", "norm"], "left_semi").withColumn("leader", F.col("norm"))
+    flat = stored(names.select("base", "type", "norm", F.col("ord.row_pos").cast("int").alias("row_pos"), F.col("ord.ent_pos").cast("int").alias("ent_pos")), "names")
+    tasks = max(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-flat.count() // TASK_NAMES))
+    out = flat.withColumn("task", F.pmod(F.xxhash64("base", "type"), F.lit(tasks))).groupBy("task").applyInPandas(elect_all, schema)
+    return out.select("base", "type", "norm", "leader", "score", F.struct("row_pos", "ent_pos").alias("leader_ord"))
+
+
+def fuzzy(mentions: DataFrame, least: float = 0.92, max_candidates: int = 25, strict: bool = True) -> DataFrame:
+    """named() with leader by similarity of at least ``least``, as described above.
+
+    Of the most similar max_candidates leaders only the first one matters, so
+    without any (0) names resolve exactly.
+    """
+    if max_candidates <= 0:
+        return exact(mentions, strict)
+    x = named(mentions, strict)
+    pairs = scored(x.groupBy("base", "type", "norm").agg(F.min("ord").alias("ord")), least)
     before = F.struct(F.col("leader_ord.row_pos"), F.col("leader_ord.ent_pos")) < F.struct(F.col("row_pos").cast("int"), F.col("ent_pos").cast("int"))
-    best = rest.select("base", "type", "norm", "row_pos", "ent_pos").join(scored, ["base", "type", "norm"]).where(before)
-    best = best.groupBy("base", "type", "row_pos", "ent_pos").agg(F.min_by("leader", F.struct(-F.col("score"), F.col("leader_ord"))).alias("leader"))
-    return own.select(*x.columns, "leader").unionByName(rest.join(best, ["base", "type", "row_pos", "ent_pos"]).select(*x.columns, "leader"))
+    met = x.join(pairs, ["base", "type", "norm"]).where((F.col("norm") == F.col("leader")) | before)
+    best = met.groupBy("base", "type", "row_pos", "ent_pos").agg(F.min_by(F.struct(*x.columns, "leader"), F.struct(-F.col("score"), F.col("leader_ord"))).alias("best"))
+    return best.select("best.*")
 
 
-def adjudicated(mentions: DataFrame, same: Callable[[str, str, str | None, str, str | None], bool], high: float = 0.92, low: float = 0.80) -> DataFrame:
+def adjudicated(mentions: DataFrame, same: Callable[[str, str, str | None, str, str | None], bool], high: float = 0.92, low: float = 0.80, strict: bool = True) -> DataFrame:
     """named() with leader, where pairs between low and high are decided by same(type, name, evidence, other name, other evidence).
 
     Answers depend on what an entity was last seen with, so a (base, type) is
     one sequential fold.
     """
-    x = named(mentions)
+    x = named(mentions, strict)
     flat = x.select(*[c for c in x.columns if c != "ord"])
 
     def fold(frame: pd.DataFrame) -> pd.DataFrame:

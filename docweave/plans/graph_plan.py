@@ -34,7 +34,7 @@ def names(spark: SparkSession, values: tuple[str, ...]) -> DataFrame:
     return spark.createDataFrame([(v,) for v in values], "name string")
 
 
-def build(docs: DataFrame, settings: Settings = Settings(), extract: Callable[[DataFrame], DataFrame] = extraction.mentions_by_rule, entity_types: DataFrame | None = None, relation_types: DataFrame | None = None, fuzzy: bool = False) -> Graph:
+def build(docs: DataFrame, settings: Settings = Settings(), extract: Callable[[DataFrame], DataFrame] = extraction.mentions_by_rule, entity_types: DataFrame | None = None, relation_types: DataFrame | None = None, fuzzy: bool = True) -> Graph:
     """The whole plan over docs (base, text); extract turns chunks into extraction rows."""
     spark = docs.sparkSession
     chunks = chunking.rule_chunks(chunking.clean(docs, settings.chunk_max_doc_chars), settings.chunk_size, settings.chunk_overlap, settings.chunk_max_chunks)

@@ -69,7 +69,7 @@ CHUNKS = f"""chunks as (select base, i::int as chunk_id, (i * 3700)::int as char
 MENTIONS = """found as (select base, chunk_id, regexp_extract_all(text, '[A-Z][a-z]{4,}') as m from chunks),
 spots as (select base, chunk_id, m, unnest(range(len(m))) as i from found),
 mentions as (select base, chunk_id as row_pos, i::int as ent_pos, 'e' || i as id, ['Person', 'Group', 'Place', 'Other'][length(m[i + 1]) % 4 + 1] as type, m[i + 1] as name, '{"length": ' || length(m[i + 1]) || '}' as attributes, m[i + 1] as evidence from spots),
-pairs as (select base, chunk_id as row_pos, i::int as rel_pos, 'e' || i as source_id, ['knows', 'located in', 'unlisted'][(length(m[i + 1]) + length(m[i + 2])) % 3 + 1] as type, 'e' || (i + 1) as target_id, m[i + 1] || ' ' || m[i + 2] as evidence from spots where i + 2 <= len(m))"""
+pairs as (select base, chunk_id as row_pos, i::int as rel_pos, 'e' || i as source_id, ['knows', 'located in', 'unlisted'][(length(m[i + 1]) + length(m[i + 2])) % 3 + 1] as type, 'e' || (i + 1) as target_id, case (length(m[i + 1]) + length(m[i + 2])) % 3 when 0 then m[i + 1] else m[i + 1] || ' ' || m[i + 2] end as evidence from spots where i + 2 <= len(m))"""
 KEPT = """ents as (select * from mentions where type in ('Person', 'Group', 'Place')),
 rels as (select p.* from pairs p where type in ('knows', 'located in')
   and exists (select 1 from ents e where e.base = p.base and e.row_pos = p.row_pos and e.id = p.source_id)
@@ -121,7 +121,8 @@ def spaced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plan(spark: SparkSession, sf_dir: str) -> graph_plan.Graph:
-    return graph_plan.build(docs(spark, sf_dir))
+    """The plan with exact resolution, which SQL can follow."""
+    return graph_plan.build(docs(spark, sf_dir), fuzzy=False)
 
 
 @query(f"select doc_id, {sql_strip(rx('text', chr(13) + chr(10) + '?', chr(10)))} as text from documents")
@@ -227,11 +228,18 @@ def segment_cover_valid(spark, sf_dir):
     return chunking.segments_valid(s.select("base", F.col("para_start").alias("start"), F.col("para_end").alias("end")), s.select("base", F.col("n").alias("n_paragraphs")).distinct())
 
 
-@query(f"with recursive {SEGMENTS}, src as (select s.base * 100000::bigint + s.segment_id as base, l.text as text, a.char_start as lo, b.char_end as hi from segs s join valid v on v.base = s.base and v.valid join lines l on l.base = s.base join paras a on a.base = s.base and a.idx = s.para_start join paras b on b.base = s.base and b.idx = s.para_end - 1), {recursive(400, 50, 'src')} select base // 100000 as base, (row_number() over (partition by base // 100000 order by base % 100000, i) - 1)::int as chunk_id, (base % 100000)::int as segment_id, s::int as char_start, e::int as char_end, {sql_strip('substring(text, (s + 1)::int, (e - s)::int)')} as text from spans")
+#: Segments of documents with a usable reply, and whole texts of all others as segment 99999.
+ROUTED = f"""{SEGMENTS}, ok as (select v.base from valid v join sizes z using (base) where v.valid and z.n <= 120),
+src as (select s.base * 100000::bigint + s.segment_id as base, l.text as text, a.char_start as lo, b.char_end as hi from segs s join ok on ok.base = s.base join lines l on l.base = s.base join paras a on a.base = s.base and a.idx = s.para_start join paras b on b.base = s.base and b.idx = s.para_end - 1
+  union all select base * 100000::bigint + 99999, text, 0, length(text) from lines where base not in (select base from ok))"""
+
+
+@query(f"""with recursive {ROUTED}, {recursive(400, 50, 'src')}
+select base // 100000 as base, (row_number() over (partition by base // 100000 order by base % 100000, i) - 1)::int as chunk_id, case when base % 100000 < 99999 then (base % 100000)::int end as segment_id, s::int as char_start, e::int as char_end, {sql_strip('substring(text, (s + 1)::int, (e - s)::int)')} as text, case when base % 100000 < 99999 then 'llm' else 'llm_fallback_rule' end as variant from spans""")
 def hybrid_chunks(spark, sf_dir):
+    """Chunks by segments where the segments are valid and paragraphs are not too many, by rule everywhere else."""
     d, s = spaced(spark, sf_dir), fixed_segments(spark, sf_dir)
-    x = chunking.routed(d, s.drop("n"), max_paragraphs=1_000_000, size=400, overlap=50).where("variant = 'llm'")
-    return x.select("base", "chunk_id", "segment_id", "char_start", "char_end", "text")
+    return chunking.routed(d, s.drop("n"), size=400, overlap=50).select("base", "chunk_id", "segment_id", "char_start", "char_end", "text", "variant")
 
 
 @query(f"select doc_id as base, substring({sql_strip('text')}, 1, 12000) as text from documents order by doc_id limit 3")
@@ -282,16 +290,37 @@ def resolve_relations(spark, sf_dir):
     return r.select("base", "source", "type", "target", F.size("provenance").cast("long").alias("provenance_count"), F.col("provenance")[0]["chunk_id"].alias("first_chunk"), F.element_at("provenance", -1)["evidence_relation"].alias("last_evidence"))
 
 
+def as_mentions(names: DataFrame) -> DataFrame:
+    """Mentions of one type from rows (base, row_pos, name)."""
+    return names.select("base", "row_pos", F.lit(0).alias("ent_pos"), F.col("row_pos").alias("chunk_id"), F.lit("e0").alias("id"), F.lit("Thing").alias("type"), "name", F.lit("{}").alias("attributes"), F.col("name").alias("evidence"))
+
+
 @query()
 def resolve_fuzzy(spark, sf_dir):
     """Customers and parts as mentions: names that differ little become one entity."""
     c = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), F.col("c_nationkey").cast("string")).alias("base"), F.col("c_custkey").cast("int").alias("row_pos"), F.col("c_name").alias("name"))
     p = table(spark, sf_dir, "part").select(F.concat(F.lit("p"), F.col("p_size").cast("string")).alias("base"), F.col("p_partkey").cast("int").alias("row_pos"), F.col("p_name").alias("name"))
-    m = c.unionByName(p).select("base", "row_pos", F.lit(0).alias("ent_pos"), F.col("row_pos").alias("chunk_id"), F.lit("e0").alias("id"), F.lit("Thing").alias("type"), "name", F.lit("{}").alias("attributes"), F.col("name").alias("evidence"))
-    x = resolution.resolved(resolution.fuzzy(m))
+    x = resolution.resolved(resolution.fuzzy(as_mentions(c.unionByName(p))))
     return x.groupBy("base", "type", "leader", "global_id").agg(F.count("*").alias("mention_count"), resolution.best_name(F.col("name"), F.col("ord")).alias("name"))
 
 
+def planted_name(key: str) -> str:
+    """Names of 33 characters; those of six neighbouring keys differ in the last one only, any others nearly everywhere."""
+    return f"md5(cast(floor({key} / 6) as string)) || substr('abc', cast({key} % 3 as int) + 1, 1)"
+
+
+PLANTED = "mentions_ as (select 'c' || c_nationkey as base, c_custkey as key, md5((c_custkey // 6)::varchar) || substr('abc', (c_custkey % 3)::int + 1, 1) as name from customer union all select 'p' || p_size, p_partkey, md5((p_partkey // 6)::varchar) || substr('abc', (p_partkey % 3)::int + 1, 1) from part)"
+
+
+@query(f"with {PLANTED} select base, min_by(name, key) as leader, 'Thing:' || min_by(name, key) as global_id, count(*) as mention_count, min_by(name, key) as name from mentions_ group by base, substr(name, 1, 32)")
+def resolve_fuzzy_planted(spark, sf_dir):
+    """Fuzzy resolution of names whose leaders are known from how they are made: the first of each group."""
+    c = table(spark, sf_dir, "customer").select(F.expr("'c' || c_nationkey").alias("base"), F.col("c_custkey").cast("int").alias("row_pos"), F.expr(planted_name("c_custkey")).alias("name"))
+    p = table(spark, sf_dir, "part").select(F.expr("'p' || p_size").alias("base"), F.col("p_partkey").cast("int").alias("row_pos"), F.expr(planted_name("p_partkey")).alias("name"))
+    x = resolution.resolved(resolution.fuzzy(as_mentions(c.unionByName(p))))
+    return x.groupBy("base", "leader", "global_id").agg(F.count("*").alias("mention_count"), resolution.best_name(F.col("name"), F.col("ord")).alias("name"))
+
+
 STARS = "marks as (select o_custkey as grp, o_orderkey as ord, o_orderpriority as name, '{\"status\": \"' || case o_orderstatus when 'F' then '' else o_orderstatus end || '\", \"n\": ' || (o_orderkey % 3) || '}' as attributes from orders)"
 
 
@@ -421,51 +450,106 @@ def gold_text(spark, sf_dir):
     return c.select("conv_id", evaluation.sentences_text(F.transform("s", lambda x: x["tokens"])).alias("text"))
 
 
-#: Predictions are what half of each text has, gold what the other half and every text over 1,000 characters have.
-EVAL = f"""words_ as (select base, name from (select base, unnest(regexp_extract_all(substring(text, 1, 1500), '[A-Z][a-z]{{4,}}')) as name from docs)),
-gold_ as (select base, name from (select base, unnest(regexp_extract_all(substring(text, 751, 3000), '[A-Z][a-z]{{4,}}')) as name from docs where base % 5 <> 0)),
-p as (select distinct base as doc, {sql_eval("name")} as item from words_), g as (select distinct base as doc, {sql_eval("name")} as item from gold_),
-both_ as (select distinct p.doc from p join g using (doc)),
-tally as (select count(*) filter (p.doc is not null and g.doc is not null) as tp, count(*) filter (g.doc is null) as fp, count(*) filter (p.doc is null) as fn from (select * from p where doc in (select doc from both_)) p full join (select * from g where doc in (select doc from both_)) g on p.doc = g.doc and p.item = g.item)"""
+#: Predictions are the plan's entities and relations; gold is what capitalised words of six letters or more, and neighbours among them, are in the whole text.
+EVAL = f"""long_words as (select base, regexp_extract_all(text, '[A-Z][a-z]{{5,}}') as m from docs),
+p as (select distinct base as doc, {sql_eval("name")} as item from entities), g as (select distinct base as doc, {sql_eval("name")} as item from (select base, unnest(m) as name from long_words)),
+named_ as (select base, global_id, arg_max(name, first_ord) as name from entities group by base, global_id),
+p3 as (select distinct r.base as doc, {sql_eval("s.name")} as s, r.type as r, {sql_eval("t.name")} as t from relations r join named_ s on s.base = r.base and s.global_id = r.source join named_ t on t.base = r.base and t.global_id = r.target),
+g3 as (select distinct base as doc, {sql_eval("a")} as s, ['knows', 'located in'][(length(a) + length(b)) % 3 + 1] as r, {sql_eval("b")} as t from (select base, m[i] as a, m[i + 1] as b from (select base, m, unnest(range(1, len(m))) as i from long_words)) where (length(a) + length(b)) % 3 < 2),
+both_ as (select doc from p intersect select doc from g),
+tally as (select count(*) filter (p.doc is not null and g.doc is not null) as tp, count(*) filter (g.doc is null) as fp, count(*) filter (p.doc is null) as fn from (select * from p where doc in (select doc from both_)) p full join (select * from g where doc in (select doc from both_)) g on p.doc = g.doc and p.item = g.item),
+tally3 as (select count(*) filter (p.doc is not null and g.doc is not null) as tp, count(*) filter (g.doc is null) as fp, count(*) filter (p.doc is null) as fn from (select * from p3 where doc in (select doc from both_)) p full join (select * from g3 where doc in (select doc from both_)) g on p.doc = g.doc and p.s = g.s and p.r = g.r and p.t = g.t)"""
+
+
+def evaluated_sets(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(predicted names, gold names, predicted triples, gold triples)."""
+    g = plan(spark, sf_dir)
+    entities = g.entities.select(F.col("base").alias("doc"), "global_id", "name", F.col("first_ord").alias("pos"))
+    triples = evaluation.predicted_triples(g.relations.select(F.col("base").alias("doc"), "source", "type", "target"), entities)
+    words = chunking.clean(docs(spark, sf_dir)).select(F.col("base").alias("doc"), F.regexp_extract_all("text", F.lit("[A-Z][a-z]{5,}"), F.lit(0)).alias("m"))
+    pairs = words.where(F.size("m") > 1).select("doc", F.explode(F.transform(F.sequence(F.lit(0), F.size("m") - 2), lambda i: F.struct(F.get("m", i).alias("source_name"), F.get("m", i + 1).alias("target_name")))).alias("x")).select("doc", "x.*")
+    rest = (F.length("source_name") + F.length("target_name")) % 3
+    pairs = pairs.where(rest < 2).withColumn("type", F.when(rest == 0, "knows").otherwise("located in"))
+    return evaluation.name_set(entities.select("doc", "name")), evaluation.name_set(words.select("doc", F.explode("m").alias("name"))), evaluation.triple_set(triples), evaluation.triple_set(pairs)
+
+
+def tallied(spark, sf_dir, triples: bool = False) -> DataFrame:
+    p, g, p3, g3 = evaluated_sets(spark, sf_dir)
+    counted = evaluation.evaluated(p, g)[0]
+    return evaluation.counts(p3, g3, counted) if triples else evaluation.counts(p, g, counted)
 
 
-def name_sets(spark, sf_dir):
-    d = chunking.clean(docs(spark, sf_dir))
-    found = lambda x, a, n: x.select(F.col("base").alias("doc"), F.explode(F.regexp_extract_all(F.substring("text", a, n), F.lit("[A-Z][a-z]{4,}"), F.lit(0))).alias("name"))
-    return evaluation.name_set(found(d, 1, 1500)), evaluation.name_set(found(d.where("base % 5 <> 0"), 751, 3000))
+def scores_of(tally: str) -> str:
+    return f"x as (select *, coalesce(tp / nullif(tp + fp, 0)::double, 0) as p_, coalesce(tp / nullif(tp + fn, 0)::double, 0) as r_ from {tally}) select tp, fp, fn, round(p_, 4) as precision, round(r_, 4) as recall, round(coalesce(2 * p_ * r_ / nullif(p_ + r_, 0), 0), 4) as f1 from x"
 
 
-def tallied(spark, sf_dir):
-    p, g = name_sets(spark, sf_dir)
-    return evaluation.counts(p, g, evaluation.evaluated(p, g)[0])
+def eval_chain(select: str) -> str:
+    return f"with {', '.join([*CHAIN[1:6], EVAL])}{select}"
 
 
-@query(chain(1, f", {EVAL} select * from tally").replace(" , words_", ", words_"))
+@query(eval_chain(" select * from tally"))
 def tp_fp_fn(spark, sf_dir):
     return tallied(spark, sf_dir)
 
 
-@query(chain(1, f", {EVAL}, x as (select *, coalesce(tp / nullif(tp + fp, 0)::double, 0) as p_, coalesce(tp / nullif(tp + fn, 0)::double, 0) as r_ from tally) select tp, fp, fn, round(p_, 4) as precision, round(r_, 4) as recall, round(coalesce(2 * p_ * r_ / nullif(p_ + r_, 0), 0), 4) as f1 from x").replace(" , words_", ", words_"))
+@query(eval_chain(f", {scores_of('tally')}"))
 def prf(spark, sf_dir):
     return evaluation.scores(tallied(spark, sf_dir))
 
 
-@query(chain(1, f", {EVAL} select distinct doc from p where doc not in (select doc from g)").replace(" , words_", ", words_"))
+@query(eval_chain(" select * from tally3"))
+def tp_fp_fn_triples(spark, sf_dir):
+    return tallied(spark, sf_dir, triples=True)
+
+
+@query(eval_chain(f", {scores_of('tally3')}"))
+def prf_triples(spark, sf_dir):
+    return evaluation.scores(tallied(spark, sf_dir, triples=True))
+
+
+@query(eval_chain(" select doc, s as source_name, r as type, t as target_name from p3"))
+def predicted_triples(spark, sf_dir):
+    return evaluated_sets(spark, sf_dir)[2].select("doc", F.col("item.s").alias("source_name"), F.col("item.r").alias("type"), F.col("item.t").alias("target_name"))
+
+
+@query(eval_chain(" select distinct doc from p where doc not in (select doc from g)"))
 def missing_gold(spark, sf_dir):
-    p, g = name_sets(spark, sf_dir)
+    p, g, *_ = evaluated_sets(spark, sf_dir)
     return evaluation.evaluated(p, g)[1]
 
 
-@query()
+@query(eval_chain(" select (select count(*) from both_) as evaluated_docs, (select count(*) from (select doc from p except select doc from g)) as missing_gold_docs"))
+def evaluation_docs(spark, sf_dir):
+    p, g, *_ = evaluated_sets(spark, sf_dir)
+    return evaluation.doc_counts(*evaluation.evaluated(p, g))
+
+
+REPLIES = r"""replies as (select event_id, case event_id % 4 when 0 then 'Reply: {"entities": [{"id": " e1", "type": "T", "name": "' || event_type || '", "attributes": ' || props || ', "evidence": null}, 5], "relations": []} end'
+  when 1 then 'Note [1]: {"entities": [], "relations": []}' when 2 then 'I say {"verdict": " supported"} of ' || props else props || ' and then {' end as reply from events),
+cut as (select event_id, nullif(regexp_extract(reply, '(\{.*\}|\[.*\])', 1, 's'), '') as json, nullif(regexp_extract(reply, '(\{.*\})', 1, 's'), '') as braces from replies),
+read_ as (select *, case when json_valid(json) then json::json end as j, case when json_valid(braces) then braces::json end as b from cut)"""
+
+
+@query(f"with {REPLIES} select event_id, json, coalesce(json_type(j, '$.entities') = 'ARRAY' and json_type(j, '$.relations') = 'ARRAY', false) as ok, trim(j->'$.entities[0]'->>'id') as first_id, j->'$.entities[0]'->>'name' as first_name, case when upper(trim(b->>'verdict')) in ('SUPPORTED', 'UNSUPPORTED') then upper(trim(b->>'verdict')) else 'UNSURE' end as verdict from read_")
 def json_first(spark, sf_dir):
-    """Event properties, as replies around which there is talk, read for extractions and verdicts."""
-    e = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("Reply: "), "props", F.lit(" end")).alias("reply"))
-    return e.select("event_id", T.greedy_json(F.col("reply")).alias("json"), replies.parse_extraction(F.col("reply"))["ok"].alias("ok"), replies.verdict(F.col("reply")).alias("verdict"))
+    """Replies of four forms around events' properties, read for extractions and verdicts."""
+    kind = F.col("event_id") % 4
+    reply = (
+        F.when(kind == 0, F.concat(F.lit('Reply: {"entities": [{"id": " e1", "type": "T", "name": "'), "event_type", F.lit('", "attributes": '), "props", F.lit(', "evidence": null}, 5], "relations": []} end')))
+        .when(kind == 1, F.lit('Note [1]: {"entities": [], "relations": []}')).when(kind == 2, F.concat(F.lit('I say {"verdict": " supported"} of '), "props")).otherwise(F.concat("props", F.lit(" and then {")))
+    )
+    e = table(spark, sf_dir, "events").select("event_id", reply.alias("reply"))
+    e = e.select("event_id", T.greedy_json(F.col("reply")).alias("json"), replies.parse_extraction(F.col("reply")).alias("x"), replies.verdict(F.col("reply")).alias("verdict"))
+    return e.select("event_id", "json", F.col("x.ok").alias("ok"), F.get("x.entities", F.lit(0))["id"].alias("first_id"), F.get("x.entities", F.lit(0))["name"].alias("first_name"), "verdict")
 
 
 @query(chain(7, "select src, rel_type, dst, support_ratio, supported, provenance_count from last_edges"))
-def graph_from_documents(spark, sf_dir):
-    """The whole plan: documents to supported edges."""
+def graph_from_documents_exact(spark, sf_dir):
+    """Documents to supported edges, with exact resolution."""
     return plan(spark, sf_dir).edges.select("src", "rel_type", "dst", "support_ratio", "supported", "provenance_count")
 
 
+@query()
+def graph_from_documents(spark, sf_dir):
+    """The whole plan as it runs: documents to supported edges, names that differ little being one entity."""
+    return graph_plan.build(docs(spark, sf_dir)).edges.select("src", "rel_type", "dst", "support_ratio", "supported", "provenance_count")
