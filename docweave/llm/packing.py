@@ -8,11 +8,13 @@ functions; where it equals the bins used, the packing is certified optimal.
 Partitions with a gap put the pieces of their bins that aren't full into
 exchange, where pieces of several partitions meet and best-fit decreasing runs
 again, for a fixed number of rounds; a group's new packing is kept where it
-has fewer bins.
+has fewer bins.  Partitions at their bound put their emptiest bin only.  certificate() holds what comes out against the bound for all
+pieces together.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 import zlib
@@ -28,11 +30,22 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 CAPACITY = 2048
-#: Pieces that one task packs at a time.
-GROUP = 50_000
+#: Pieces that are packed at a time.
+GROUP = 16_384
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+#: What a tokenizers file must say about cutting for words to be looked up one by one.
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+    "post_processor": None, "truncation": None, "padding": None,
+}
+
+
 class WordTokenizer:
     """ids of texts by a tokenizers file whose pre-tokenizer never joins across white space.
 
@@ -40,6 +53,7 @@ class WordTokenizer:
     lower-casing treats by context) are cut by the file's own rule and looked up
     piece by piece; other texts are looked up by white-space-separated word.
     Memory is bounded: the table of known pieces is emptied at ``most`` entries.
+    That holds for files with RULES; texts go whole through any other file.
     """
 
     def __init__(self, path: str, most: int = 500_000):
@@ -50,6 +64,9 @@ class WordTokenizer:
         self.pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+").findall
         self.plain = re.compile("[\t-\r\x20-\x7e\xa1-įı-ɏ]*").fullmatch
         self.encode, self.most = Tokenizer.from_file(path).encode, most
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        self.by_word = {k: file.get(k) for k in RULES} == RULES and file["model"].get("dropout") is None
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -72,6 +89,8 @@ class WordTokenizer:
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """ids of texts as little-endian unsigned 32-bit integers."""
+        if not self.by_word:
+            return [np.array(self.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
         cut = [self.pieces(t.lower()) if "<|" not in t and self.plain(t) else None for t in texts]
         self.learn(set().union(*filter(None, cut)))
         look = self.known.__getitem__
@@ -129,16 +148,22 @@ def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id:
 
 
 def lower_bound(sizes: np.ndarray, capacity: int = CAPACITY) -> int:
-    """Bins that any packing of sizes (1 to capacity) needs at least, by dual-feasible functions.
+    """lower_bound_of() sizes as they are."""
+    return lower_bound_of(dict(zip(*(x.tolist() for x in np.unique(sizes, return_counts=True)))), capacity)
+
+
+def lower_bound_of(counts: dict[int, int], capacity: int = CAPACITY) -> int:
+    """Bins that any packing of so many pieces of each size (1 to capacity) needs at least, by dual-feasible functions.
 
     f_t: sizes over capacity - t count as full, sizes below t as nothing.
     u_k: (k + 1) * size / capacity is rounded down unless it is whole, and
     divided by k.  Sums of either, over the capacity they're mapped to, bound
     the number of bins from below.
     """
-    if not len(sizes):
+    if not counts:
         return 0
-    count = np.bincount(sizes, minlength=capacity + 1).astype(np.int64)
+    count = np.zeros(capacity + 1, np.int64)
+    count[list(counts)] = list(counts.values())
     size = np.arange(capacity + 1, dtype=np.int64)
     best = -(-int((count * size).sum()) // capacity)
     many, total = np.cumsum(count), np.cumsum(count * size)
@@ -180,8 +205,9 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np
 def _pack_groups(rows: DataFrame, capacity: int, round_no: int) -> DataFrame:
     """Packs each group of rows (grp, ..., length, old); adds bin, offset and whether the piece stays where it is.
 
-    A piece stays if its group is certified or its bin is full.  In later
-    rounds a group that doesn't come out with fewer bins than it came in with
+    A piece stays if its bin is full, or its group is certified and its bin
+    isn't the one with most room: of those, groups that are each at their bound
+    can still save some between them.  In later rounds a group that doesn't come out with fewer bins than it came in with
     (old_seq) is left in its old places, bin being null.
     """
     schema = rows.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ") + ", bin long, offset long, stays boolean"
@@ -189,8 +215,10 @@ def _pack_groups(rows: DataFrame, capacity: int, round_no: int) -> DataFrame:
     def pack(table: pa.Table) -> pa.Table:
         sizes = table.column("length").to_numpy()
         bins, offsets, n = best_fit_decreasing(sizes, capacity)
-        full = np.bincount(bins, weights=sizes, minlength=n)[bins] == capacity
-        stays = full | (n == lower_bound(sizes, capacity))
+        filled = np.bincount(bins, weights=sizes, minlength=n)
+        stays = filled[bins] == capacity
+        if n == lower_bound(sizes, capacity):
+            stays |= bins != filled.argmin()
         new = pa.array(bins)
         if round_no and n >= pc.count_distinct(table.column("old_seq")).as_py():
             new, stays = pa.nulls(len(sizes), pa.int64()), np.zeros(len(sizes), bool)
@@ -201,23 +229,27 @@ def _pack_groups(rows: DataFrame, capacity: int, round_no: int) -> DataFrame:
     return rows.groupBy("grp").applyInArrow(pack, schema)
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds: int = 2) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds: int = 3) -> DataFrame:
     """pieces with sequence_id and offset; sequences have at most ``capacity`` ids and no gaps.
 
     sequence_id = (round * groups + group) << 32 | bin; full pieces have ids of their own below zero.
-    pieces must be a materialised table.  Empty tables pack to empty ones.
+    pieces must be a materialised table with a number ``row`` for each, by
+    which they are dealt, so that copies don't come to one group.  Empty tables
+    pack to empty ones.
     """
     names = pieces.columns
+    if "row" not in names:
+        raise ValueError("pieces need a number each, in a column row")
     rest = pieces.where(F.col("length") < capacity)
     n = rest.count()
     groups = max(1, -(-n // group))
     whole = pieces.where(F.col("length") >= capacity).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
-    dealt = F.pmod(F.xxhash64(F.lit(0), "doc_id", "piece", "ids_crc32"), F.lit(groups)).cast("int")
+    dealt = F.pmod(F.xxhash64(F.lit(0), "row"), F.lit(groups)).cast("int")
     now = materialise(_pack_groups(rest.withColumn("grp", dealt), capacity, 0), "pack-0")
     place = lambda base: (F.lit(base).cast("long") + F.col("grp").cast("long")) * F.lit(1 << 32) + F.col("bin")
     done = [whole, now.where("stays").withColumn("sequence_id", place(0)).select(*whole.columns)]
     open_rows = now.where("not stays").withColumn("old_seq", place(0)).withColumn("old_offset", F.col("offset")).select(*names, "old_seq", "old_offset")
-    base, groups_r = groups, 0
+    base, groups_r = groups, groups
     for r in range(1, rounds + 1):
         left = open_rows.count()
         if not left or groups_r == 1:
@@ -234,14 +266,33 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out
+    return out.drop("row")
+
+
+def certificate(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row (pieces, ids, sequences, bound, certified): whether no packing of all pieces together has fewer sequences.
+
+    The bound needs the number of pieces of each length only, at most
+    ``capacity`` rows.  A sequence has one piece at offset 0.
+    """
+
+    def judge(table: pa.Table) -> pa.Table:
+        x = table.to_pydict()
+        bound, used = lower_bound_of(dict(zip(x["length"], x["n"])), capacity), sum(x["firsts"])
+        out = {"pieces": sum(x["n"]), "ids": sum(a * b for a, b in zip(x["length"], x["n"])), "sequences": used, "bound": bound}
+        return pa.table({k: pa.array([v], pa.int64()) for k, v in out.items()}).append_column("certified", pa.array([used == bound]))
+
+    lengths = packed.groupBy("length").agg(F.count("*").alias("n"), F.count(F.when(F.col("offset") == 0, 1)).alias("firsts"))
+    return lengths.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(judge, "pieces long, ids long, sequences long, bound long, certified boolean")
 
 
 def packed(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
     """One row per piece: (doc_id, piece, start, length, ids_crc32, sequence_id, offset).
 
     A null or empty text is one piece of the end id alone.  Repeated rows are
-    packed each.  Other columns are ignored.
+    packed each, null ids are carried, and an empty table gives an empty one.
+    A long text is tokenised whole, in memory, by one task.  Other columns are
+    ignored, whatever their names.
     """
-    pieces = materialise(token_pieces(docs, tokenizer, 0, capacity, id_col, text_col), "pack-pieces")
-    return pack(pieces, capacity, group)
+    pieces = token_pieces(docs, tokenizer, 0, capacity, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    return pack(materialise(pieces, "pack-pieces"), capacity, group)

@@ -333,6 +333,40 @@ def test_packing(odd, documents, which):
     assert len(bins) <= max(-(-total // 2048) * 1.03 + 3, 1)
 
 
+def test_certificate(spark):
+    """Exchange between groups ends close to the bound for all pieces, and the certificate says how close."""
+    r = np.random.default_rng(4)
+    for sizes, exact in ((r.integers(1, 2049, 6000), False), (np.tile([1024, 1024], 1500), True), (r.integers(1, 300, 5000), True), (np.zeros(0, int), True)):
+        docs = spark.createDataFrame([(1, 0, 0, int(n), 7) for n in sizes], packing.PIECES).repartition(5)
+        pieces = packing.materialise(docs.selectExpr("*", "monotonically_increasing_id() as row"), "test")
+        out = packing.pack(pieces, group=500)
+        got = out.collect()
+        used = len({x.sequence_id for x in got})
+        assert len(got) == len(sizes) and sorted(x.length for x in got) == sorted(sizes.tolist())
+        found = packing.certificate(out).collect()
+        if not len(sizes):
+            assert not found
+            continue
+        (c,) = found
+        assert (c.pieces, c.ids, c.sequences, c.bound) == (len(sizes), sizes.sum(), used, packing.lower_bound(sizes))
+        assert c.certified == (used == c.bound) and c.certified >= exact and used <= 1.015 * c.bound + 2
+
+
+def test_other_tokenizer(spark, documents):
+    """A file whose rules of cutting are others gives its own ids too."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode = Tokenizer.from_file(path).encode
+    docs = documents.limit(40)
+    want = Counter((r.doc_id, len(encode(r.text or "", add_special_tokens=False).ids) + 1) for r in docs.collect())
+    got = Counter()
+    for r in packing.token_pieces(docs, path).collect():
+        got[r.doc_id] += r.length
+    assert Counter(got.items()) == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 40), max_size=9))
 def test_lower_bound(sizes):
