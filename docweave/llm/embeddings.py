@@ -8,9 +8,12 @@ estimate of the vectors' cosine, with a confidence bound that the factor gives.
 Only pairs whose upper bound reaches the threshold are recomputed exactly, in
 double precision, and only those that pass link.
 
-Which pairs are looked at: tables of ``key_bits`` bits of the codes.  A pair at
-cosine 0.98 differs in a bit with probability 0.064, shares a key of 18 bits
-with probability 0.3 and one of 32 keys with probability 0.99999.  A pair counts
+Which pairs are looked at: tables of keys, each of some bits of the codes.  Keys
+have two bits more than it takes to number the vectors, so that buckets of
+unlike vectors don't grow with their number, and there are as many tables as it
+takes for a pair at the threshold to be missed with probability ``MISS``.  (At
+cosine 0.98 a bit differs with probability 0.064; 50,000 vectors have 32 tables
+of 18 bits, a thousand million have 90 of 32.)  A pair counts
 in the first table that it shares, so links are neither listed nor counted
 twice.  Members of a bucket are compared in blocks, and a block gives back one
 row per member (its links and a root), never a row per pair.  Equal vectors
@@ -19,6 +22,7 @@ are one entry, with the number of its copies.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,7 +33,9 @@ from pyspark.sql import functions as F
 
 from .common import components, materialise
 
-TABLES, KEY_BITS, BLOCK, TASK_ROWS = 32, 18, 1024, 16384
+BLOCK, TASK_ROWS = 1024, 16384
+#: Probability that a pair at the threshold shares no key; tables at most, beyond which keys are made shorter.
+MISS, MOST_TABLES = 1e-5, 256
 #: Standard deviations of an estimate's error that its bounds cover.
 SURE = 4.0
 
@@ -41,23 +47,33 @@ def rotation(dim: int, seed: int) -> np.ndarray:
     return np.linalg.qr(np.random.default_rng(seed).standard_normal((bits, dim)))[0].T.copy()
 
 
+def key_plan(vectors: int, least: float) -> tuple[int, int]:
+    """(bits of a key, tables) for so many vectors and that cosine."""
+    same = 1 - math.acos(max(-1.0, min(1.0, least))) / math.pi
+    for bits in range(max(8, math.ceil(math.log2(max(2, vectors))) + 2), 0, -1):
+        tables = math.ceil(math.log(MISS) / math.log1p(-(same**bits))) if same < 1 else 1
+        if tables <= MOST_TABLES:
+            return bits, tables
+    return 1, MOST_TABLES
+
+
 @lru_cache(maxsize=8)
-def key_places(bits: int, seed: int) -> np.ndarray:
+def key_places(bits: int, seed: int, plan: tuple[int, int]) -> np.ndarray:
     r = np.random.default_rng(seed + 1)
-    return np.array([r.choice(bits, KEY_BITS, replace=False) for _ in range(TABLES)])
+    return np.array([r.choice(bits, plan[0], replace=False) for _ in range(plan[1])])
 
 
-def encode(vectors: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Rotated unit vectors, signs (as booleans), correction factors and keys (rows x TABLES)."""
+def encode(vectors: np.ndarray, seed: int, plan: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rotated unit vectors, signs (as booleans), correction factors and keys (rows x tables)."""
     unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
     turned = unit @ rotation(vectors.shape[1], seed)
     signs = turned > 0
     factors = np.abs(turned).sum(axis=1) / np.sqrt(turned.shape[1])
-    keys = signs[:, key_places(turned.shape[1], seed)] @ (1 << np.arange(KEY_BITS, dtype=np.int64))
+    keys = signs[:, key_places(turned.shape[1], seed, plan)] @ (1 << np.arange(plan[0], dtype=np.int64))
     return turned, signs, factors, keys
 
 
-def _index(distinct: DataFrame, seed: int) -> DataFrame:
+def _index(distinct: DataFrame, seed: int, plan: tuple[int, int]) -> DataFrame:
     """distinct (gid, label, copies, vec) with dim, code, factor and keys."""
     schema = distinct.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ") + ", dim int, code binary, factor double, keys array<bigint>"
 
@@ -68,7 +84,7 @@ def _index(distinct: DataFrame, seed: int) -> DataFrame:
             for dim in np.unique(dims).tolist():
                 part = table.filter(pa.array(dims == dim)).combine_chunks()
                 vectors = part.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim)
-                _, signs, factors, keys = encode(vectors, seed)
+                _, signs, factors, keys = encode(vectors, seed, plan)
                 codes = np.packbits(signs, axis=1)
                 cols = (("dim", pa.array(np.full(len(vectors), dim, np.int32))), ("code", pa.array([c.tobytes() for c in codes], pa.binary())), ("factor", pa.array(factors)), ("keys", pa.array(list(keys), pa.list_(pa.int64()))))
                 for name, col in cols:
@@ -136,7 +152,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     component and kept.  Repeated rows link with each other (each row counts).
     component_id is the least id reachable; kept says whether that is the
     row's own (two nulls count as equal).  An empty table gives an empty one.
-    Entries are told apart by a 64-bit hash of label and components.
+    Entries are told apart by a 64-bit hash of label and components.  Other
+    columns are ignored, whatever their names.
     """
     vec, label = F.col(vec_col), F.col(label_col)
     finite = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -144,7 +161,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     rows = vectors.select(F.col(id_col).alias("id"), F.when(usable, F.xxhash64(label, vec)).alias("gid"), label.alias("label"), vec.cast("array<double>").alias("vec"))
     thin = materialise(rows.select("id", "gid"), "vectors-id")
     first = rows.where("gid is not null").groupBy("gid").agg(F.count("*").alias("copies"), F.first("label").alias("label"), F.first("vec").alias("vec"))
-    index = materialise(_index(first.select("gid", F.xxhash64("label").alias("label"), "copies", "vec"), seed), "vectors-index")
+    index = materialise(_index(first.select("gid", F.xxhash64("label").alias("label"), "copies", "vec"), seed, key_plan(thin.where("gid is not null").count(), least)), "vectors-index")
 
     bucket = ["t", "label", "dim", "key"]
     entries = index.select("gid", "label", "dim", F.posexplode("keys").alias("t", "key"))

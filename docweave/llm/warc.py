@@ -8,7 +8,7 @@ the writer's line separator, and the start of a record the reader's.
 
 A payload may hold what looks like the start of a record.  Every record's
 length is held against its Content-Length; a file in which one doesn't fit is
-read again, record by record, by length.
+read again, and its parts are joined until lengths fit.
 """
 
 from __future__ import annotations
@@ -82,28 +82,54 @@ def write(records: DataFrame, path: str, compression: str = "gzip", records_per_
     records.write.option("lineSep", TERMINATOR).option("compression", compression).option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", records_per_file).text(path)
 
 
-def _by_length(spark: SparkSession, files: list[str]) -> DataFrame:
-    """(head, block) of the records of files, cut by their lengths alone."""
+def _raw(spark: SparkSession, path: str) -> DataFrame:
+    """(value, file, block, place): what lies between the starts of records, and where, in the order of a file."""
+    x = spark.read.option("lineSep", TERMINATOR + VERSION + EOL).text(path)
+    return x.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import gzip
+
+def _by_length(raw: DataFrame) -> DataFrame:
+    """(head, block) of the records of _raw() rows, put together by their lengths alone.
+
+    A file is one task's work, sorted by Spark and read batch by batch; memory
+    holds one record.  A file whose lengths don't add up is an error.
+    """
+
+    def mend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
 
+        start, end = (VERSION + EOL).encode(), TERMINATOR.encode()
+        now, head, size, body = None, b"", 0, bytearray()
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = content.as_py()
-                data = gzip.decompress(data) if name.endswith(".gz") else data
-                at, heads, blocks = 0, [], []
-                while at < len(data):
-                    end = data.index(b"\r\n\r\n", at)
-                    head = data[at:end]
-                    size = int(re.search(rb"\r\nContent-Length: ([0-9]+)", head)[1])
-                    heads.append(head.partition(b"\r\n")[2].decode())
-                    blocks.append(data[end + 4 : end + 4 + size].decode())
-                    at = end + 4 + size + 4
-                yield pa.RecordBatch.from_arrays([pa.array(heads, pa.string()), pa.array(blocks, pa.string())], names=["head", "block"])
-
-    return spark.read.format("binaryFile").load(files).select("path", "content").mapInArrow(cut, "head string, block string")
+            heads, blocks = [], []
+            for file, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                data = value.as_py().encode()
+                if file != now:
+                    if body:
+                        raise ValueError(f"{now} ends within a record")
+                    now = file
+                    data = data.removeprefix(start)
+                if body:  # what looked like the start of a record was part of one
+                    body += end + start + data
+                else:
+                    head, _, rest = data.partition(end)
+                    size = int(re.search(rb"(?i)(?:^|\r\n)Content-Length: *([0-9]+)", head)[1])
+                    body = bytearray(b"\0") + rest  # never empty while a record is open
+                over = len(body) - 1 - size
+                if over == 4 and body.endswith(end):
+                    del body[-4:]
+                    over = 0
+                if over > 0:
+                    raise ValueError(f"{file} has a record that is longer than it says")
+                if over == 0:
+                    heads.append(head.decode())
+                    blocks.append(body[1:].decode())
+                    body = bytearray()
+            yield pa.RecordBatch.from_arrays([pa.array(heads, pa.string()), pa.array(blocks, pa.string())], names=["head", "block"])
+        if body:
+            raise ValueError(f"{now} ends within a record")
+
+    return raw.repartition("file").sortWithinPartitions("file", "block", "place").select("file", "value").mapInArrow(mend, "head string, block string")
 
 
 def _field(name: str) -> Column:
@@ -113,7 +139,7 @@ def _field(name: str) -> Column:
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """(head, block, file, fits) of what lies between the starts of records; fits: its length is what it says."""
-    raw = spark.read.option("lineSep", TERMINATOR + VERSION + EOL).text(path).select("value", F.col("_metadata.file_path").alias("file")).where("value <> ''")
+    raw = _raw(spark, path).where("value <> ''")
     # From here on bytes are cut, not characters: lengths are at hand and nothing is decoded.
     first = len(VERSION + EOL)
     x = raw.select("file", F.when(F.startswith("value", F.lit(VERSION + EOL)), F.substring(F.col("value").cast("binary"), first + 1, 1 << 30)).otherwise(F.col("value").cast("binary")).alias("data"))
@@ -137,10 +163,11 @@ def _records(lines: DataFrame) -> DataFrame:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Records (type, record_id, concurrent_to, refers_to, uri, digest, block) of all archives under path."""
     lines = _lines(spark, path)
-    odd = [r.file for r in lines.where(~F.col("fits")).select("file").distinct().collect()]  # names of files, not of records
-    if not odd:
+    odd = materialise(lines.where(~F.col("fits")).select("file").distinct(), "warc-odd")
+    if odd.isEmpty():
         return _records(lines)
-    return _records(lines.where(~F.col("file").isin(odd)).select("head", "block").unionByName(_by_length(spark, odd)))
+    good = lines.join(odd, "file", "left_anti").select("head", "block")
+    return _records(good.unionByName(_by_length(_raw(spark, path).join(odd, "file", "left_semi"))))
 
 
 def captures(records: DataFrame) -> DataFrame:

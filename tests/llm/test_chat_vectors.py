@@ -91,6 +91,31 @@ def test_vectors_recall(spark, sf_dir):
     assert there * 0.999 <= found <= there and sum((want - got).values()) <= 2
 
 
+def test_key_plan():
+    """Keys grow with the number of vectors, tables with the keys, and the probability of a miss stays."""
+    plans = [embeddings.key_plan(n, 0.98) for n in (1, 500, 51_282, 10**6, 10**9)]
+    assert plans == sorted(plans) and embeddings.key_plan(51_282, 0.98) == (18, 32)
+    for bits, tables in plans:
+        same = 1 - np.arccos(0.98) / np.pi
+        assert (1 - same**bits) ** tables <= embeddings.MISS
+    assert embeddings.key_plan(10**6, 0.5)[1] <= embeddings.MOST_TABLES and embeddings.key_plan(100, 1.0)[1] == 1
+
+
+def test_recall_at_the_threshold(spark):
+    """Of 2,000 pairs that are just at the threshold, among 10,000 other vectors, at most one is missed; none below it links."""
+    r = np.random.default_rng(9)
+    unit = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+    a = unit(r.standard_normal((2000, 48)))
+    turn = unit((x := r.standard_normal((2000, 48))) - (x * a).sum(axis=1)[:, None] * a)
+    angle = np.arccos(r.uniform(0.9801, 0.983, 2000))[:, None]
+    b = np.cos(angle) * a + np.sin(angle) * turn
+    rest = unit(r.standard_normal((10_000, 48)))
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([a, b, rest]))]
+    got = {x.vec_id: x for x in embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)).collect()}
+    assert sum(got[2000 + i].component_id != i for i in range(2000)) <= 1
+    assert all(got[i].n_links == 0 for i in range(4000, 14_000))
+
+
 def test_estimates_are_unbiased():
     """Over many rotations the estimate's mean is the cosine, and its bounds hold."""
     r = np.random.default_rng(1)
@@ -100,7 +125,7 @@ def test_estimates_are_unbiased():
     cos = a @ b / np.linalg.norm(a) / np.linalg.norm(b)
     estimates = []
     for seed in range(300):
-        turned, signs, factors, _ = embeddings.encode(v, seed)
+        turned, signs, factors, _ = embeddings.encode(v, seed, (18, 32))
         bits = turned.shape[1]
         e = ((2.0 * signs[0] - 1) @ turned[1]) / np.sqrt(bits) / factors[0]
         assert abs(e - cos) <= embeddings.SURE * np.sqrt(1 - factors[0] ** 2) / factors[0] / np.sqrt(bits - 1)
