@@ -22,7 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Short forms and opening passages of public licences.
+_MIT = 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'
+_ISC = 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'
+_BSD_2 = 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.'
+_BSD_3 = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_END = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'
+
+#: Short forms, opening passages and whole texts of public licences.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0-header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0',
@@ -39,6 +45,10 @@ TEMPLATES = {
     "MIT": "Released under the MIT License",
     "MIT-notice": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "MIT-text": _MIT,
+    "ISC-text": _ISC,
+    "BSD-2-Clause-text": f"{_BSD_2} {_BSD_END}",
+    "BSD-3-Clause-text": f"{_BSD_2} {_BSD_3} {_BSD_END}",
     "Unlicense": "This is free and unencumbered software released into the public domain",
 }
 
@@ -155,11 +165,12 @@ class Scanner:
                     first, last = pairs[0][0], pairs[-1][0] + 1
                     found.append((first, last, name, len(pairs) / len(template), len(pairs)))
                     lo = last
-        kept: list[tuple] = []
+        kept: list[tuple] = []  # in order of place, so only neighbours can overlap
         for f in sorted(found, key=lambda f: (-f[4], -f[3], f[0], f[2])):  # more words, then more of the template
-            if all(f[1] <= k[0] or k[1] <= f[0] for k in kept):
-                kept.append(f)
-        return [f[:4] for f in sorted(kept)]
+            k = bisect_left(kept, f)
+            if (k == len(kept) or f[1] <= kept[k][0]) and (k == 0 or kept[k - 1][1] <= f[0]):
+                kept.insert(k, f)
+        return [f[:4] for f in kept]
 
     def best(self, tokens: list[str], lo: int, hi: int, template: list[str]) -> list[tuple[int, int]]:
         """The alignment at the first place in [lo, hi) where the template is found.
@@ -192,8 +203,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     finds is an array of (license, first_word, end_word, coverage) in order of
     place.  A null or empty text has none; best_license is the find with the
     highest coverage, then the first by name, null without finds.  Repeated
-    rows stay repeated.  An empty table gives an empty one.  Other columns are
-    ignored.
+    rows stay repeated and null ids are carried.  An empty table gives an empty
+    one.  Other columns are ignored, whatever their names.  A long text costs
+    time in proportion to its words and to those of the notices in it.
     """
     chosen = TEMPLATES if templates is None else templates
     schema = "id long, n_licenses long, best_license string, best_coverage double, finds array<struct<license:string,first_word:int,end_word:int,coverage:double>>"

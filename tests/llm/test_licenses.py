@@ -25,6 +25,51 @@ def test_align(a, b):
         assert len(pairs) == len(a)
 
 
+def brute_alignments(a, b, i=0, j=0):
+    """All alignments that patience allows: equal ends, then any longest chain of words unique in both, then the gaps."""
+    head = []
+    while a and b and a[0] == b[0]:
+        head.append((i, j))
+        a, b, i, j = a[1:], b[1:], i + 1, j + 1
+    tail = []
+    while a and b and a[-1] == b[-1]:
+        a, b = a[:-1], b[:-1]
+        tail.insert(0, (i + len(a), j + len(b)))
+    words = [w for w in a if a.count(w) == 1 and b.count(w) == 1]
+    places = [(a.index(w), b.index(w)) for w in words]
+    chains = [c for k in range(len(places), 0, -1) for c in combinations(places, k) if all(x[1] < y[1] for x, y in zip(c, c[1:]))]
+    out = set()
+    for chain in [c for c in chains if len(c) == len(chains[0])] or [()]:
+        parts, a0, b0 = {()}, 0, 0
+        for x, y in [*chain, (len(a), len(b))] if chain else []:
+            inside = brute_alignments(a[a0:x], b[b0:y], i + a0, j + b0)
+            here = ((i + x, j + y),) if (x, y) in chain else ()
+            parts = {p + q + here for p in parts for q in inside}
+            a0, b0 = x + 1, y + 1
+        out |= {tuple(head) + p + tuple(tail) for p in parts}
+    return out
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from("abcdefg"), max_size=8), st.lists(st.sampled_from("abcdefg"), max_size=8))
+def test_align_is_patience(a, b):
+    assert tuple(licenses.align(a, b)) in brute_alignments(a, b)
+
+
+def test_whole_texts(spark):
+    """Whole licence files with a name and a year filled in, rewrapped, or with a clause left out."""
+    import textwrap
+
+    def file(name, drop=""):
+        return "Copyright (c) 2020 Jane Roe\n\n" + "\n".join(textwrap.wrap(licenses.TEMPLATES[name].replace(drop, ""), 60)) + "\n\nint main() { return 0; }\n" * 40
+
+    rows = [(0, file("MIT-text")), (1, file("ISC-text").upper()), (2, file("BSD-2-Clause-text")), (3, file("BSD-3-Clause-text")), (4, file("MIT-text", "merge, publish, distribute, "))]
+    got = {r.doc_id: {f.license: f.coverage for f in r.finds} for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, name in enumerate(("MIT-text", "ISC-text", "BSD-2-Clause-text", "BSD-3-Clause-text")):
+        assert got[i] == {name: 1.0}
+    assert 0.97 < got[4]["MIT-text"] < 1
+
+
 def test_deep_alignment():
     a = [f"w{i}" for i in range(20000)]
     b = [w for i, w in enumerate(a) if i % 3] + ["x"] * 5
