@@ -39,13 +39,19 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality_rules), ("near-dedup", near_dedup), ("personal data", personal_data), ("mixing", mix_sources), ("packing", pack)]
 
-#: Fingerprints, sampling and tokens are beyond SQL; tests hold every stage against brute force.
+#: Fingerprints, sampling and tokens are beyond SQL; tests hold each stage against brute force or, for quality rules, SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn.  What a stage stores for itself is deleted when its result is written, and a result when the next one is."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        docs = out if i == len(STAGES) - 1 else common.materialise(out, f"pipeline-{i}")
+        before, path = docs, common.new_path(spark, f"pipeline-{i}")
+        with common.temporaries(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        docs._docweave_path = path
+        common.discard(before)
     return docs
