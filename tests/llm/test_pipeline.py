@@ -1,8 +1,11 @@
 import random
-from collections import Counter
+import re
+from collections import Counter, defaultdict
+
+import pytest
 
 import corpus_pipeline
-from docweave.llm import packing, simhash
+from docweave.llm import mixing, packing, pii, simhash
 
 
 def test_stages(spark, odd, sf_dir):
@@ -21,6 +24,97 @@ def test_stages(spark, odd, sf_dir):
         docs = out if name != "mixing" else out.cache()
 
 
+WORDS = re.compile("[^\x20\x09-\x0d]+").findall
+
+
+def brute_near_copies(rows, least):
+    """Kept ids of rows (id, text): the least of each group that links of exact Jaccard similarity make; by an index of shingles."""
+    sets = {}
+    for i, t in rows:
+        w = WORDS((t or "").translate({c: c + 32 for c in range(65, 91)}))
+        sets[i] = frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) or frozenset([tuple(w)] if w else [])
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    where = defaultdict(list)
+    for i, s in sets.items():
+        for x in s or [()]:
+            where[x].append(i)
+    shared = Counter()
+    for members in where.values():
+        for k, i in enumerate(members):
+            for j in members[:k]:
+                shared[i, j] += 1
+    for (i, j), n in shared.items():
+        a, b = sets[i], sets[j]
+        if a == b or n >= least * (len(a) + len(b) - n):
+            x, y = find(i), find(j)
+            root[max(x, y)] = min(x, y)
+    return {i for i in root if find(i) == i}
+
+
+def test_near_dedup_is_exact(documents):
+    """The stage keeps what brute force over all pairs keeps."""
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    want = brute_near_copies(rows, 0.8)
+    assert len(want) < len(rows)
+    assert {r.doc_id for r in simhash.one_of_each(documents, shingle=5, similarity=0.8).collect()} == want
+
+
+def test_quality_stage(spark, documents, sf_dir):
+    """The stage keeps the rows that the query's SQL keeps."""
+    from oracle import connect
+
+    from docweave.llm import sql
+
+    found = connect(sf_dir).execute(sql.SQL["op10_quality_rules"])
+    at = [d[0] for d in found.description]
+    want = {r[at.index("doc_id")] for r in found.fetchall() if r[at.index("kept")]}
+    assert {r.doc_id for r in corpus_pipeline.quality_rules(spark, documents, sf_dir).collect()} == want
+
+
+@pytest.mark.parametrize("which", [0, 1])
+def test_redaction(spark, odd, documents, sf_dir, which):
+    """Texts with spans cut out one by one, from the end."""
+    docs = [odd.where("doc_id is not null").dropDuplicates(["doc_id"]), documents][which]
+    spans = {r.doc_id: [(int(a), int(b), k) for k, a, b in (x.split(":") for x in r.spans.split(",") if x)] for r in pii.personal_data(docs).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in corpus_pipeline.personal_data(spark, docs, sf_dir).collect():
+        want, at, out = texts[r.doc_id], 0, ""
+        for a, b, k in sorted(spans[r.doc_id]):
+            if a >= at:
+                out += f"{want[at:a]}[{k.upper()}]"
+            at = max(at, b)
+        assert r.text == (want if want is None else out + want[at:])
+        if spans[r.doc_id]:
+            assert r.n_chars == len(r.text)
+
+
+def test_mixing_stage(spark, documents, sf_dir):
+    """Each document as often as the query says."""
+    want = Counter({r.doc_id: r.taken // r.size for r in mixing.mix(documents).collect() if r.size})
+    got = Counter(r.doc_id for r in corpus_pipeline.mix_sources(spark, documents, sf_dir).collect())
+    assert +got == +want
+
+
+def test_leaves_nothing(spark):
+    """When the pipeline is done, only its last table is left in the shared folder."""
+    import os
+    from urllib.parse import urlparse
+
+    from docweave.sources.shared import shared_folder
+
+    folder = urlparse(shared_folder(spark)).path + "/docweave"
+    before = set(os.listdir(folder))
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert {x.split("-")[0] + "-" + x.split("-")[1] for x in set(os.listdir(folder)) - before} == {"pipeline-4"}
+    assert out.count() > 0
+
+
 def test_run(spark, sf_dir):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     rows = out.collect()
