@@ -69,7 +69,8 @@ def folded(c: Column) -> Column:
 
 
 def folded_exact(c: Column) -> Column:
-    """Full Unicode case folding, in Arrow batches; for texts beyond what folded() covers."""
+    """Full Unicode case folding, in Arrow batches; ASCII comes out as lower case does."""
+
     @F.pandas_udf("string")
     def fold(s: pd.Series) -> pd.Series:
         return s.map(lambda x: x if x is None else x.casefold())

@@ -153,9 +153,12 @@ def hybrid_chunks(docs: DataFrame, paras: DataFrame, segments: DataFrame, size:
     return x.withColumn("chunk_id", F.row_number().over(order) - 1).withColumn("chunk_method", F.lit("llm_semantic"))
 
 
-def routed(docs: DataFrame, segments: DataFrame, max_paragraphs: int = 120, size: int = 4000, overlap: int = 300, subchunks: bool = True) -> DataFrame:
+def routed(docs: DataFrame, segments: DataFrame, max_paragraphs: int = 120, size: int = 4000, overlap: int = 300, subchunks: bool = True, rule: tuple[int, int] | None = None, max_chunks: int = 5000) -> DataFrame:
     """Hybrid chunks of documents whose segments are valid, rule chunks of all others; ``variant`` says which.
 
+    size and overlap are those of sub-chunks, rule those of rule chunks, the
+    same if not given.
+
     segments (base, segment_id, para_start, para_end, topic) has no rows for a
     document without a usable reply; documents with no paragraphs or more than
     max_paragraphs fall back too.
@@ -165,7 +168,8 @@ def routed(docs: DataFrame, segments: DataFrame, max_paragraphs: int = 120, size
     ok = segments_valid(segments.select("base", F.col("para_start").alias("start"), F.col("para_end").alias("end")), counts)
     ok = ok.join(counts, "base").where(F.col("valid") & F.col("n_paragraphs").between(1, max_paragraphs)).select("base")
     by_reply = hybrid_chunks(docs.join(ok, "base", "left_semi"), paras, segments.join(ok, "base", "left_semi"), size, overlap, subchunks)
-    by_rule = rule_chunks(docs.join(ok, "base", "left_anti"), size, overlap)
+    by_reply = capped(by_reply, max_chunks, size, overlap)
+    by_rule = rule_chunks(docs.join(ok, "base", "left_anti"), *(rule or (size, overlap)), max_chunks)
     common = ["base", "chunk_id", "char_start", "char_end", "text", "chunk_method"]
     more = [F.lit(None).cast(by_reply.schema[c].dataType).alias(c) for c in ("segment_id", "para_start", "para_end", "topic")]
     return by_reply.select(*common, "segment_id", "para_start", "para_end", "topic", F.lit("llm").alias("variant")).unionByName(by_rule.select(*common, *more, F.lit("llm_fallback_rule").alias("variant")))

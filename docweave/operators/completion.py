@@ -8,9 +8,10 @@ repair, dead letters in place of failures, a pause between calls.
 from __future__ import annotations
 
 import json
+import os
 import time
 import urllib.request
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -70,25 +71,56 @@ class Http:
         return call
 
 
+def from_env(name: str, model: str = "", env: Mapping[str, str] | None = None) -> Http:
+    """The service that a step's settings name; its address, key and default model come from variables (fixed values)."""
+    env = os.environ if env is None else env
+    value = lambda key, default="": env.get(key, default).partition("#")[0].strip()
+    if name == "openrouter":
+        headers = {k: v for k, v in (("HTTP-Referer", value("OPENROUTER_SITE_URL")), ("X-Title", value("OPENROUTER_APP_NAME"))) if v}
+        return Http(name, model or value("OPENROUTER_MODEL"), f"{value('OPENROUTER_BASE_URL', 'https://openrouter.ai/api/v1')}/chat/completions", value("OPENROUTER_API_KEY"), headers)
+    if name == "ollama":
+        return Http(name, model or value("OLLAMA_MODEL"), f"{value('OLLAMA_OPENAI_BASE_URL', 'http://localhost:11434/v1')}/chat/completions")
+    raise ValueError(f"unknown completion backend: {name}")
+
+
+@dataclass(frozen=True)
+class Recorded:
+    """Replies that are kept in a table (prompt_sha256, reply); what isn't there fails."""
+
+    replies: DataFrame
+    name: str = "recorded"
+    model: str = "none"
+
+    def open(self) -> Callable[[str, str, float, int], str]:
+        raise CompletionError("recorded replies are joined, see complete()")
+
+
 def replayed(requests: DataFrame, recorded: DataFrame) -> DataFrame:
     """requests (..., prompt) with the recorded (prompt_sha256, reply); a join, so no service and no Python."""
     x = requests.withColumn("prompt_sha256", F.sha2(F.col("prompt").cast("binary"), 256)).join(recorded.select("prompt_sha256", "reply"), "prompt_sha256", "left").drop("prompt_sha256")
     return x.withColumn("error", F.when(F.col("reply").isNull(), "no recorded reply"))
 
 
-def complete(requests: DataFrame, backend: Backend, system: str = "", temperature: float = 0.0, max_tokens: int = 900, attempts: int = 2, usable: Callable[[str], bool] | None = None, repair: Callable[[str, str], str] | None = None, pause: float = 0.0, wait: tuple[float, float] = (1.0, 20.0)) -> DataFrame:
-    """requests (..., prompt) with reply, error, repaired.
+def complete(
+    requests: DataFrame, backend: Backend, system: str = "", temperature: float = 0.0, max_tokens: int = 900, attempts: int = 2, usable: Callable[[str], bool] | None = None,
+    repair: Callable[[str, str], str] | None = None, repair_backend: Backend | None = None, pause: float = 0.0, wait: tuple[float, float] = (1.0, 20.0), parallelism: int = 0,
+) -> DataFrame:
+    """requests (..., prompt) with reply, error, repair_error, repaired.
 
     attempts counts all tries.  A reply that isn't usable is an error like any
     other.  When all tries fail, repair(prompt, error message) is asked once
-    if given; what fails then keeps its error and a null reply.
+    if given, of repair_backend if that is given too; what fails then keeps
+    both errors and a null reply.  parallelism: calls at a time, if positive.
     """
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema), "reply string", "error string", "repaired boolean"])
+    if isinstance(backend, Recorded):
+        return replayed(requests, backend.replies).withColumn("repair_error", F.lit(None).cast("string")).withColumn("repaired", F.lit(False))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema), "reply string", "error string", "repair_error string", "repaired boolean"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = backend.open()
+        first = backend.open()
+        second = repair_backend.open() if repair_backend else first
 
-        def once(prompt: str) -> str:
+        def once(call: Callable, prompt: str) -> str:
             try:
                 reply = call(system, prompt, temperature, max_tokens)
             except Exception as e:
@@ -100,24 +132,24 @@ def complete(requests: DataFrame, backend: Backend, system: str = "", temperatur
                 raise CompletionError("the reply doesn't have the shape asked for")
             return reply
 
-        def answer(prompt: str) -> tuple[str | None, str | None, bool]:
+        def answer(prompt: str) -> tuple[str | None, str | None, str | None, bool]:
             error = ""
             for k in range(max(1, attempts)):
                 if k:
                     time.sleep(min(wait[1], wait[0] * 2 ** (k - 1)))
                 try:
-                    return once(prompt), None, False
+                    return once(first, prompt), None, None, False
                 except CompletionError as e:
                     error = str(e)
-            if repair:
-                try:
-                    return once(repair(prompt, error)), None, True
-                except CompletionError as e:
-                    error = f"{error}; repair: {e}"
-            return None, error, False
+            if not repair:
+                return None, error, None, False
+            try:
+                return once(second, repair(prompt, error)), None, None, True
+            except CompletionError as e:
+                return None, error, str(e), False
 
         for frame in frames:
             replies = [answer(p) for p in frame["prompt"]]
-            yield frame.assign(reply=[r[0] for r in replies], error=[r[1] for r in replies], repaired=[r[2] for r in replies])
+            yield frame.assign(**{c: pd.Series([r[k] for r in replies], index=frame.index, dtype=object) for k, c in enumerate(("reply", "error", "repair_error", "repaired"))})
 
-    return requests.mapInPandas(run, schema)
+    return (requests.repartition(parallelism) if parallelism > 0 else requests).mapInPandas(run, schema)

@@ -58,11 +58,6 @@ def compact_schema(schema: DataFrame) -> DataFrame:
     return schema.select(F.coalesce("domain", F.lit("Domain")).alias("domain"), F.coalesce("entity_types", F.array()).alias("entity_types"), F.coalesce("relation_types", F.array()).alias("relation_types"))
 
 
-def schema_valid(schema: dict) -> bool:
-    """Whether a reply is a domain schema: an object with a name and two lists of types."""
-    return isinstance(schema, dict) and isinstance(schema.get("domain"), str) and isinstance(schema.get("entity_types"), list) and isinstance(schema.get("relation_types"), list)
-
-
 def mentions_by_rule(chunks: DataFrame, pattern: str = "[A-Z][a-z]{4,}") -> DataFrame:
     """Extractions without a service: capitalised words as entities, neighbours as relations.
 
@@ -82,10 +77,10 @@ def mentions_by_rule(chunks: DataFrame, pattern: str = "[A-Z][a-z]{4,}") -> Data
 
 #: Wording of our own; placeholders are filled by format_string.
 PROMPTS = {
-    "segments": "Group the numbered paragraphs below into topics. Answer with a JSON list of objects with start_paragraph, end_paragraph (exclusive) and topic that covers all paragraphs in order.\n%s",
+    "segments": "Group the %s numbered paragraphs below into topics. Answer with a JSON list of objects with start_paragraph, end_paragraph (exclusive) and topic that covers all paragraphs in order.\n%s",
     "schema": "Propose a domain schema for documents like these. Answer with a JSON object with domain, entity_types (name, description, attributes, examples) and relation_types (name, description, source_type, target_type, examples).\n%s",
-    "extract": "Schema:\n%s\nList entities (id, type, name, attributes, evidence) and relations (source_id, type, target_id, evidence) of the text below that fit this schema, as a JSON object with entities and relations. Quote evidence word for word.\n%s",
-    "repair": "The answer below can't be used: %s\nSchema:\n%s\nText:\n%s\nAnswer again, with a JSON object only.",
+    "extract": "Schema:\n%s\nDocument: %s\nTopic: %s\nList entities (id, type, name, attributes, evidence) and relations (source_id, type, target_id, evidence) of the text below that fit this schema, as a JSON object with entities and relations. Quote evidence word for word.\n%s",
+    "repair": "The answer below can't be used: {error}\nSchema:\n%s\nText:\n%s\nAnswer again, with a JSON object only.",
     "same": "Type: %s\nA: %s (%s)\nB: %s (%s)\nDo A and B name one entity? Answer with a JSON object with the field same, true or false.",
     "verdict": "Does the text say that %s - %s - %s? Evidence given: %s\nText:\n%s\nAnswer with a JSON object with the field verdict: SUPPORTED, UNSUPPORTED or UNSURE.",
 }

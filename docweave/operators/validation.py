@@ -14,13 +14,15 @@ def chunk_texts(chunks: DataFrame) -> DataFrame:
     return x.groupBy("base", "chunk_id").agg(F.max_by("text", "row_pos").alias("text"))
 
 
-def statuses(relations: DataFrame, chunks: DataFrame, ignore_case: bool = True, max_relations: int = 0, max_provenances: int = 0) -> DataFrame:
+def statuses(relations: DataFrame, chunks: DataFrame, ignore_case: bool = True, max_relations: int = 0, max_provenances: int = 0, exact: bool = False) -> DataFrame:
     """One row per provenance entry: relation's columns, prov_pos, chunk_id, evidence_relation, support_status, chunk_text.
 
     chunks are chunk_texts().  UNKNOWN without chunk or evidence, else
     SUPPORTED or UNSUPPORTED by whether the chunk has the evidence, white space
     (and case) apart.  Relations beyond max_relations of a base, in order, and
-    entries beyond max_provenances go; 0 is no limit.
+    entries beyond max_provenances go; 0 is no limit.  exact: texts beyond
+    ASCII are folded by all of Unicode's rules, in Arrow batches; without it
+    lower case and sharp s are all there is.
     """
     x = relations
     if max_relations > 0:
@@ -29,7 +31,8 @@ def statuses(relations: DataFrame, chunks: DataFrame, ignore_case: bool = True,
         x = x.withColumn("provenance", F.slice("provenance", 1, max_provenances))
     x = x.select("base", "source", "type", "target", "first_ord", F.posexplode_outer("provenance").alias("prov_pos", "p"))
     x = x.select("base", "source", "type", "target", "first_ord", "prov_pos", F.col("p.chunk_id").try_cast("int").alias("chunk_id"), F.col("p.evidence_relation").alias("evidence_relation"))
-    form = (lambda c: T.folded(T.match_text(c))) if ignore_case else T.match_text
+    fold = T.folded_exact if exact else T.folded
+    form = (lambda c: fold(T.match_text(c))) if ignore_case else T.match_text
     # A chunk is brought into its form once, not once for each entry.
     formed = chunks.select("base", "chunk_id", F.col("text").alias("chunk_text"), form(F.col("text")).alias("_formed"))
     x = x.join(formed, ["base", "chunk_id"], "left")

@@ -6,10 +6,11 @@ import io
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .tables import file_name
 
 #: engine name -> function from a PDF's bytes and a page limit to its pages' texts.
 Pages = Callable[[bytes, int], tuple[list[str], int]]
@@ -35,7 +36,13 @@ ENGINES: dict[str, Pages] = {"pdfplumber": plumber_pages, "pypdf": pypdf_pages}
 def pdf_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path, content, sha256) of .pdf and .PDF files below a folder; a missing folder is an error."""
     x = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{pdf,PDF}").load(folder)
-    return x.select("path", "content", F.sha2("content", 256).alias("sha256")).dropDuplicates(["path"])
+    # One scan lists a path once, so there are no duplicates to look for.
+    return x.select("path", "content", F.sha2("content", 256).alias("sha256"))
+
+
+def stem(path: Column) -> Column:
+    """A file's name without its ending, as the name of its document."""
+    return T.file_stem(F.regexp_extract(path, r"([^/]*)\.[^./]*$", 1))
 
 
 def joined_pages(pages: list[str], limit: int, least: int) -> tuple[str, int]:
@@ -90,7 +97,7 @@ def page_texts(pages: DataFrame, max_pages: int = 0, min_chars: int = 0) -> Data
 def text_files(spark: SparkSession, folder: str) -> DataFrame:
     """(base, text) of the .txt files in a folder, by name without suffix."""
     x = spark.read.option("pathGlobFilter", "*.txt").text(folder, wholetext=True)
-    return x.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.txt$", "").alias("base"), F.col("value").alias("text"))
+    return x.select(F.regexp_replace(file_name(), r"\.txt$", "").alias("base"), F.col("value").alias("text"))
 
 
 def sample(docs: DataFrame, k: int, max_chars: int) -> DataFrame:

@@ -210,7 +210,7 @@ def test_completion(spark):
 
 
 def test_prompts(spark):
-    (r,) = spark.createDataFrame([("s", None)], "a string, b string").select(extraction.prompt("extract", F.col("a"), F.col("b")).alias("p")).collect()
+    (r,) = spark.createDataFrame([("s", None)], "a string, b string").select(extraction.prompt("extract", F.col("a"), F.col("b"), F.col("b"), F.col("a")).alias("p")).collect()
     assert "Schema:\ns\n" in r.p
 
 
@@ -261,13 +261,17 @@ def test_json_tables(spark, tmp_path):
     assert tables.read_document(spark, path).first().a == "ü"
     out = f"file://{tmp_path}/out"
     df = spark.createDataFrame([("a", None), ("b", 2)], "base string, v int")
-    tables.append(tables.missing(df.where("base = 'a'"), out), out)
-    tables.append(tables.missing(df, out), out)
-    assert sorted(r.base for r in spark.read.parquet(out).collect()) == ["a", "b"]
+    b = tables.Batches(spark, out)
+    with pytest.raises(FileNotFoundError):
+        b.read("step", "t")
+    for x in (df.where("base = 'a'"), df):
+        left = b.missing(x, "step")
+        b.put("step", {"t": left}, left)
+    assert sorted(r.base for r in b.read("step", "t").collect()) == ["a", "b"]
     tables.write_lines(df, f"{out}-lines")
     tables.write_lines(df.limit(0), f"{out}-lines")
     assert spark.read.text(f"{out}-lines").where("value like '%null%'").count() == 1
-    assert tables.schema_path("x", "A b/c") == "x/A_b_c.json" and tables.output_name("t", "llm") == "t.llm"
+    assert tables.schema_path("x", "A b/c") == "x/A_b_c.schema.json" and tables.output_name("t", "llm") == "t.llm"
 
 
 def test_settings():
@@ -280,7 +284,7 @@ def test_settings():
 
 def test_steps():
     assert graph_plan.chosen(None, None, None) == list(graph_plan.STEPS) and graph_plan.chosen("chunk", "extract", None) == ["chunk", "schema", "extract"]
-    assert graph_plan.chosen("chunk", "extract", "graph") == ["graph"] and graph_plan.main(["x", "--only", "pdf", "--dry-run"]) == ["pdf"]
+    assert graph_plan.chosen("chunk", "extract", "graph") == ["graph"] and graph_plan.main(["x", "--only", "chunk", "--mode", "llm", "--file", "a", "--dry-run"]) == ["chunk"] and graph_plan.main(["x", "--only", "pdf", "--dry-run"]) == ["pdf"]
     with pytest.raises(ValueError):
         graph_plan.chosen("graph", "pdf", None)
 
@@ -288,16 +292,205 @@ def test_steps():
 DOCS = [("d1", "Alice Smith met Robert Miller in Boston today. Alice Smith likes Boston. " * 40), ("d2", "Charlie visited London with Robert. " * 10)]
 
 
+RULES = Settings(extract_backend="rules", schema_backend="rules")
+
+
 def test_runner_equals_plan(spark, tmp_path):
     docs = spark.createDataFrame(DOCS, "base string, text string")
-    runner = graph_plan.Runner(spark, f"file://{tmp_path}", Settings())
-    runner.put(docs, "documents")
+    runner = graph_plan.Runner(spark, f"file://{tmp_path}", RULES)
+    runner.add_documents(docs)
     for _ in range(2):  # a second run adds nothing
         runner.run(graph_plan.chosen("chunk", "graph", None))
-    want = graph_plan.build(docs, fuzzy=True)
+    want = graph_plan.build(docs)
     for name in ("nodes", "edges"):
         assert sorted(map(str, runner.table(name).collect())) == sorted(map(str, getattr(want, name).select(runner.table(name).columns).collect()))
     assert runner.table("edges").count() > 0
+    assert runner.counters.first().imported == runner.table("edges").count()
+
+
+def test_plan_is_fuzzy(spark):
+    """The whole plan makes one entity of names that differ little, as one pass in order does."""
+    text = "Konstantinopel and Konstantinopol and Samarkandische and Konstantinopel and Samarkandischa. "
+    docs = spark.createDataFrame([("d", text * 3), ("e", "Samarkandischa near Konstantinopol")], "base string, text string")
+    g = graph_plan.build(docs)
+    found = extraction.entities(g.extractions).collect()
+    want = sequential([(r.base + r.type, r.row_pos, r.ent_pos, r.name.lower()) for r in sorted(found, key=lambda r: (r.base, r.row_pos, r.ent_pos))], 0.92)
+    assert {(r.base + r.type, r.row_pos, r.ent_pos): r.leader for r in g.mentions.collect()} == want
+    assert g.entities.count() == 4 and graph_plan.build(docs, fuzzy=False).entities.count() == 6
+
+
+def test_broken_off_step(spark, tmp_path):
+    """What a step wrote before it broke off is not read, and the next run writes it again, once."""
+    runner = graph_plan.Runner(spark, f"file://{tmp_path}", RULES)
+    runner.add_documents(spark.createDataFrame(DOCS, "base string, text string"))
+    runner.run(["chunk", "schema", "extract"])
+    put = runner.batches.put
+
+    def half(step, outputs, bases):
+        name, df = next(iter(outputs.items()))
+        df.write.mode("overwrite").parquet(f"{runner.folder}/{name}/batch=0")
+        raise KeyboardInterrupt
+
+    runner.batches.put = half
+    with pytest.raises(KeyboardInterrupt):
+        runner.resolve()
+    runner.batches.put = put
+    with pytest.raises(FileNotFoundError):
+        runner.table("relations")
+    runner.resolve()
+    n = runner.table("relations").count()
+    runner.resolve()
+    assert runner.table("relations").count() == n > 0 and runner.table("relations").distinct().count() == n
+    again = graph_plan.Runner(spark, runner.folder, RULES, overwrite=True)
+    again.resolve()
+    assert again.table("relations").count() == n
+
+
+def small_service():
+    def reply(prompt):
+        """A service that follows rules: what it is asked is told by the prompt's first words."""
+        if prompt.startswith("Group the"):
+            n = int(prompt.split()[2])
+            return "Sure: " + json.dumps([{"start_paragraph": 0, "end_paragraph": 1, "topic": "first"}, {"start_paragraph": 1, "end_paragraph": n, "topic": " "}] if n > 1 else [])
+        if prompt.startswith("Propose"):
+            return '{"domain": "Small towns", "entity_types": [{"name": "Town"}], "relation_types": [{"name": "near"}]}'
+        if prompt.startswith("The answer below"):
+            return '{"entities": [{"id": 1, "type": "Town", "name": "Repaired"}], "relations": []}' if "mend me" in prompt else "no"
+        if prompt.startswith("Type:"):
+            return '[1] {"same": true}'
+        if prompt.startswith("Does the text"):
+            return '{"verdict": "supported"}'
+        text = prompt.rsplit("\n", 1)[1]
+        if "broken" in text:
+            return "I can't say"
+        names = [w for w in text.replace(".", " ").split() if w[0].isupper()]
+        entities = [{"id": f"e{i}", "type": "Town" if w != "Xanadu" else "Dream", "name": w, "attributes": {"n": i}, "evidence": w} for i, w in enumerate(names)]
+        return json.dumps({"entities": entities, "relations": [{"source_id": "e0", "type": "near", "target_id": f"e{len(names) - 1}", "evidence": "not in the text"}]})
+
+    return reply
+
+
+def test_steps_with_a_service(spark, tmp_path):
+    """Every step that can ask a service does, with replies as they may come."""
+    docs = [("good", "Altstadt lies there.\n\nNeuburg is near Altstadt and Xanadu and Neubrug."), ("one", "Altstadt near Neuburg"), ("mend me", "broken mend me"), ("dead", "broken")]
+    s = Settings(chunk_mode="llm", resolve_use_llm=True, validate_use_llm=True, resolve_sim_low=0.5, extract_max_retries=1, schema_alias="alias.schema.json")
+    service = completion.Rules(small_service(), "rules", "m1")
+    runner = graph_plan.Runner(spark, f"file://{tmp_path}/w", s, backends=dict.fromkeys(("chunk", "schema", "extract", "resolve", "validate"), service))
+    runner.add_documents(spark.createDataFrame(docs, "base string, text string"))
+    runner.run(graph_plan.chosen("chunk", "graph", None))
+    chunks = runner.table("chunks").collect()
+    assert {(c.base, c.chunk_id, c.variant, c.topic) for c in chunks} == {("good", 0, "llm", "first"), ("good", 1, "llm", None), *((b, 0, "llm_fallback_rule", None) for b in ("one", "mend me", "dead"))}
+    assert sorted(p.name for p in (tmp_path / "w" / "schemas").glob("*.json")) == ["Small_towns.schema.json", "alias.schema.json", "current.json"]
+    (dead,) = runner.table("errors").collect()
+    assert (dead.base, dead.chunk_id, dead.llm_model, dead.repaired_with) == ("dead", 0, "m1", "m1") and dead.error and dead.repair_error
+    rows = {(r.base, r.chunk_id): r for r in runner.table("extractions").collect()}
+    assert [e.name for e in rows["mend me", 0].entities] == ["Repaired"] and [e.name for e in rows["good", 1].entities] == ["Neuburg", "Altstadt", "Neubrug"]
+    entities = {(r.base, r.name): len(r.mentions) for r in runner.table("entities").collect()}
+    assert entities == {("good", "Altstadt"): 2, ("good", "Neuburg"): 2, ("one", "Altstadt"): 1, ("one", "Neuburg"): 1, ("mend me", "Repaired"): 1}
+    v = {(r.base, r.target): r for r in runner.table("validated").collect()}
+    assert {p.llm_support_status for r in v.values() for p in r.provenance} == {"SUPPORTED"} and {p.support_status for r in v.values() for p in r.provenance} == {"UNSUPPORTED"}
+    assert {(r.src, r.dst, r.supported) for r in runner.table("edges").collect()} >= {("Town:altstadt", "Town:neuburg", True)}
+
+    runner.export(f"file://{tmp_path}/out")
+    names = sorted(p.name for p in (tmp_path / "out").rglob("*.jsonl"))
+    assert "good.llm.chunks.jsonl" in names and "dead.llm_fallback_rule.errors.jsonl" in names and "one.llm_fallback_rule.relations.validated.jsonl" in names
+    lines = [json.loads(x) for x in (tmp_path / "out" / s.resolve_dir / "good.llm.entities.resolved.jsonl").read_text().splitlines()]
+    assert "_meta" in lines[0] and lines[1]["attributes"] == {"n": 0}
+    assert runner.export(f"file://{tmp_path}/out") is None  # what is there stays
+    back = tables.read_step(spark, f"file://{tmp_path}/out/{s.resolve_dir}", "entities", graph_plan.ENTITY_FILE)
+    assert {(r.base, r.name) for r in back.collect()} == {(f"{b}.{'llm' if b == 'good' else 'llm_fallback_rule'}", n) for b, n in entities}
+    assert [r.row_pos for r in back.where("base = 'good.llm'").orderBy("row_pos").collect()] == [0, 1]
+    assert tables.step_names(spark, f"file://{tmp_path}/out/{s.resolve_dir}", "entities").count() == 3
+
+    # A graph from step files is the graph from tables.
+    from dataclasses import replace
+
+    files = replace(s, graph_entities_dir=f"file://{tmp_path}/out/{s.resolve_dir}", graph_relations_dir=f"file://{tmp_path}/out/{s.validate_dir}")
+    other = graph_plan.Runner(spark, f"file://{tmp_path}/g", files)
+    other.graph()
+    for name, keys in (("nodes", ["global_id", "type", "mention_count"]), ("edges", ["src", "rel_type", "dst", "support_ratio", "supported"])):
+        assert sorted(map(str, other.table(name).select(keys).collect())) == sorted(map(str, runner.table(name).select(keys).collect()))
+    # The graph stays and grows, or is cleared.
+    extra = spark.createDataFrame([("new", "Nowhere at all. Somewhere else.")], "base string, text string")
+    runner.batches.put("pdf", {"documents": extra, "pdf_errors": extra.limit(0)}, extra)
+    before = runner.table("nodes").count()
+    runner.run(graph_plan.chosen("chunk", "graph", None))
+    assert runner.table("nodes").count() == before + 1  # the two names are one entity, says the service
+
+
+def test_backends():
+    env = {"OPENROUTER_API_KEY": "k # secret", "OPENROUTER_MODEL": "m", "OPENROUTER_APP_NAME": "app"}
+    b = completion.from_env("openrouter", "", env)
+    assert (b.model, b.key, b.headers) == ("m", "k", {"X-Title": "app"}) and b.url.endswith("/chat/completions")
+    assert completion.from_env("openrouter", "other", env).model == "other" and completion.from_env("ollama", "m", {}).key is None
+    for name, model in (("openrouter", "m"), ("ollama", ""), ("else", "m")):
+        with pytest.raises(ValueError):
+            completion.from_env(name, model, {})
+    runner = graph_plan.Runner(None, "x", Settings(extract_backend="ollama", extract_model="m", schema_backend="rules"), env={})
+    assert runner.backend("extract").model == "m" and runner.backend("extract", "repair").model == "repair" and runner.backend("schema") is None
+    with pytest.raises(ValueError):
+        runner.backend("validate")
+
+
+def test_recorded_replies(spark):
+    """Replies from a table go the same way as those of a service; one that is missing is a dead letter."""
+    from docweave.plans import asking
+
+    chunks = spark.createDataFrame([("a", 0, "Altstadt near Neuburg", None), ("b", 0, "broken", "t"), ("c", 0, "not recorded", None)], "base string, chunk_id int, text string, topic string")
+    schema = spark.createDataFrame([("{}",)], "text string")
+    asked = chunks.select("*", extraction.prompt("extract", F.lit("{}"), F.col("base"), F.col("topic"), F.col("text")).alias("prompt")).where("base <> 'c'").collect()
+    kept = spark.createDataFrame([(r.prompt, small_service()(r.prompt)) for r in asked], "prompt string, reply string").select(F.sha2("prompt", 256).alias("prompt_sha256"), "reply")
+    good, dead = asking.extractions(chunks, schema, completion.Recorded(kept), None, Settings())
+    assert [(r.base, len(r.entities)) for r in good.collect()] == [("a", 2)]
+    assert {r.base: r.error for r in dead.collect()} == {"b": "the reply doesn't have the shape asked for", "c": "no recorded reply"}
+
+
+def test_bad_mentions(spark):
+    rows = [("b", 0, 0, 0, "e", "T", "Name", "{}", None), ("b", 0, 1, 0, "f", "T", " ", "{}", None), ("b", 0, 2, 0, " ", "T", "No id", "{}", None)]
+    m = spark.createDataFrame(rows, MENTION)
+    for resolve in (resolution.exact, resolution.fuzzy):
+        assert [r.name for r in resolve(m, strict=False).collect()] == ["Name"]
+        with pytest.raises(Exception, match="without type or name"):
+            resolve(m).collect()
+    assert resolution.fuzzy(m, 0.92, 0, strict=False).count() == 1
+
+
+def test_case_folding(spark):
+    rel = "base string, source string, type string, target string, first_ord int, provenance array<struct<chunk_id:string,evidence_relation:string>>"
+    r = spark.createDataFrame([("b", "s", "t", "o", 0, [("1", "ΣΟΦΟΣ ﬁnd STRASSE")])], rel)
+    chunks = validation.chunk_texts(spark.createDataFrame([("b", "1", "x σοφος  FIND straße y", 0)], "base string, chunk_id string, text string, row_pos int"))
+    assert validation.statuses(r, chunks, exact=True).first().support_status == "SUPPORTED"
+
+
+@pytest.mark.parametrize("overwrite", [True, False])
+def test_graph_sink(spark, tmp_path, overwrite):
+    from docweave.sources import graph_sink
+
+    class Kept:
+        """A database that only keeps what it is sent, in a file, as tasks run elsewhere."""
+
+        def __init__(self, path):
+            self.path = path
+
+        def open(self):
+            def run(statement, parameters):
+                with open(self.path, "a") as f:
+                    f.write(json.dumps([statement, parameters]) + "\n")
+
+            return run, lambda: None
+
+    nodes = spark.createDataFrame([(f"T:{i}", "T", f"n{i}") for i in range(2500)], "global_id string, type string, name string").coalesce(1)
+    edges = spark.createDataFrame([(f"T:{i}", ["A", "B"][i % 2], f"T:{i + 1}", 0.5, ["x"]) for i in range(30)], "src string, rel_type string, dst string, support_ratio double, evidence_samples array<string>").coalesce(1)
+    graph_sink.write(nodes, edges, Kept(tmp_path / "log"), clear=True, overwrite=overwrite)
+    log = [json.loads(x) for x in (tmp_path / "log").read_text().splitlines()]
+    assert [x[0] for x in log[:2]] == [graph_sink.UNIQUE, graph_sink.CLEAR]
+    sent = [r for s, p in log if s == graph_sink.NODES for r in p["rows"]]
+    assert len(sent) == 2500 and sent[0]["properties"] == {"type": "T", "name": "n0"} and max(len(p["rows"]) for s, p in log[2:]) <= graph_sink.BATCH
+    typed = [(s, p) for s, p in log if "MATCH (s" in s]
+    assert [len(p["rows"]) for _, p in typed] == [15, 15] and {s.partition("[r:")[2][0] for s, _ in typed} == {"A", "B"}
+    assert all(("coalesce(r.support_ratio" in s) != overwrite for s, _ in typed)
+    with pytest.raises(ValueError):
+        graph_sink.Bolt("bolt://x", "u", "", "d")
 
 
 def test_stream(spark, tmp_path):
