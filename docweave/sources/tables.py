@@ -195,13 +195,13 @@ class Batches:
             remove(self.spark, path)
 
 
-def replace(df: DataFrame, path: str) -> None:
+def replace(df: DataFrame, path: str, *partitions: str) -> None:
     """A whole table in place of what is there: written beside it first, so that one of the two is always whole."""
     spark = df.sparkSession
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     old, new, gone = (jvm.org.apache.hadoop.fs.Path(path + x) for x in ("", ".new", ".old"))
     fs = old.getFileSystem(conf)
-    df.write.mode("overwrite").parquet(path + ".new")
+    df.write.mode("overwrite").partitionBy(*partitions).parquet(path + ".new")
     fs.delete(gone, True)
     if fs.exists(old):
         fs.rename(old, gone)

@@ -493,14 +493,98 @@ def test_graph_sink(spark, tmp_path, overwrite):
         graph_sink.Bolt("bolt://x", "u", "", "d")
 
 
-def test_stream(spark, tmp_path):
+@pytest.mark.parametrize("overwrite", [True, False])
+def test_stream(spark, tmp_path, overwrite):
+    """Batch by batch the same as all of them as upserts in turn, before and after layers are merged."""
     from docweave.streaming import graph_stream
 
+    s = Settings(graph_overwrite=overwrite)
     source, out = f"file://{tmp_path}/in", f"file://{tmp_path}/graph"
-    for i, d in enumerate(DOCS):
-        spark.createDataFrame([d], "base string, text string").coalesce(1).write.mode("append").parquet(source)
-        graph_stream.into_graph(graph_stream.documents(spark, source), out, f"file://{tmp_path}/checkpoint").start().awaitTermination()
-        assert spark.read.parquet(f"{out}/v{i}/nodes").count() > 0
-    want = graph_plan.build(spark.createDataFrame(DOCS, "base string, text string"))
-    got = spark.read.parquet(f"{out}/v1/edges")
-    assert {(r.src, r.rel_type, r.dst) for r in got.collect()} == {(r.src, r.rel_type, r.dst) for r in want.edges.collect()}
+    want = {}
+    for i, d in enumerate([*DOCS, ("d3", "Alice Smith saw Robert. " * 3)]):
+        df = spark.createDataFrame([d], "base string, text string").coalesce(1)
+        df.write.mode("append").parquet(source)
+        graph_stream.into_graph(graph_stream.documents(spark, source), out, f"file://{tmp_path}/checkpoint", s).start().awaitTermination()
+        now = graph_plan.build(df, s)
+        for name, keys in graph_stream.KEYS.items():
+            want[name] = graph.upserted(want.get(name), getattr(now, name), keys, overwrite or name == "nodes")
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.select(a.columns).collect()))
+    for name in graph_stream.KEYS:
+        assert same(graph_stream.read(spark, out, name, overwrite), want[name]) and want[name].count() > 0
+        graph_stream.compact(spark, out, name, overwrite)
+        assert same(graph_stream.read(spark, out, name, overwrite), want[name])
+        assert len(list((tmp_path / "graph" / name).glob("layer=*"))) == 1
+
+
+ANNOTATED = [
+    {"title": "St. Louis", "sents": [["Saint", "Louis", "is", "big"], [" "], ["So", "."]], "vertexSet": [[{"name": " "}], [{"name": "St Louis"}, {"name": "Louis"}, {"name": "Louis"}], [{"name": "Missouri"}]], "labels": [{"r": "in", "h": 0, "t": 1}, {"r": "in", "h": 1, "t": 2}, {"r": " ", "h": 0, "t": 0}, {"r": "x", "h": None, "t": 0}]},
+    {"title": None, "sents": None, "vertexSet": None, "labels": None},
+    {"title": "late", "sents": [["No"]], "vertexSet": [], "labels": []},
+]
+
+
+def test_evaluation_plan(spark, tmp_path):
+    from docweave.plans import evaluation_plan
+
+    (tmp_path / "dev.json").write_text(json.dumps(ANNOTATED))
+    at = lambda name: f"file://{tmp_path}/{name}"
+    evaluation_plan.main(["prepare", "--input", at("dev.json"), "--n", "2", "--processed-dir", at("texts"), "--gold-out", at("gold/g.jsonl"), "--schema-out", at("schema.json")])
+    assert {p.name: p.read_text().strip() for p in (tmp_path / "texts").glob("*.txt")} == {"docred_0000_St._Louis.txt": "Saint Louis is big\nSo .", "docred_0001_doc_1.txt": ""}
+    rows = [json.loads(x) for x in (tmp_path / "gold" / "g.jsonl").read_text().splitlines()]
+    assert [r["doc_id"] for r in rows] == ["docred_0000_St._Louis", "docred_0001_doc_1"]
+    assert rows[0]["entities"] == [{"eid": "E1", "name": "Louis", "type": "Entity"}, {"eid": "E2", "name": "Missouri", "type": "Entity"}]
+    assert rows[0]["relations"] == [{"source_name": "Louis", "type": "in", "target_name": "Missouri"}] and rows[1]["entities"] == []
+    assert [r["name"] for r in json.loads((tmp_path / "schema.json").read_text())["relation_types"]] == ["in"]
+
+    # Outputs are found by what their names have before the first dot, so a title with a dot has no gold.
+    gold_rows = [{"doc_id": "a", "title": "", "entities": [{"eid": "E0", "name": "Old", "type": ""}], "relations": []}, {"doc_id": "a", "title": "", "entities": [{"eid": "E0", "name": "X  y", "type": ""}, {"eid": "E1", "name": "Z", "type": ""}], "relations": [{"source_name": "x y", "type": "r", "target_name": "z"}]}]
+    (tmp_path / "gold2.jsonl").write_text("\n".join(map(json.dumps, gold_rows)))
+    head = json.dumps({"_meta": {}})
+
+    def put(base, entities, relations):
+        (tmp_path / "r").mkdir(exist_ok=True)
+        (tmp_path / "r" / f"{base}.entities.resolved.jsonl").write_text("\n".join([head, *map(json.dumps, entities)]) + "\n")
+        (tmp_path / "r" / f"{base}.relations.resolved.jsonl").write_text("\n".join([head, *map(json.dumps, relations)]) + "\n")
+
+    put("a.rule", [{"global_id": "1", "name": "first"}, {"global_id": " 1", "name": "X 'y'"}, {"global_id": "2", "name": "W"}], [{"source": "1", "type": "r", "target": "2"}, {"source": "1", "type": "r", "target": "9"}])
+    put("a.llm", [], [])
+    put("b.rule", [{"global_id": "1", "name": "q"}], [])
+    (tmp_path / "r" / "c.relations.resolved.jsonl").write_text(head + "\n")  # without entities it doesn't count
+    got = evaluation_plan.evaluate(spark, at("gold2.jsonl"), at("r"), at("out/metrics.json"))
+    assert (got["meta"]["evaluated_docs"], got["meta"]["missing_gold_docs"]) == (2, 1)
+    assert got["ner_counts"] == {"tp": 1, "fp": 1, "fn": 3} and got["re_counts"] == {"tp": 0, "fp": 1, "fn": 2}
+    assert got["ner"] == {"precision": 0.5, "recall": 0.25, "f1": 0.3333} and json.loads((tmp_path / "out" / "metrics.json").read_text()) == got
+    with pytest.raises(Exception):
+        evaluation_plan.evaluate(spark, at("gold2.jsonl"), at("nothing"), at("m.json"))
+    (tmp_path / "gold3.jsonl").write_text('{"title": "no id"}')
+    with pytest.raises(Exception, match="without doc_id"):
+        evaluation_plan.read_gold(spark, at("gold3.jsonl")).collect()
+
+
+def test_shared_folder(spark, tmp_path):
+    """Tables of a block go at its end, others stay; without a shared folder only a local session gets one of its own."""
+    import os
+    from urllib.parse import urlparse
+
+    from docweave.sources import shared
+
+    there = lambda df: os.path.exists(urlparse(df._docweave_path).path)
+    a = shared.stored(spark.range(3), "a")
+    with shared.temporaries(spark):
+        b = shared.stored(spark.range(4), "b")
+        with shared.temporaries(spark):
+            c = shared.stored(spark.range(5), "c")
+        assert there(b) and not there(c) and b.count() == 4
+    assert there(a) and not there(b)
+    shared.discard(a)
+    assert not there(a)
+
+    class Elsewhere:
+        class conf:
+            get = staticmethod(lambda key, default=None: None)
+
+        class sparkContext:
+            master = "spark://somewhere"
+
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        shared.shared_folder(Elsewhere)
