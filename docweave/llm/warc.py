@@ -4,11 +4,11 @@ A page is three records: its request, its response (or, if another page has
 the same payload, a revisit that refers to that page's response) and its
 metadata, tied by WARC-Concurrent-To.  Spark's text writer and reader move the
 bytes, so archives can be wherever Spark can write; the record terminator is
-the writer's line separator, and the start of a record the reader's.
+the writer's line separator, and the version line the reader's.
 
 A payload may hold what looks like the start of a record.  Every record's
 length is held against its Content-Length; a file in which one doesn't fit is
-read again, and its parts are joined until lengths fit.
+read again and cut by lengths alone.
 """
 
 from __future__ import annotations
@@ -83,50 +83,56 @@ def write(records: DataFrame, path: str, compression: str = "gzip", records_per_
 
 
 def _raw(spark: SparkSession, path: str) -> DataFrame:
-    """(value, file, block, place): what lies between the starts of records, and where, in the order of a file."""
-    x = spark.read.option("lineSep", TERMINATOR + VERSION + EOL).text(path)
+    """(value, file, block, place): what lies between version lines, and where; those of a file, joined by them, are the file.
+
+    Lines are cut at the version, not at the blank line before it: a block may
+    end in blank lines itself, and the reader can miss a separator whose
+    beginning it has just met at the end of its buffer.
+    """
+    x = spark.read.option("lineSep", VERSION + EOL).text(path)
     return x.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
 
 
 def _by_length(raw: DataFrame) -> DataFrame:
-    """(head, block) of the records of _raw() rows, put together by their lengths alone.
+    """(head, block) of the records of _raw() rows, cut by their lengths alone.
 
     A file is one task's work, sorted by Spark and read batch by batch; memory
-    holds one record.  A file whose lengths don't add up is an error.
+    holds a batch and a record.  A file whose lengths don't add up is an error.
     """
 
     def mend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
 
         start, end = (VERSION + EOL).encode(), TERMINATOR.encode()
-        now, head, size, body = None, b"", 0, bytearray()
+        length = re.compile(rb"(?i)(?:^|\r\n)Content-Length: *([0-9]+)")
+        now, data = None, bytearray()
         for batch in batches:
             heads, blocks = [], []
             for file, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = value.as_py().encode()
                 if file != now:
-                    if body:
+                    if data:
                         raise ValueError(f"{now} ends within a record")
                     now = file
-                    data = data.removeprefix(start)
-                if body:  # what looked like the start of a record was part of one
-                    body += end + start + data
                 else:
-                    head, _, rest = data.partition(end)
-                    size = int(re.search(rb"(?i)(?:^|\r\n)Content-Length: *([0-9]+)", head)[1])
-                    body = bytearray(b"\0") + rest  # never empty while a record is open
-                over = len(body) - 1 - size
-                if over == 4 and body.endswith(end):
-                    del body[-4:]
-                    over = 0
-                if over > 0:
-                    raise ValueError(f"{file} has a record that is longer than it says")
-                if over == 0:
-                    heads.append(head.decode())
-                    blocks.append(body[1:].decode())
-                    body = bytearray()
+                    data += start
+                data += value.as_py().encode()
+                at = 0
+                while at < len(data):
+                    body = data.find(end, at)
+                    if body < 0:
+                        break
+                    head = bytes(data[at:body])
+                    if not head.startswith(start):
+                        raise ValueError(f"{file} has no record where one should start")
+                    body, size = body + len(end), int(length.search(head)[1])
+                    if len(data) < body + size + len(end):
+                        break
+                    heads.append(head[len(start) :].decode())
+                    blocks.append(data[body : body + size].decode())
+                    at = body + size + len(end)
+                del data[:at]
             yield pa.RecordBatch.from_arrays([pa.array(heads, pa.string()), pa.array(blocks, pa.string())], names=["head", "block"])
-        if body:
+        if data:
             raise ValueError(f"{now} ends within a record")
 
     return raw.repartition("file").sortWithinPartitions("file", "block", "place").select("file", "value").mapInArrow(mend, "head string, block string")
@@ -138,17 +144,15 @@ def _field(name: str) -> Column:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """(head, block, file, fits) of what lies between the starts of records; fits: its length is what it says."""
-    raw = _raw(spark, path).where("value <> ''")
+    """(head, block, file, fits) of what lies between version lines; fits: its length is what it says."""
     # From here on bytes are cut, not characters: lengths are at hand and nothing is decoded.
-    first = len(VERSION + EOL)
-    x = raw.select("file", F.when(F.startswith("value", F.lit(VERSION + EOL)), F.substring(F.col("value").cast("binary"), first + 1, 1 << 30)).otherwise(F.col("value").cast("binary")).alias("data"))
+    x = _raw(spark, path).where("value <> ''").select("file", F.col("value").cast("binary").alias("data"))
     x = x.withColumn("head", F.substring_index(F.col("data").cast("string"), TERMINATOR, 1))
     x = x.select("head", "file", held(_after(F.col("data"), F.col("head"))).alias("block"))
-    over = F.octet_length("block") - F.regexp_extract(F.concat(F.lit(EOL), F.col("head")), r"(?i)\r\nContent-Length: *([0-9]+)", 1).try_cast("int")
-    # The last record of a file still has its terminator.
-    last = (over == 4) & (F.substring("block", F.octet_length("block") - 3, F.lit(4)) == F.lit(TERMINATOR).cast("binary"))
-    return x.select("file", "head", F.when(last, F.substring("block", F.lit(1), F.octet_length("block") - 4)).otherwise(F.col("block")).cast("string").alias("block"), F.coalesce((over == 0) | last, F.lit(False)).alias("fits"))
+    size = F.octet_length("block") - len(TERMINATOR)
+    stated = F.regexp_extract(F.concat(F.lit(EOL), F.col("head")), r"(?i)\r\nContent-Length: *([0-9]+)", 1).try_cast("int")
+    ends = F.substring("block", size + 1, F.lit(len(TERMINATOR))) == F.lit(TERMINATOR).cast("binary")
+    return x.select("file", "head", F.substring("block", F.lit(1), size).cast("string").alias("block"), F.coalesce((size == stated) & ends, F.lit(False)).alias("fits"))
 
 
 def _after(data: Column, head: Column) -> Column:
