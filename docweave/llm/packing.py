@@ -31,7 +31,7 @@ from .common import materialise
 
 CAPACITY = 2048
 #: Pieces that are packed at a time.
-GROUP = 16_384
+GROUP = 4096
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
