@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..sources.shared import discard, held, new_path, stored, temporaries
@@ -65,16 +65,17 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     large: neighbours above a node are linked to its smallest neighbour (or
     itself); otherwise those below it, and the node, are.  The smallest
     neighbour is a partial aggregate joined back, so that no neighbourhood is
-    gathered into one row.
+    gathered into one row.  Both sides of that join are dealt by node anyway;
+    a broadcast would only add to what the driver does in every step.
     """
     if large:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        out = both.where("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
+        out = both.where("v > u").join(least.hint("merge"), "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
     else:
         down = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        out = down.join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b")))
+        out = down.join(least.hint("merge"), "u").select(F.col("m").alias("a"), F.col("v").alias("b")).unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b")))
     return out.where("a < b").distinct()
 
 
@@ -82,16 +83,22 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, root) for every node of edges (a, b) that isn't its component's smallest node.
 
     Large-star and small-star steps in turn until nothing changes; each round
-    is a table in the shared folder, and only its count and checksum reach the
-    driver.
+    is a table in the shared folder, and only its count and checksum, taken
+    while it is written, reach the driver.
     """
-    now = materialise(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), name)
-    mark = None
-    while True:
-        stat = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(stat) == mark or stat[0] == 0:
-            return now.select(F.col("b").alias("node"), F.col("a").alias("root"))
-        mark = tuple(stat)
-        then = materialise(_star(_star(now, True), False), name)
+
+    def written(x: DataFrame) -> tuple[DataFrame, tuple]:
+        seen = Observation()
+        checksum = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("checksum")
+        out = materialise(x.observe(seen, F.count("*").alias("n"), checksum), name)
+        return out, (seen.get["n"], seen.get["checksum"])
+
+    now, mark = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
+    while mark[0]:
+        then, found = written(_star(_star(now, True), False))
         discard(now)
         now = then
+        if found == mark:
+            break
+        mark = found
+    return now.select(F.col("b").alias("node"), F.col("a").alias("root"))

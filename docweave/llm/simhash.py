@@ -309,8 +309,8 @@ def _grouped_wide(docs: DataFrame, id_col: str, text_col: str, shingle: int, lea
     0.8 all but 3 pairs in a million do), and their fingerprints are within a
     distance that hardly any such pair exceeds.  What links them is the exact
     similarity of their sets.  It's computed for one candidate of each member a
-    round, as long as that joins any, then for all candidates that the links
-    found don't join.  Equal sets are one entry.
+    round, for two rounds, then for all candidates that the links found don't
+    join.  Equal sets are one entry.
     """
     mean, far = distances(least)
 
@@ -356,31 +356,41 @@ def _grouped_wide(docs: DataFrame, id_col: str, text_col: str, shingle: int, lea
     texts = own.select("text_hash", "text").join(met, "text_hash").dropDuplicates(["fp"]).select("fp", "text")
     sets = materialise(texts.mapInArrow(shingles, "fp long, shingles binary"), "simhash-sets")
 
-    def labelled(x: DataFrame, roots: DataFrame | None) -> DataFrame:
-        if roots is None:
+    def labelled(x: DataFrame, labels: DataFrame | None) -> DataFrame:
+        if labels is None:
             return x.withColumn("root", F.col("fp"))
-        return x.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-
-    links, roots = None, None
-    for stars in (lambda table: _stars(table, mean), lambda table: _stars(table, far)):
-        while True:
-            found = labelled(dealt, roots).groupBy("task").applyInArrow(stars, "a long, b long, degree long")
-            pairs = found.groupBy("a").agg(F.max(F.struct("degree", "b")).alias("hub")).select(F.least("a", "hub.b").alias("a"), F.greatest("a", "hub.b").alias("b")).distinct()
-            x = pairs.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("of_a")), "a").join(sets.select(F.col("fp").alias("b"), F.col("shingles").alias("of_b")), "b")
-            more = materialise(x.where(linked("of_a", "of_b")).select("a", "b"), "simhash-links")
-            none = more.isEmpty()
-            if links is None or not none:
-                links = more if links is None else links.unionByName(more)
-                roots = components(links, "simhash-cc")
-            if none:
-                break
+        return x.join(labels.hint("merge"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+    def relabelled(labels: DataFrame | None, more: DataFrame) -> DataFrame:
+        """(fp, root) of all that links join with one of less number, after more links: only the classes that these join are looked at."""
+        if labels is None:
+            return materialise(components(more, "simhash-cc").withColumnRenamed("node", "fp"), "simhash-labels")
+        end = lambda c: labels.select(F.col("fp").alias(c), F.col("root").alias(f"root_{c}")).hint("merge")
+        edges = more.join(end("a"), "a", "left").join(end("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+        joined = materialise(components(edges, "simhash-cc"), "simhash-joined")
+        moved = labels.join(joined.select(F.col("node").alias("root"), F.col("root").alias("to")).hint("merge"), "root", "left").select("fp", F.coalesce("to", "root").alias("root"))
+        # A class's least member has no row until its class joins another one.
+        return materialise(moved.unionByName(joined.withColumnRenamed("node", "fp")), "simhash-labels")
+
+    def stars(distance: int):
+        return lambda table: _stars(table, distance)
+
+    labels = None
+    # A round at each distance joins nearly all; what they leave is compared exactly.
+    for distance in (mean, far):
+        found = labelled(dealt, labels).groupBy("task").applyInArrow(stars(distance), "a long, b long, degree long")
+        pairs = found.groupBy("a").agg(F.max(F.struct("degree", "b")).alias("hub")).select(F.least("a", "hub.b").alias("a"), F.greatest("a", "hub.b").alias("b")).distinct()
+        x = pairs.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("of_a")), "a").join(sets.select(F.col("fp").alias("b"), F.col("shingles").alias("of_b")), "b")
+        more = materialise(x.where(linked("of_a", "of_b")).select("a", "b"), "simhash-links")
+        if labels is None or not more.isEmpty():
+            labels = relabelled(labels, more)
     # What is left is compared block by block, so that no table grows as pairs do.
-    left = materialise(labelled(dealt, roots).groupBy("task").applyInArrow(lambda table: _doubtful(table, far), "key long, i int, j int, block int, fp long"), "simhash-left")
+    left = materialise(labelled(dealt, labels).groupBy("task").applyInArrow(lambda table: _doubtful(table, far), "key long, i int, j int, block int, fp long"), "simhash-left")
     tasks = max(1, -(-left.count() // (TASK_ROWS // 8)))
-    left = labelled(left.join(index.select("fp", "wide", "keys"), "fp").join(sets, "fp"), roots).withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
+    left = labelled(left.join(index.select("fp", "wide", "keys"), "fp").join(sets, "fp"), labels).withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
     more = left.groupBy("task").applyInArrow(lambda table: _verified(table, far, least), "a long, b long")
-    roots = components(links.unionByName(more), "simhash-cc")
-    rooted = index.select("fp", "least").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    labels = relabelled(labels, materialise(more, "simhash-links"))
+    rooted = index.select("fp", "least").join(labels, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     return rows.select("id", "text_hash", "fp"), rooted
 
 
