@@ -18,8 +18,15 @@ def allowed_types(types: DataFrame) -> DataFrame:
     return types.select(T.strip(F.col("name")).alias("name")).where("name <> ''").distinct()
 
 
-def _names(types: DataFrame) -> DataFrame:
-    return allowed_types(types).agg(F.collect_set("name").alias("names"))
+#: Types that a schema may have; it is one document, written or proposed as a whole.
+MOST_TYPES = 10_000
+
+
+def _names(types: DataFrame) -> Column:
+    """All names as one array, by a scalar subquery; more than MOST_TYPES are an error, so that what travels to all tasks is bounded."""
+    some = allowed_types(types).limit(MOST_TYPES + 1).agg(F.collect_set("name").alias("names"))
+    fine = F.when(F.size("names") <= MOST_TYPES, F.col("names")).otherwise(F.raise_error(F.lit(f"a schema of more than {MOST_TYPES} types")).cast("array<string>"))
+    return some.select(fine).scalar()
 
 
 def filter_to_schema(extractions: DataFrame, entity_types: DataFrame, relation_types: DataFrame) -> DataFrame:
@@ -28,7 +35,7 @@ def filter_to_schema(extractions: DataFrame, entity_types: DataFrame, relation_t
     The domain schema is one document, so its names travel as one row; arrays
     are filtered in place and rows neither explode nor shuffle.
     """
-    named = extractions.crossJoin(F.broadcast(_names(entity_types).withColumnRenamed("names", "_entity_types"))).crossJoin(F.broadcast(_names(relation_types).withColumnRenamed("names", "_relation_types")))
+    named = extractions.withColumn("_entity_types", _names(entity_types)).withColumn("_relation_types", _names(relation_types))
     strip3 = lambda e: F.struct(T.strip(F.coalesce(e["id"], F.lit(""))).alias("id"), T.strip(F.coalesce(e["type"], F.lit(""))).alias("type"), T.strip(F.coalesce(e["name"], F.lit(""))).alias("name"), F.coalesce(e["attributes"], F.lit("{}")).alias("attributes"), e["evidence"].alias("evidence"))
     entities = F.filter(F.transform("entities", strip3), lambda e: (e["id"] != "") & (e["name"] != "") & F.array_contains("_entity_types", e["type"]))
     x = named.withColumn("entities", entities).withColumn("_ids", F.transform("entities", lambda e: e["id"]))
@@ -54,8 +61,9 @@ def first_rows(rows: DataFrame, most: int, order: str = "row_pos") -> DataFrame:
     return rows.withColumn("_place", F.row_number().over(Window.partitionBy("base").orderBy(order))).where(F.col("_place") <= most).drop("_place")
 
 
-def compact_schema(schema: DataFrame) -> DataFrame:
-    return schema.select(F.coalesce("domain", F.lit("Domain")).alias("domain"), F.coalesce("entity_types", F.array()).alias("entity_types"), F.coalesce("relation_types", F.array()).alias("relation_types"))
+def compact_schema(schema: dict) -> dict:
+    """What of a domain schema goes into prompts."""
+    return {"domain": schema.get("domain", "Domain"), "entity_types": schema.get("entity_types", []), "relation_types": schema.get("relation_types", [])}
 
 
 def mentions_by_rule(chunks: DataFrame, pattern: str = "[A-Z][a-z]{4,}") -> DataFrame:

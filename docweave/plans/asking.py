@@ -48,7 +48,7 @@ def schema(sample: DataFrame, backend: Backend, s: Settings) -> dict:
 
 def extractions(chunks: DataFrame, schema: DataFrame, backend: Backend, repairer: Backend | None, s: Settings) -> tuple[DataFrame, DataFrame]:
     """(extractions, dead letters) of chunks (base, chunk_id, text, topic); schema has one row (text), the domain schema as JSON."""
-    text = schema.first().text
+    text = json.dumps(extraction.compact_schema(json.loads(schema.first().text)), ensure_ascii=False)
     requests = chunks.select(
         "base", "chunk_id", extraction.prompt("extract", F.lit(text), F.col("base"), F.col("topic"), F.col("text")).alias("prompt"), extraction.prompt("repair", F.lit(text), F.col("text")).alias("again"),
     )
@@ -114,7 +114,3 @@ def verdicts(rows: DataFrame, backend: Backend, s: Settings) -> DataFrame:
     asked = complete(requests, backend, SYSTEM, s.validate_temperature, s.validate_max_tokens, attempts=1, pause=s.validate_sleep_sec)
     got = stored(asked.drop("prompt"), "verdicts").select(*key, F.when(F.col("reply").isNotNull(), replies.verdict(F.col("reply"))).alias("llm_support_status"))
     return rows.join(got, key, "left")
-
-
-def as_json(value: dict) -> str:
-    return json.dumps(value, ensure_ascii=False)

@@ -19,7 +19,7 @@ GOLD = "doc_id string, title string, entities array<struct<eid:string,name:strin
 
 def annotated(spark: SparkSession, path: str, n: int = 0) -> DataFrame:
     """(pos, doc_id, title, sents, vertexSet, labels) of a file that is one list of annotated documents, the first n if positive."""
-    x = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.from_json("value", ANNOTATED, {"mode": "FAILFAST"})).alias("pos", "d")).select("pos", "d.*")
+    x = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", ANNOTATED, {"mode": "FAILFAST"})).alias("pos", "d")).select("pos", "d.*")
     title = F.coalesce("title", F.concat(F.lit("doc_"), "pos"))
     number = F.when(F.col("pos") < 10_000, F.lpad(F.col("pos").cast("string"), 4, "0")).otherwise(F.col("pos").cast("string"))
     x = x.withColumn("title", title).withColumn("doc_id", F.concat(F.lit("docred_"), number, F.lit("_"), T.file_name(F.col("title"))))

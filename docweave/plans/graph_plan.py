@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import logging
 import os
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import chunking, completion, extraction, graph, resolution, validation
 from ..sources import documents, graph_sink, tables
-from ..sources.settings import Settings
+from ..sources.settings import Settings, one_of
 from ..sources.shared import stored
 from . import asking
 
@@ -119,7 +120,7 @@ class Runner:
         stem = documents.stem(F.col("path"))
         base = F.concat_ws("-", stem, F.substring(F.sha2(F.col("path").cast("binary"), 256), 1, 8))
         found = stored(self.todo(read.withColumn("base", base), "pdf"), "pdf")
-        good = found.where("text is not null").drop("error")
+        good = found.where("text is not null").drop("error").withColumns({"extracted_at": asking.T.utc_now(), "max_pages": F.lit(s.pdf_max_pages), "min_chars": F.lit(s.pdf_min_chars)})
         # A file that failed isn't done: the next run tries it again.
         self.batches.put("pdf", {"documents": good, "pdf_errors": found.where("text is null").select("base", "path", "error")}, good)
 
@@ -140,19 +141,23 @@ class Runner:
             found = chunking.rule_chunks(clean, s.chunk_size, s.chunk_overlap, s.chunk_max_chunks).withColumns({"variant": F.lit("rule"), **none})
         self.batches.put("chunk", {"chunks": found.select(*CHUNK)}, docs)
 
+    def at(self, path: str) -> str:
+        """A path of the settings, within the folder unless it is a whole one."""
+        return path if "://" in path or path.startswith("/") else f"{self.folder}/{path}"
+
     def schema_file(self) -> str:
-        return self.settings.extract_schema or f"{self.folder}/schemas/current.json"
+        return self.settings.extract_schema or f"{self.at(self.settings.schema_dir)}/current.json"
 
     def schema(self) -> None:
         """Writes the domain's schema, a copy under the alias, and one under the name that extraction looks for."""
         s = self.settings
         again = self.overwrite or s.schema_overwrite
-        if tables.exists(self.spark, f"{self.folder}/schemas/current.json") and not again:
+        if tables.exists(self.spark, f"{self.at(s.schema_dir)}/current.json") and not again:
             return
         sample = documents.sample(self.table("documents").select("base", "text"), s.schema_sample_docs, s.schema_max_chars)
         backend = self.backend("schema")
         value = asking.schema(sample, backend, s) if backend else {"domain": "Rules", "entity_types": [{"name": n} for n in ENTITY_TYPES], "relation_types": [{"name": n} for n in RELATION_TYPES]}
-        path = tables.schema_path(f"{self.folder}/schemas", str(value.get("domain", "schema")))
+        path = tables.schema_path(self.at(s.schema_dir), str(value.get("domain", "schema")))
         tables.write_document(self.spark, value, path, again)
         for name in filter(None, (s.schema_alias, "current.json")):
             tables.copy_file(self.spark, path, name)
@@ -168,7 +173,7 @@ class Runner:
         some = extraction.first_rows(chunks, s.extract_max_chunks, "chunk_id")
         backend = self.backend("extract")
         if backend:
-            document = self.spark.read.option("wholetext", True).text(self.schema_file()).select(F.col("value").alias("text"))
+            document = self.spark.read.text(self.schema_file(), wholetext=True).select(F.col("value").alias("text"))
             repairer = (self.backend("extract", s.extract_repair_model or None)) if s.extract_repair and not isinstance(backend, completion.Recorded) else None
             found, dead = asking.extractions(some, document, backend, repairer, s)
         else:
@@ -208,7 +213,7 @@ class Runner:
         if not any((s.graph_entities_dir, s.graph_entities_file, s.graph_relations_dir, s.graph_relations_file)):
             return self.table("entities"), self.table("validated")
         order = F.struct(F.col("row_pos"), F.lit(0).alias("rel_pos"))
-        read = lambda folder, file, kind, schema: tables.read_step(self.spark, tables_of(folder, file, kind), kind, schema).withColumn("first_ord", order)
+        read = lambda folder, file, kind, schema: tables.read_step(self.spark, one_of(folder, file, kind), kind, schema).withColumn("first_ord", order)
         return read(s.graph_entities_dir, s.graph_entities_file, "entities", ENTITY_FILE), read(s.graph_relations_dir, s.graph_relations_file, "validated", VALIDATED_FILE)
 
     def graph(self) -> None:
@@ -234,13 +239,18 @@ class Runner:
         chunks of one document stay apart.
         """
         s, spark, again = self.settings, self.spark, self.overwrite
-        suffix = F.when(F.col("variant") == "rule", s.chunk_suffix_rule).when(F.col("variant") == "llm", s.chunk_suffix_llm).otherwise(s.chunk_suffix_fallback)
+        suffix = F.when(F.col("variant") == "rule", s.chunk_suffix_rule).when(F.col("variant") == "llm", s.chunk_suffix_llm).when(F.col("variant").isNotNull(), s.chunk_suffix_fallback)
         chunks = self.table("chunks")
         name = F.concat_ws(".", "base", suffix)
         called = chunks.groupBy("base").agg(F.first("variant").alias("variant")).select("base", name.alias("called"))
         under = lambda df: df.join(called, "base").withColumn("document_title", F.col("base").cast("string")).withColumn("base", F.col("called")).drop("called")
         attributes = F.expr("try_parse_json(attributes)").alias("attributes")
         done = self.batches.committed
+        if done("pdf"):
+            docs = self.table("documents").withColumn("file", F.col("base").cast("string"))
+            tables.write_files(docs.select("file", F.col("text").alias("line")), f"{folder}/{s.data_processed}", ".txt", [], again)
+            meta = F.to_json(F.struct(*[c for c in docs.columns if c not in ("file", "text")]), {"ignoreNullFields": "false"})
+            tables.write_files(docs.select("file", meta.alias("line")), f"{folder}/{s.data_processed}", ".meta.json", [], again)
         tables.write_step(under(chunks.drop("variant")), f"{folder}/{s.chunk_dir}", "chunks", ["chunk_id"], overwrite=again)
         if done("extract"):
             e = self.table("extractions").withColumn("entities", F.transform("entities", lambda x: F.struct(x["id"].alias("id"), x["type"].alias("type"), x["name"].alias("name"), F.call_function("try_parse_json", x["attributes"]).alias("attributes"), x["evidence"].alias("evidence"))))
@@ -254,21 +264,36 @@ class Runner:
         if done("validate"):
             tables.write_step(under(self.table("validated")), f"{folder}/{s.validate_dir}", "validated", ["first_ord"], header, again)
 
+    def take_files(self, step: str) -> None:
+        """Step files in the folders that settings name, as what the steps before ``step`` have done."""
+        s, spark = self.settings, self.spark
+        read = lambda folder, kind, schema: tables.read_step(spark, self.at(folder), kind, schema)
+        folder = s.extract_input if step == "extract" else s.validate_chunks
+        if step != "resolve" or tables.exists(spark, self.at(folder)):  # resolution itself needs none
+            chunks = read(folder, "chunks", CHUNK_FILE).withColumn("variant", F.lit(None).cast("string"))
+            self.batches.put("chunk", {"chunks": chunks.select(*CHUNK)}, chunks)
+        if step == "resolve":
+            found = read(s.resolve_input, "extractions", EXTRACTION_FILE)
+            self.batches.put("extract", {"extractions": found, "errors": found.limit(0).select("base", "chunk_id", F.lit("").alias("error"))}, found)
+        if step == "validate":
+            order = F.struct(F.col("row_pos"), F.lit(0).alias("rel_pos"))
+            relations = read(s.validate_input, "relations", RELATION_FILE).withColumn("first_ord", order).drop("row_pos")
+            entities = read(s.validate_input, "entities", ENTITY_FILE).withColumn("first_ord", order).drop("row_pos")
+            self.batches.put("resolve", {"relations": relations, "entities": entities}, relations.select("base").unionByName(entities.select("base")))
+
     def run(self, steps: list[str]) -> None:
         for step in steps:
             getattr(self, "extract_" if step == "extract" else step)()
 
 
+#: What step files hold, of what the steps read.
+CHUNK_FILE = "chunk_id int, char_start int, char_end int, text string, chunk_method string, segment_id int, para_start int, para_end int, topic string"
+EXTRACTION_FILE = f"chunk_id int, entities {asking.replies.ENTITIES}, relations {asking.replies.RELATIONS}"
+RELATION_FILE = "source string, type string, target string, provenance array<struct<chunk_id:int,evidence_relation:string>>"
 ENTITY_FILE = "global_id string, type string, name string, attributes string, mentions array<struct<chunk_id:int,local_entity_id:string,evidence_entity:string>>"
 VALIDATED_FILE = "source string, type string, target string, provenance array<struct<chunk_id:int,evidence_relation:string,support_status:string,llm_support_status:string>>, validation struct<supported:bigint,unsupported:bigint,unknown:bigint,support_ratio:double>"
 
 
-def tables_of(folder: str, file: str, kind: str) -> str:
-    from ..sources.settings import one_of
-
-    return one_of(folder, file, kind)
-
-
 def main(args: list[str] | None = None) -> list[str]:
     parser = argparse.ArgumentParser(description="Documents to a validated graph")
     parser.add_argument("folder")
@@ -280,6 +305,8 @@ def main(args: list[str] | None = None) -> list[str]:
     parser.add_argument("--file", action="append", default=[], help="base of a document to limit the steps to; may be given again")
     parser.add_argument("--clear-db", action="store_true", help="start with an empty graph")
     parser.add_argument("--export", metavar="FOLDER", help="write step files there when the steps are done")
+    parser.add_argument("--texts", metavar="FOLDER", help="take the .txt files there as documents, in place of PDF files")
+    parser.add_argument("--take-files", action="store_true", help="take step files in the folders that the settings name as input of the first step")
     parser.add_argument("--sink", action="store_true", help="write the graph to the graph database that the settings name, too")
     a = parser.parse_args(args)
     steps = chosen(a.from_step, a.to_step, a.only)
@@ -288,7 +315,12 @@ def main(args: list[str] | None = None) -> list[str]:
         s = replace(s, chunk_mode=a.mode or s.chunk_mode, graph_clear=a.clear_db or s.graph_clear)
         sink = graph_sink.Bolt(s.graph_uri, s.graph_user, s.graph_password, s.graph_database) if a.sink else None
         runner = Runner(SparkSession.builder.appName("docweave").getOrCreate(), a.folder, s, a.overwrite, env=os.environ, only=tuple(a.file), sink=sink)
-        runner.run(steps)
+        logging.basicConfig(level=s.log_level.upper())
+        if a.texts:
+            runner.add_documents(documents.text_files(runner.spark, a.texts))
+        if a.take_files:
+            runner.take_files(steps[0])
+        runner.run([x for x in steps if not (a.texts and x == "pdf")])
         if a.export:
             runner.export(a.export)
     return steps

@@ -380,7 +380,7 @@ def test_steps_with_a_service(spark, tmp_path):
     runner.run(graph_plan.chosen("chunk", "graph", None))
     chunks = runner.table("chunks").collect()
     assert {(c.base, c.chunk_id, c.variant, c.topic) for c in chunks} == {("good", 0, "llm", "first"), ("good", 1, "llm", None), *((b, 0, "llm_fallback_rule", None) for b in ("one", "mend me", "dead"))}
-    assert sorted(p.name for p in (tmp_path / "w" / "schemas").glob("*.json")) == ["Small_towns.schema.json", "alias.schema.json", "current.json"]
+    assert sorted(p.name for p in (tmp_path / "w" / s.schema_dir).glob("*.json")) == ["Small_towns.schema.json", "alias.schema.json", "current.json"]
     (dead,) = runner.table("errors").collect()
     assert (dead.base, dead.chunk_id, dead.llm_model, dead.repaired_with) == ("dead", 0, "m1", "m1") and dead.error and dead.repair_error
     rows = {(r.base, r.chunk_id): r for r in runner.table("extractions").collect()}
@@ -402,6 +402,18 @@ def test_steps_with_a_service(spark, tmp_path):
     assert [r.row_pos for r in back.where("base = 'good.llm'").orderBy("row_pos").collect()] == [0, 1]
     assert tables.step_names(spark, f"file://{tmp_path}/out/{s.resolve_dir}", "entities").count() == 3
 
+    # Steps that take the files up from where others left them end alike.
+    for step, kind in (("extract", "extractions"), ("resolve", "entities"), ("validate", "validated")):
+        taken = graph_plan.Runner(spark, f"file://{tmp_path}/out", s, backends=runner.backends)
+        taken.batches.folder = taken.folder = f"file://{tmp_path}/take-{step}"
+        taken.at = lambda path: f"file://{tmp_path}/out/{path}"
+        taken.schema_file = runner.schema_file
+        taken.take_files(step)
+        taken.run(["extract", "resolve", "validate"][("extract", "resolve", "validate").index(step) :])
+        assert taken.table("validated").count() == runner.table("validated").count()
+        assert taken.table(kind).count() == runner.table(kind).count()
+    assert (tmp_path / "out" / s.data_processed / "one.txt").read_text().strip() == "Altstadt near Neuburg"
+
     # A graph from step files is the graph from tables.
     from dataclasses import replace
 
@@ -438,7 +450,7 @@ def test_recorded_replies(spark):
 
     chunks = spark.createDataFrame([("a", 0, "Altstadt near Neuburg", None), ("b", 0, "broken", "t"), ("c", 0, "not recorded", None)], "base string, chunk_id int, text string, topic string")
     schema = spark.createDataFrame([("{}",)], "text string")
-    asked = chunks.select("*", extraction.prompt("extract", F.lit("{}"), F.col("base"), F.col("topic"), F.col("text")).alias("prompt")).where("base <> 'c'").collect()
+    asked = chunks.select("*", extraction.prompt("extract", F.lit(json.dumps(extraction.compact_schema({}))), F.col("base"), F.col("topic"), F.col("text")).alias("prompt")).where("base <> 'c'").collect()
     kept = spark.createDataFrame([(r.prompt, small_service()(r.prompt)) for r in asked], "prompt string, reply string").select(F.sha2("prompt", 256).alias("prompt_sha256"), "reply")
     good, dead = asking.extractions(chunks, schema, completion.Recorded(kept), None, Settings())
     assert [(r.base, len(r.entities)) for r in good.collect()] == [("a", 2)]
@@ -526,7 +538,7 @@ ANNOTATED = [
 def test_evaluation_plan(spark, tmp_path):
     from docweave.plans import evaluation_plan
 
-    (tmp_path / "dev.json").write_text(json.dumps(ANNOTATED))
+    (tmp_path / "dev.json").write_text(json.dumps(ANNOTATED, indent=1))
     at = lambda name: f"file://{tmp_path}/{name}"
     evaluation_plan.main(["prepare", "--input", at("dev.json"), "--n", "2", "--processed-dir", at("texts"), "--gold-out", at("gold/g.jsonl"), "--schema-out", at("schema.json")])
     assert {p.name: p.read_text().strip() for p in (tmp_path / "texts").glob("*.txt")} == {"docred_0000_St._Louis.txt": "Saint Louis is big\nSo .", "docred_0001_doc_1.txt": ""}
