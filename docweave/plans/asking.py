@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import replies
 from ..functions import text as T
-from ..operators import chunking, extraction
+from ..operators import chunking, extraction, validation
 from ..operators.completion import Backend, complete
 from ..sources.settings import Settings
 from ..sources.shared import stored
@@ -22,13 +22,18 @@ from ..sources.shared import stored
 SYSTEM = "Answer with JSON only, without any explanation."
 
 
-def segments(docs: DataFrame, backend: Backend, s: Settings) -> DataFrame:
-    """(base, segment_id, para_start, para_end, topic) of the replies about docs (base, text) with 1 to chunk_max_paragraphs paragraphs."""
+def segment_requests(docs: DataFrame, s: Settings) -> DataFrame:
+    """(base, n_paragraphs, prompt) of docs (base, text) with 1 to chunk_max_paragraphs paragraphs."""
     paras = chunking.paragraphs(docs)
     counts = paras.groupBy("base").agg(F.count("*").cast("int").alias("n_paragraphs")).where(F.col("n_paragraphs") <= s.chunk_max_paragraphs)
     entry = F.struct(F.col("idx"), T.preview(F.col("text"), s.chunk_preview).alias("preview"))
     listed = paras.join(counts, "base").groupBy("base", "n_paragraphs").agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("list"))
-    requests = listed.select("base", extraction.prompt("segments", F.col("n_paragraphs"), F.col("list")).alias("prompt"))
+    return listed.select("base", "n_paragraphs", extraction.prompt("segments", F.col("n_paragraphs"), F.col("list")).alias("prompt"))
+
+
+def segments(docs: DataFrame, backend: Backend, s: Settings) -> DataFrame:
+    """(base, segment_id, para_start, para_end, topic) of the replies about docs (base, text); none for a document without a usable one."""
+    requests = segment_requests(docs, s).drop("n_paragraphs")
     got = stored(complete(requests, backend, SYSTEM, s.chunk_temperature, s.extract_max_tokens, attempts=1), "segments")
     found = got.where("reply is not null").select("base", F.posexplode(replies.parse_segments(F.col("reply"))).alias("segment_id", "x"))
     topic = F.nullif(T.strip(F.col("x.topic")), F.lit(""))
@@ -46,12 +51,16 @@ def schema(sample: DataFrame, backend: Backend, s: Settings) -> dict:
     return {"_meta": {"llm_backend": backend.name, "llm_model": backend.model, "llm_temperature": s.schema_temperature}, **value}
 
 
-def extractions(chunks: DataFrame, schema: DataFrame, backend: Backend, repairer: Backend | None, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """(extractions, dead letters) of chunks (base, chunk_id, text, topic); schema has one row (text), the domain schema as JSON."""
+def extraction_requests(chunks: DataFrame, schema: DataFrame) -> DataFrame:
+    """chunks (base, chunk_id, text, topic) with ``prompt`` and ``again``, which mends a reply; schema has one row (text), the domain schema as JSON."""
     text = json.dumps(extraction.compact_schema(json.loads(schema.first().text)), ensure_ascii=False)
-    requests = chunks.select(
-        "base", "chunk_id", extraction.prompt("extract", F.lit(text), F.col("base"), F.col("topic"), F.col("text")).alias("prompt"), extraction.prompt("repair", F.lit(text), F.col("text")).alias("again"),
-    )
+    first = extraction.prompt("extract", F.lit(text), F.col("base"), F.col("topic"), F.col("text"))
+    return chunks.withColumn("prompt", first).withColumn("again", extraction.prompt("repair", F.lit(text), F.col("text")))
+
+
+def extractions(chunks: DataFrame, schema: DataFrame, backend: Backend, repairer: Backend | None, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """(extractions, dead letters) of what extraction_requests() asks about."""
+    requests = extraction_requests(chunks, schema)
     # The second request isn't known before the first has failed, so it travels along with it.
     mark = "\x00"
     both = requests.select("base", "chunk_id", F.concat("prompt", F.lit(mark), "again").alias("prompt")) if repairer else requests.select("base", "chunk_id", "prompt")
@@ -104,13 +113,16 @@ def judge(backend: Backend, temperature: float = 0.0, pause: float = 0.0) -> Cal
     return same
 
 
+ENTRY = ["base", "source", "type", "target", "prov_pos"]
+
+
+def verdict_requests(rows: DataFrame) -> DataFrame:
+    """(ENTRY, prompt) of the rows of validation.statuses() that a backend is asked about."""
+    return validation.to_escalate(rows).select(*ENTRY, extraction.prompt("verdict", F.col("source"), F.col("type"), F.col("target"), F.col("evidence_relation"), F.col("chunk_text")).alias("prompt"))
+
+
 def verdicts(rows: DataFrame, backend: Backend, s: Settings) -> DataFrame:
     """rows of validation.statuses() with llm_support_status where the backend is asked; a call that fails leaves it null."""
-    from ..operators import validation
-
-    key = ["base", "source", "type", "target", "prov_pos"]
-    ask = validation.to_escalate(rows)
-    requests = ask.select(*key, extraction.prompt("verdict", F.col("source"), F.col("type"), F.col("target"), F.col("evidence_relation"), F.col("chunk_text")).alias("prompt"))
-    asked = complete(requests, backend, SYSTEM, s.validate_temperature, s.validate_max_tokens, attempts=1, pause=s.validate_sleep_sec)
-    got = stored(asked.drop("prompt"), "verdicts").select(*key, F.when(F.col("reply").isNotNull(), replies.verdict(F.col("reply"))).alias("llm_support_status"))
-    return rows.join(got, key, "left")
+    asked = complete(verdict_requests(rows), backend, SYSTEM, s.validate_temperature, s.validate_max_tokens, attempts=1, pause=s.validate_sleep_sec)
+    got = stored(asked.drop("prompt"), "verdicts").select(*ENTRY, F.when(F.col("reply").isNotNull(), replies.verdict(F.col("reply"))).alias("llm_support_status"))
+    return rows.join(got, ENTRY, "left")

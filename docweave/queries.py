@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import replies
 from .functions import text as T
-from .operators import chunking, evaluation, extraction, graph, resolution, validation
-from .plans import graph_plan
+from .operators import chunking, completion, evaluation, extraction, graph, resolution, validation
+from .plans import asking, graph_plan
 from .sources import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -543,6 +543,57 @@ def json_first(spark, sf_dir):
     return e.select("event_id", "json", F.col("x.ok").alias("ok"), F.get("x.entities", F.lit(0))["id"].alias("first_id"), F.get("x.entities", F.lit(0))["name"].alias("first_name"), "verdict")
 
 
+def recorded(requests: DataFrame, reply: Column) -> completion.Recorded:
+    """Replies kept by their requests' hashes, as a service would have given them."""
+    return completion.Recorded(requests.select(F.sha2(F.col("prompt").cast("binary"), 256).alias("prompt_sha256"), reply.alias("reply")).dropDuplicates(["prompt_sha256"]))
+
+
+@query(chain(2, """, first_ as (select base, chunk_id, nullif(regexp_extract(text, '[A-Z][a-z]{4,}'), '') as name from chunks)
+select base, chunk_id, name, case when name is null then 'no recorded reply' end as error from first_""").replace(" , first_", ", first_"))
+def replayed_extractions(spark, sf_dir):
+    """Extraction by recorded replies: one entity for chunks that have a capitalised word, a dead letter for any other."""
+    chunks = chunking.rule_chunks(chunking.clean(docs(spark, sf_dir))).withColumn("topic", F.lit(None).cast("string"))
+    schema = spark.createDataFrame([("{}",)], "text string")
+    word = F.regexp_extract("text", "[A-Z][a-z]{4,}", 0)
+    asked = asking.extraction_requests(chunks, schema).where(word != "")
+    kept = recorded(asked, F.concat(F.lit('Here: {"entities": [{"id": "e1", "type": "T", "name": "'), word, F.lit('"}], "relations": []}')))
+    good, dead = asking.extractions(chunks, schema, kept, None, graph_plan.Settings())
+    return good.select("base", "chunk_id", F.get("entities", F.lit(0))["name"].alias("name"), F.lit(None).cast("string").alias("error")).unionByName(dead.select("base", "chunk_id", F.lit(None).cast("string").alias("name"), "error"))
+
+
+@query(f"with {SEGMENTS} select base, k::int as segment_id, (5 * k)::int as para_start, least(n, 5 * k + 5)::int as para_end, 't' || k as topic from (select base, n, unnest(range(ceil(n / 5.0)::bigint)) as k from sizes where n <= 120)")
+def replayed_segments(spark, sf_dir):
+    """Segments of five paragraphs from recorded replies, for documents that are asked about."""
+    d, s = spaced(spark, sf_dir), graph_plan.Settings()
+    one = lambda k: F.concat(F.lit('{"start_paragraph": '), 5 * k, F.lit(', "end_paragraph": "'), F.least(F.col("n_paragraphs"), 5 * k + 5), F.lit('", "topic": " t'), k, F.lit('"}'))
+    numbers = F.sequence(F.lit(0), F.ceil(F.col("n_paragraphs") / 5).cast("int") - 1)
+    reply = F.concat(F.lit("Segments: ["), F.array_join(F.transform(numbers, one), ", "), F.lit("]"))
+    return asking.segments(d, recorded(asking.segment_requests(d, s), reply), s)
+
+
+@query(chain(6, "select base, source, type, target, prov_pos::int as prov_pos, support_status, case when support_status = 'UNSUPPORTED' then case length(source) % 3 when 0 then 'SUPPORTED' when 1 then 'UNSUPPORTED' else 'UNSURE' end end as llm_support_status from statuses"))
+def replayed_verdicts(spark, sf_dir):
+    """Entries that the rule doesn't support, with verdicts from recorded replies; replies that say nothing are UNSURE."""
+    rows = checked(spark, sf_dir)
+    rest = F.length("source") % 3
+    reply = F.when(rest == 0, '{"verdict": "supported"}').when(rest == 1, 'So: {"verdict": " UNSUPPORTED "}').otherwise("can't say")
+    out = asking.verdicts(rows, recorded(asking.verdict_requests(rows), reply), graph_plan.Settings())
+    return out.select("base", "source", "type", "target", "prov_pos", "support_status", "llm_support_status")
+
+
+LOOSE = "mentions_ as (select 'c' || c_nationkey as base, c_custkey as key, md5((c_custkey // 6)::varchar)[1:28] || repeat(substr('ghi', (c_custkey % 3)::int + 1, 1), 5) as name from customer union all select 'p' || p_size, p_partkey, md5((p_partkey // 6)::varchar)[1:28] || repeat(substr('ghi', (p_partkey % 3)::int + 1, 1), 5) from part)"
+
+
+@query(f"with {LOOSE} select base, min_by(name, key) as leader, count(*) as mention_count from mentions_ group by base, substr(name, 1, 28)")
+def resolve_adjudicated(spark, sf_dir):
+    """Names that are alike but not alike enough, which a service is asked about, and takes for one entity."""
+    name = lambda key: F.expr(f"substr(md5(cast(floor({key} / 6) as string)), 1, 28) || repeat(substr('ghi', cast({key} % 3 as int) + 1, 1), 5)")
+    c = table(spark, sf_dir, "customer").select(F.expr("'c' || c_nationkey").alias("base"), F.col("c_custkey").cast("int").alias("row_pos"), name("c_custkey").alias("name"))
+    p = table(spark, sf_dir, "part").select(F.expr("'p' || p_size").alias("base"), F.col("p_partkey").cast("int").alias("row_pos"), name("p_partkey").alias("name"))
+    yes = completion.Rules(lambda prompt: 'I think {"same": true}')
+    return resolution.adjudicated(as_mentions(c.unionByName(p)), asking.judge(yes)).groupBy("base", "leader").agg(F.count("*").alias("mention_count"))
+
+
 @query(chain(7, "select src, rel_type, dst, support_ratio, supported, provenance_count from last_edges"))
 def graph_from_documents_exact(spark, sf_dir):
     """Documents to supported edges, with exact resolution."""
