@@ -17,13 +17,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held
+from .common import folded, held
 
 #: Control strings of the template, and what they look like right after their first character.
 OPEN, CLOSE, BEGIN, END = "[INST]", "[/INST]", "<s>", "</s>"
 CONTROL = r"(<(?=/?s>|<?/?SYS>>)|\[(?=/?INST\]))"
 
 
+#: An example: its number and turn, where its context ends, the span under the loss mask, and its end.
+EXAMPLE = "struct<number:int,turn:int,context_end:int,loss_start:int,loss_end:int,end:int>"
+
+
 def escaped(text: Column) -> Column:
     return F.regexp_replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), CONTROL, r"$1\\")
 
@@ -39,23 +43,24 @@ def formatted(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
     Offsets are code points from 0, ends exclusive.  Turns are ordered by turn
     (nulls first), then role, then text; repeated rows are repeated turns.
     Null roles and texts are empty.  Rows with a null conversation are one
-    conversation.  An empty table gives an empty one; other columns are ignored.
+    conversation.  An empty table gives an empty one; other columns are ignored,
+    whatever their names.  A conversation is one row, however long its texts.
     """
     rows = turns.select(F.col(conv_col).alias("conv_id"), F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).alias("turn"))
     x = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
     pieces = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), F.concat(F.lit(OPEN), escaped(t["role"]), F.lit(CLOSE)).alias("head"), escaped(t["text"]).alias("body")))
     x = x.select("conv_id", held(pieces).alias("pieces"))
     # Only lengths go through the running sum; the text itself is joined once.
-    start = F.struct(F.lit(len(BEGIN)).alias("at"), F.lit(0).alias("turn"), F.array().cast("array<struct<number:int,turn:int,context_end:int,loss_start:int,loss_end:int,end:int>>").alias("out"))
+    start = F.struct(F.lit(len(BEGIN)).alias("at"), F.lit(0).alias("turn"), F.lit(0).alias("number"))
 
-    def step(acc: Column, p: Column) -> Column:
-        body = acc["at"] + F.length(p["head"])
+    def step(s: Column, p: Column) -> tuple[Column, Column, Column]:
+        body, reply = s["at"] + F.length(p["head"]), p["role"] == "assistant"
         done = body + F.length(p["body"])
-        example = F.struct(F.size(acc["out"]).alias("number"), acc["turn"].alias("turn"), acc["at"].alias("context_end"), body.alias("loss_start"), done.alias("loss_end"), (done + len(END)).alias("end"))
-        return F.struct((done + len(END)).alias("at"), (acc["turn"] + 1).alias("turn"), F.when(p["role"] == "assistant", F.concat(acc["out"], F.array(example))).otherwise(acc["out"]).alias("out"))
+        example = F.struct(s["number"].alias("number"), s["turn"].alias("turn"), s["at"].alias("context_end"), body.alias("loss_start"), done.alias("loss_end"), (done + len(END)).alias("end"))
+        return F.struct((done + len(END)).alias("at"), (s["turn"] + 1).alias("turn"), (s["number"] + reply.cast("int")).alias("number")), reply, example
 
     text = F.concat(F.lit(BEGIN), F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"], F.lit(END))), ""))
-    return x.select("conv_id", held(text).alias("formatted"), held(F.aggregate("pieces", start, step, lambda acc: acc["out"])).alias("examples"))
+    return x.select("conv_id", held(text).alias("formatted"), held(folded(F.col("pieces"), start, EXAMPLE, step)).alias("examples"))
 
 
 def expanded(conversations: DataFrame) -> DataFrame:

@@ -401,7 +401,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     more, in place of max_distance bits of 64.
 
     Rows of one id are told apart by a hash of their texts; of rows that
-    repeat id and text one stays.
+    repeat id and text one stays.  Null and empty texts, and texts without
+    words, are copies of each other.  An empty table gives an empty one.  Other
+    columns stay, whatever their names.  A text is one row's work, however long.
     """
     if similarity is None:
         thin, rooted = _grouped(docs, id_col, text_col, shingle, max_distance, segments, crowd)

@@ -390,24 +390,33 @@ def _kept(text: str | None, ranges: list[bytes] | None) -> tuple[list[bytes], np
 def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, run: int = RUN, heavy: int = HEAVY) -> DataFrame:
     """(doc_id, text, ranges): rows of docs with the ranges of words to remove, packed as pairs of 32-bit integers.
 
-    A document is known by its id and a hash of its text, so rows that repeat
-    both are repetitions of each other and share their ranges.
+    A document is known by its id, a whole number or null, and a hash of its
+    text, so rows that repeat both are repetitions of each other and share their
+    ranges.  A null or empty text has no words.  A text is one row's work,
+    however long; what travels of it are its super-k-mers.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     keyed = own.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), F.xxhash64("text").alias("text_hash"), "text")
     heavies, size = heavy_runs(own, window, run, heavy)
-    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(partitions, -(-size // BUCKET_BYTES))
+    # More buckets than shuffle partitions are dealt over as many tasks, so that a task has a bucket's text whatever the input.
+    by_bucket = lambda rows: (rows.repartition(buckets, "bucket") if buckets > partitions else rows).groupBy("bucket")
     per_document = lambda rows, name: rows.groupBy(*KEY).agg(F.collect_list(name).alias(name))
-    places = _places(keyed, window, run, heavies, buckets).groupBy("bucket").applyInArrow(_in_company, "no_id boolean, doc_id long, text_hash long, places binary")
+    places = by_bucket(_places(keyed, window, run, heavies, buckets)).applyInArrow(_in_company, "no_id boolean, doc_id long, text_hash long, places binary")
     # Both joins deal the same columns by the same key, so texts are shuffled once.
     placed = keyed.join(per_document(places, "places"), KEY, "left")
-    ranges = _parcels(placed, window, buckets).groupBy("bucket").applyInArrow(lambda table: _bucket(table, window), RANGES)
+    ranges = by_bucket(_parcels(placed, window, buckets)).applyInArrow(lambda table: _bucket(table, window), RANGES)
     out = keyed.join(per_document(ranges, "ranges"), KEY, "left")
     return out.select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "text", "ranges")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept): what is left of each text, words joined by single spaces."""
+    """(doc_id, n_words, n_removed, kept): what is left of each text, words joined by single spaces.
+
+    One row per row of docs; nulls, repeated rows, empty tables and other
+    columns are as in digests().
+    """
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -426,7 +435,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **o
 
     A null or empty text has no words.  Repeated rows stay repeated, and
     repeat each other.  Null ids are kept.  An empty table gives an empty one.
-    Other columns are ignored.
+    Other columns are ignored, whatever their names.
     """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
