@@ -155,7 +155,8 @@ def thresholds(measured: DataFrame, lang_col: str = "lang", source_col: str = "s
     x = x.select("lang", "source", "measure", pulled("q25", "of"), pulled("q75", "of"))
     spread = reach * (F.col("q75") - F.col("q25"))
     ends = [F.max(F.when(F.col("measure") == m, F.col("q75") + spread)).alias(f"max_{m}") for m in MEASURES] + [F.max(F.when(F.col("measure") == m, F.col("q25") - spread)).alias(f"min_{m}") for m, k in MEASURES.items() if k.both]
-    return x.groupBy("lang", "source").agg(*ends)
+    # Stored, so that Spark knows its size when it plans the join with documents: it is broadcast below the session's limit only.
+    return materialise(x.groupBy("lang", "source").agg(*ends), "quality-limits")
 
 
 def judged(measured: DataFrame, limits: DataFrame, lang_col: str = "lang", source_col: str = "source", sure: float = 3.0) -> DataFrame:
