@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, materialise
+from .common import components, discard, materialise
 
 BITS = 64
 SEED = 42
@@ -385,11 +385,13 @@ def _grouped_wide(docs: DataFrame, id_col: str, text_col: str, shingle: int, lea
         if labels is None or not more.isEmpty():
             labels = relabelled(labels, more)
     # What is left is compared block by block, so that no table grows as pairs do.
-    left = materialise(labelled(dealt, labels).groupBy("task").applyInArrow(lambda table: _doubtful(table, far), "key long, i int, j int, block int, fp long"), "simhash-left")
-    tasks = max(1, -(-left.count() // (TASK_ROWS // 8)))
-    left = labelled(left.join(index.select("fp", "wide", "keys"), "fp").join(sets, "fp"), labels).withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
+    doubtful = materialise(labelled(dealt, labels).groupBy("task").applyInArrow(lambda table: _doubtful(table, far), "key long, i int, j int, block int, fp long"), "simhash-left")
+    tasks = max(1, -(-doubtful.count() // (TASK_ROWS // 8)))
+    left = labelled(doubtful.join(index.select("fp", "wide", "keys"), "fp").join(sets, "fp"), labels).withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
     more = left.groupBy("task").applyInArrow(lambda table: _verified(table, far, least), "a long, b long")
     labels = relabelled(labels, materialise(more, "simhash-links"))
+    for done in (members, sets, doubtful):
+        discard(done)
     rooted = index.select("fp", "least").join(labels, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     return rows.select("id", "text_hash", "fp"), rooted
 
