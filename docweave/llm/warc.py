@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import remove
 from .common import discard, held, materialise, new_path
 
 #: Fixed values of the format.
@@ -204,13 +205,14 @@ def captures(records: DataFrame) -> DataFrame:
 def round_trip(pages: DataFrame, path: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0) -> DataFrame:
     """Writes pages as archives, reads them and returns one row per page.
 
-    (page_id, payload_bytes, payload_digest, record_type, refers_to, url).  A
+    (page_id, payload_bytes, payload_digest, record_type, refers_to, url).
+    Archives stay if a path is given.  A
     null html is an empty payload, a null url or id stays null.  Rows that
     repeat are captures of their own, one of them the response.  An empty
     table gives an empty one; other columns are ignored.
     """
     spark = pages.sparkSession
-    path = path or new_path(spark, "warc")
+    own, path = path is None, path or new_path(spark, "warc")
     write(transactions(pages, id_col, url_col, html_col, least_bytes), path)
     page = F.regexp_extract(F.concat(F.lit(EOL), F.col("metadata.block")), r"\r\npageId: (-?[0-9]+)", 1).try_cast("bigint")
     thin = lambda records: materialise(captures(records).select("record_id", "type", "uri", "refers_to", "payload_bytes", "payload_digest", page.alias("page_id")), "warc-captures")
@@ -220,6 +222,8 @@ def round_trip(pages: DataFrame, path: str | None = None, id_col: str = "page_id
     if fit.get["odd"]:
         discard(found)
         found = thin(read(spark, path))
+    if own:
+        remove(spark, path)
     originals = found.where("type = 'response'").select(F.col("record_id").alias("original"), F.col("page_id").alias("original_page"))
     again = found.where("type = 'revisit'").join(originals, F.col("refers_to") == F.col("original"), "left")
     columns = ["page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type")]
