@@ -14,6 +14,8 @@ from ..sources import tables
 
 #: Annotated documents: tokens of sentences, mentions of each vertex, labelled relations between vertices.
 ANNOTATED = "array<struct<title:string,sents:array<array<string>>,vertexSet:array<array<struct<name:string>>>,labels:array<struct<r:string,h:int,t:int>>>>"
+#: How ids of documents and the domain of a prepared collection begin and are called, and what a gold row holds.
+ID_START, DOMAIN = "docred_", "DocRED_Subset"
 GOLD = "doc_id string, title string, entities array<struct<eid:string,name:string,type:string>>, relations array<struct<source_name:string,type:string,target_name:string>>"
 
 
@@ -22,7 +24,7 @@ def annotated(spark: SparkSession, path: str, n: int = 0) -> DataFrame:
     x = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", ANNOTATED, {"mode": "FAILFAST"})).alias("pos", "d")).select("pos", "d.*")
     title = F.coalesce("title", F.concat(F.lit("doc_"), "pos"))
     number = F.when(F.col("pos") < 10_000, F.lpad(F.col("pos").cast("string"), 4, "0")).otherwise(F.col("pos").cast("string"))
-    x = x.withColumn("title", title).withColumn("doc_id", F.concat(F.lit("docred_"), number, F.lit("_"), T.file_name(F.col("title"))))
+    x = x.withColumn("title", title).withColumn("doc_id", F.concat(F.lit(ID_START), number, F.lit("_"), T.file_name(F.col("title"))))
     return evaluation.subset(x, n) if n else x
 
 
@@ -54,7 +56,7 @@ def prepare(spark: SparkSession, source: str, n: int, texts: str, gold_out: str,
     tables.write_files(standard.select(F.lit(name).alias("file"), line.alias("line"), "pos"), folder, "", ["pos"], overwrite)
     names = evaluation.vocabulary(standard.select(F.explode("relations").alias("r")).select("r.type"))
     kinds = [{"name": r.name, "description": "", "source_type": "Entity", "target_type": "Entity", "examples": []} for r in names.collect()]  # relation types of a schema
-    value = {"domain": "DocRED_Subset", "entity_types": [{"name": "Entity", "description": "", "attributes": [], "examples": []}], "relation_types": kinds}
+    value = {"domain": DOMAIN, "entity_types": [{"name": "Entity", "description": "", "attributes": [], "examples": []}], "relation_types": kinds}
     tables.write_document(spark, value, schema_out, overwrite)
 
 

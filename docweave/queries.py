@@ -213,13 +213,13 @@ def paragraphs(spark, sf_dir):
 
 
 def fixed_segments(spark, sf_dir):
-    """Segments of five paragraphs; every seventh document's leave a gap."""
+    """Segments of five paragraphs; those of some numbers of paragraphs leave a gap, as a reply may."""
     p = chunking.paragraphs(spaced(spark, sf_dir)).groupBy("base").agg(F.count("*").cast("int").alias("n"))
     x = p.select("base", "n", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / 5).cast("int") - 1)).alias("segment_id"))
-    return x.select("base", "n", "segment_id", (5 * F.col("segment_id") + F.when((F.col("base") % 7 == 0) & (F.col("segment_id") == 1), 1).otherwise(0)).alias("para_start"), F.least(F.col("n"), 5 * F.col("segment_id") + 5).alias("para_end"), F.concat(F.lit("t"), "segment_id").alias("topic"))
+    return x.select("base", "n", "segment_id", (5 * F.col("segment_id") + F.when((F.col("n") % 7 == 0) & (F.col("segment_id") == 1), 1).otherwise(0)).alias("para_start"), F.least(F.col("n"), 5 * F.col("segment_id") + 5).alias("para_end"), F.concat(F.lit("t"), "segment_id").alias("topic"))
 
 
-SEGMENTS = f"{PARAS}, sizes as (select base, count(*)::int as n from paras group by base), segs as (select base, n, k::int as segment_id, (5 * k + case when base % 7 = 0 and k = 1 then 1 else 0 end)::int as para_start, least(n, 5 * k + 5)::int as para_end from (select base, n, unnest(range(ceil(n / 5.0)::bigint)) as k from sizes)), valid as (select base, bool_and(para_start = before and para_end > para_start) and max(para_end) = any_value(n) as valid from (select *, coalesce(lag(para_end) over (partition by base order by para_start), 0) as before from segs) group by base)"
+SEGMENTS = f"{PARAS}, sizes as (select base, count(*)::int as n from paras group by base), segs as (select base, n, k::int as segment_id, (5 * k + case when n % 7 = 0 and k = 1 then 1 else 0 end)::int as para_start, least(n, 5 * k + 5)::int as para_end from (select base, n, unnest(range(ceil(n / 5.0)::bigint)) as k from sizes)), valid as (select base, bool_and(para_start = before and para_end > para_start) and max(para_end) = any_value(n) as valid from (select *, coalesce(lag(para_end) over (partition by base order by para_start), 0) as before from segs) group by base)"
 
 
 @query(f"with {SEGMENTS} select base, valid from valid")
@@ -396,19 +396,20 @@ def graph_edges_upsert_first(spark, sf_dir):
     return flat(graph.edges(graph.with_support(g.validated), g.nodes, overwrite=False))
 
 
-SOME = "picked as (select global_id from nodes where length(global_id) % 2 = 0)"
+#: A graph that lacks the nodes that were mentioned only once.
+SOME = "picked as (select global_id from nodes where mention_count > 1)"
 
 
 @query(chain(7, f", {SOME} select base, source, type, target from passing where source not in (select global_id from picked) or target not in (select global_id from picked)").replace(" , picked", ", picked"))
 def graph_dangling(spark, sf_dir):
     g = plan(spark, sf_dir)
-    return graph.dangling(g.relations.select("base", "source", "type", "target"), g.nodes.where(F.length("global_id") % 2 == 0))
+    return graph.dangling(g.relations.select("base", "source", "type", "target"), g.nodes.where("mention_count > 1"))
 
 
 @query(chain(7, f", {SOME}, x as (select passes, source in (select global_id from picked) and target in (select global_id from picked) as ends_known from passing) select count(*) filter (passes and ends_known) as imported, count(*) filter (not passes) as skipped_support, count(*) filter (passes and not ends_known) as skipped_missing_nodes from x").replace(" , picked", ", picked"))
 def graph_counters(spark, sf_dir):
     g = plan(spark, sf_dir)
-    return graph.counters(graph.with_support(g.validated), g.nodes.where(F.length("global_id") % 2 == 0))
+    return graph.counters(graph.with_support(g.validated), g.nodes.where("mention_count > 1"))
 
 
 VERTICES = "marked as (select o_custkey as doc, o_orderkey % 4 as vertex, o_orderkey as pos, case when o_orderkey % 4 = 2 then ' ' else ' ' || o_orderpriority end as name from orders), canon as (select doc, vertex, arg_max(trim(name), n * 1000000000000::bigint - first) as name from (select doc, vertex, trim(name) as name, count(*) as n, min(pos) as first from marked where trim(name) <> '' group by all) group by doc, vertex)"

@@ -13,6 +13,9 @@ from pyspark.sql.types import Row
 #: Rows of one request.
 BATCH = 1000
 
+#: The label, the key and the constraint that a graph has.
+UNIQUE = "CREATE CONSTRAINT entity_global_id IF NOT EXISTS FOR (e:Entity) REQUIRE e.global_id IS UNIQUE"
+CLEAR = "MATCH (n) DETACH DELETE n"
 NODES = """UNWIND $rows AS row
 MERGE (e:Entity {global_id: row.global_id})
 SET e += row.properties"""
@@ -21,8 +24,6 @@ EDGES = """UNWIND $rows AS row
 MATCH (s:Entity {{global_id: row.src}}), (t:Entity {{global_id: row.dst}})
 MERGE (s)-[r:{kind}]->(t)
 SET {properties}"""
-UNIQUE = "CREATE CONSTRAINT entity_global_id IF NOT EXISTS FOR (e:Entity) REQUIRE e.global_id IS UNIQUE"
-CLEAR = "MATCH (n) DETACH DELETE n"
 
 
 class Sink(Protocol):
