@@ -6,7 +6,8 @@ import argparse
 import logging
 import os
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, replace
+from dataclasses import replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,45 +22,67 @@ from . import asking
 ENTITY_TYPES, RELATION_TYPES = ("Person", "Group", "Place"), ("knows", "located in")
 
 
-@dataclass(frozen=True)
-class Graph:
-    chunks: DataFrame
-    extractions: DataFrame
-    mentions: DataFrame
-    entities: DataFrame
-    relations: DataFrame
-    validated: DataFrame
-    nodes: DataFrame
-    edges: DataFrame
-
-
 def names(spark: SparkSession, values: tuple[str, ...]) -> DataFrame:
     return spark.createDataFrame([(v,) for v in values], "name string")
 
 
-def build(docs: DataFrame, settings: Settings = Settings(), extract: Callable[[DataFrame], DataFrame] = extraction.mentions_by_rule, entity_types: DataFrame | None = None, relation_types: DataFrame | None = None, fuzzy: bool = True) -> Graph:
-    """The whole plan over docs (base, text); extract turns chunks into extraction rows.
+class Graph:
+    """The whole plan over docs (base, text), each part made when it is first asked for.
 
-    Extractions and mentions, which several branches read, are stored as the
-    plan is built; all else is as lazy as DataFrames are.  fuzzy: names that
-    differ little are one entity, as in the steps; without it only equal ones.
+    Extractions and mentions, which several branches read, are stored then, so
+    that texts are scanned for them once; all else is as lazy as DataFrames
+    are.  extract turns chunks into extraction rows.  fuzzy: names that differ
+    little are one entity, as in the steps; without it only equal ones.
     """
-    spark = docs.sparkSession
-    chunks = chunking.rule_chunks(chunking.clean(docs, settings.chunk_max_doc_chars), settings.chunk_size, settings.chunk_overlap, settings.chunk_max_chunks)
-    found = extract(extraction.first_rows(chunks, settings.extract_max_chunks, "chunk_id"))
-    if settings.extract_strict:
-        found = extraction.filter_to_schema(found, entity_types if entity_types is not None else names(spark, ENTITY_TYPES), relation_types if relation_types is not None else names(spark, RELATION_TYPES))
-    # Several branches read extractions and mentions; texts are scanned for them once.
-    found = stored(found, "extractions")
-    mentions = extraction.entities(found)
-    mentions = stored(resolution.resolved(resolution.fuzzy(mentions, settings.resolve_sim_high, settings.resolve_max_candidates) if fuzzy else resolution.exact(mentions)), "mentions")
-    entities = resolution.entities(mentions)
-    relations = resolution.relations(extraction.relations(found), mentions)
-    texts = validation.chunk_texts(chunks.withColumn("row_pos", F.col("chunk_id")))
-    checked = validation.validated(validation.statuses(relations, texts, settings.validate_case_insensitive, settings.validate_max_relations, settings.validate_max_provenances))
-    nodes = graph.nodes(entities, settings.graph_max_mention_samples)
-    edges = graph.edges(graph.with_support(checked, settings.graph_min_support_ratio, settings.graph_accept_llm_supported), nodes, settings.graph_overwrite, settings.graph_max_provenance)
-    return Graph(chunks, found, mentions, entities, relations, checked, nodes, edges)
+
+    def __init__(self, docs: DataFrame, settings: Settings, extract: Callable[[DataFrame], DataFrame], entity_types: DataFrame | None, relation_types: DataFrame | None, fuzzy: bool):
+        self.docs, self.settings, self.extract, self.entity_types, self.relation_types, self.fuzzy = docs, settings, extract, entity_types, relation_types, fuzzy
+
+    @cached_property
+    def chunks(self) -> DataFrame:
+        s = self.settings
+        return chunking.rule_chunks(chunking.clean(self.docs, s.chunk_max_doc_chars), s.chunk_size, s.chunk_overlap, s.chunk_max_chunks)
+
+    @cached_property
+    def extractions(self) -> DataFrame:
+        spark = self.docs.sparkSession
+        found = self.extract(extraction.first_rows(self.chunks, self.settings.extract_max_chunks, "chunk_id"))
+        if self.settings.extract_strict:
+            pick = lambda given, values: given if given is not None else names(spark, values)
+            found = extraction.filter_to_schema(found, pick(self.entity_types, ENTITY_TYPES), pick(self.relation_types, RELATION_TYPES))
+        return stored(found, "extractions")
+
+    @cached_property
+    def mentions(self) -> DataFrame:
+        s, all_ = self.settings, extraction.entities(self.extractions)
+        return stored(resolution.resolved(resolution.fuzzy(all_, s.resolve_sim_high, s.resolve_max_candidates) if self.fuzzy else resolution.exact(all_)), "mentions")
+
+    @cached_property
+    def entities(self) -> DataFrame:
+        return resolution.entities(self.mentions)
+
+    @cached_property
+    def relations(self) -> DataFrame:
+        return resolution.relations(extraction.relations(self.extractions), self.mentions)
+
+    @cached_property
+    def validated(self) -> DataFrame:
+        s = self.settings
+        texts = validation.chunk_texts(self.chunks.withColumn("row_pos", F.col("chunk_id")))
+        return validation.validated(validation.statuses(self.relations, texts, s.validate_case_insensitive, s.validate_max_relations, s.validate_max_provenances))
+
+    @cached_property
+    def nodes(self) -> DataFrame:
+        return graph.nodes(self.entities, self.settings.graph_max_mention_samples)
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        s = self.settings
+        return graph.edges(graph.with_support(self.validated, s.graph_min_support_ratio, s.graph_accept_llm_supported), self.nodes, s.graph_overwrite, s.graph_max_provenance)
+
+
+def build(docs: DataFrame, settings: Settings = Settings(), extract: Callable[[DataFrame], DataFrame] = extraction.mentions_by_rule, entity_types: DataFrame | None = None, relation_types: DataFrame | None = None, fuzzy: bool = True) -> Graph:
+    return Graph(docs, settings, extract, entity_types, relation_types, fuzzy)
 
 
 STEPS = ("pdf", "chunk", "schema", "extract", "resolve", "validate", "graph")
