@@ -30,10 +30,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder.  What is written there is deleted when the driver's file systems close, or before."""
+    """A new path in the shared folder, for what goes at the end of an open temporaries()."""
     path = f"{shared_folder(spark)}/docweave/{name}-{uuid.uuid4().hex}"
-    fs, where = _place(spark, path)
-    fs.deleteOnExit(where)
     for paths in _open:
         paths.append(path)
     return path
@@ -50,6 +48,17 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.cancelDeleteOnExit(where)
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """df as a Parquet table at path, read back; it is deleted when the driver's file systems close, if not before."""
+    spark = df.sparkSession
+    df.write.parquet(path)
+    fs, where = _place(spark, path)
+    fs.deleteOnExit(where)  # takes only what is there
+    out = spark.read.schema(df.schema).parquet(path)
+    out._docweave_path = path
+    return out
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a Parquet table in the shared folder and reads it back.
 
@@ -57,12 +66,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     lineage: a lost executor costs the tasks it ran, and later plans start from
     the files.
     """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._docweave_path = path
-    return out
+    return written(df, new_path(df.sparkSession, name))
 
 
 def discard(df: DataFrame) -> None:
