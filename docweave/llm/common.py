@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..sources.shared import discard, held, new_path, stored, temporaries
+from ..sources.shared import discard, held, new_path, stored, temporaries, written
 
-__all__ = ["SPACE", "WORD", "components", "discard", "folded", "held", "let", "materialise", "new_path", "temporaries", "word_count", "words_of"]
+__all__ = ["SPACE", "WORD", "components", "discard", "folded", "held", "let", "materialise", "new_path", "temporaries", "word_count", "words_of", "written"]
 
 materialise = stored
 

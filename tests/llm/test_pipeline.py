@@ -109,6 +109,7 @@ def test_leaves_nothing(spark):
     from docweave.sources.shared import shared_folder
 
     folder = urlparse(shared_folder(spark)).path + "/docweave"
+    os.makedirs(folder, exist_ok=True)
     before = set(os.listdir(folder))
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert {x.split("-")[0] + "-" + x.split("-")[1] for x in set(os.listdir(folder)) - before} == {"pipeline-4"}
