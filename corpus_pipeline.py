@@ -51,9 +51,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, stage) in enumerate(STAGES):
         before, path = docs, common.new_path(spark, f"pipeline-{i}")
         with common.temporaries(spark):
-            out = stage(spark, docs, sf_dir)
-            out.write.parquet(path)
-        docs = spark.read.schema(out.schema).parquet(path)
-        docs._docweave_path = path
+            docs = common.written(stage(spark, docs, sf_dir), path)
         common.discard(before)
     return docs
