@@ -150,21 +150,24 @@ def adjudicated(mentions: DataFrame, same: Callable[[str, str, str | None, str,
 
     def fold(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["row_pos", "ent_pos"])
-        known: dict[str, dict] = {}
+        leaders = _Leaders(frame["norm"].tolist(), min(low, high))
+        number: dict[str, int] = {}
+        seen: list[tuple[str, str | None]] = []  # of each leader's entity: best name, last evidence
         out = []
         for r in frame.itertuples(index=False):
-            to = r.norm if r.norm in known else None
-            if to is None and known:
-                score, _, best = max((difflib.SequenceMatcher(None, r.norm, k).ratio(), -i, k) for i, k in enumerate(known))
-                entity = known[best]
-                if score >= high or score >= low and same(r.type, r.name, r.evidence, entity["name"], entity["evidence"]):
-                    to = best
-            if to is None:
-                to = r.norm
-                known[to] = {"name": r.name, "evidence": r.evidence}
+            k, count = number.get(r.norm), None
+            if k is None:
+                count = leaders.count(r.norm)
+                score, place = max(((score, -i) for i, score in leaders.close(r.norm, count)), default=(-1.0, 0))
+                if score >= high or score >= low and same(r.type, r.name, r.evidence, *seen[-place]):
+                    k = -place
+            if k is None:
+                k = number[r.norm] = len(seen)
+                leaders.add(r.norm, count)
+                seen.append((r.name, r.evidence))
             else:
-                known[to] = {"name": max(known[to]["name"], r.name, key=len), "evidence": r.evidence}
-            out.append(to)
+                seen[k] = (max(seen[k][0], r.name, key=len), r.evidence)
+            out.append(leaders.norms[k])
         return frame.assign(leader=out)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema) + ", leader string"
