@@ -8,8 +8,8 @@ functions; where it equals the bins used, the packing is certified optimal.
 Partitions with a gap put the pieces of their bins that aren't full into
 exchange, where pieces of several partitions meet and best-fit decreasing runs
 again, for a fixed number of rounds; a group's new packing is kept where it
-has fewer bins.  Partitions at their bound put their emptiest bin only.  certificate() holds what comes out against the bound for all
-pieces together.
+has fewer bins.  Partitions at their bound put their emptiest bin only.
+certificate() holds what comes out against the bound for all pieces together.
 """
 
 from __future__ import annotations
