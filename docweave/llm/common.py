@@ -59,23 +59,41 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step over edges (a, b) with a < b; each node's neighbours move to the smallest one.
+#: Neighbours beyond which a node's rows may be dealt apart from the others'.
+HOT = 10_000
+
+
+def _with_least(rows: DataFrame, least: DataFrame, most_rows: int) -> DataFrame:
+    """rows (u, v) with m of their node from least (u, m, n); n is the number of a node's rows at least, and they sum up to most_rows at most.
+
+    A node with over a thousandth of all rows (and over HOT) would be one
+    task's work; there are a thousand such nodes at most, whatever the
+    table, so they are broadcast to their rows instead.
+    """
+    if most_rows <= HOT:
+        return rows.join(least.select("u", "m"), "u")
+    limit = max(HOT, most_rows // 1000)
+    hot = F.broadcast(least.where(F.col("n") > limit))
+    rest = rows.join(hot.select("u"), "u", "left_anti").join(least.where(F.col("n") <= limit).select("u", "m"), "u")
+    return rows.join(hot.select("u", "m"), "u").unionByName(rest)
+
+
+def _star(edges: DataFrame, large: bool, n_edges: int) -> DataFrame:
+    """One star step over edges (a, b) with a < b, at most n_edges; each node's neighbours move to the smallest one.
 
     large: neighbours above a node are linked to its smallest neighbour (or
     itself); otherwise those below it, and the node, are.  The smallest
     neighbour is a partial aggregate joined back, so that no neighbourhood is
-    gathered into one row.  Both sides of that join are dealt by node anyway;
-    a broadcast would only add to what the driver does in every step.
+    gathered into one row.
     """
     if large:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        out = both.where("v > u").join(least.hint("merge"), "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        out = _with_least(both.where("v > u"), least, 2 * n_edges).select(F.col("m").alias("a"), F.col("v").alias("b"))
     else:
         down = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        out = down.join(least.hint("merge"), "u").select(F.col("m").alias("a"), F.col("v").alias("b")).unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b")))
+        least = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        out = _with_least(down, least, n_edges).select(F.col("m").alias("a"), F.col("v").alias("b")).unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b")))
     return out.where("a < b").distinct()
 
 
@@ -87,15 +105,16 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     while it is written, reach the driver.
     """
 
-    def written(x: DataFrame) -> tuple[DataFrame, tuple]:
+    def kept(x: DataFrame) -> tuple[DataFrame, tuple]:
         seen = Observation()
         checksum = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("checksum")
         out = materialise(x.observe(seen, F.count("*").alias("n"), checksum), name)
         return out, (seen.get["n"], seen.get["checksum"])
 
-    now, mark = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
+    now, mark = kept(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
     while mark[0]:
-        then, found = written(_star(_star(now, True), False))
+        # A large star has as many edges as it is given at most.
+        then, found = kept(_star(_star(now, True, mark[0]), False, mark[0]))
         discard(now)
         now = then
         if found == mark:

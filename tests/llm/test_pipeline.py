@@ -101,6 +101,30 @@ def test_mixing_stage(spark, documents, sf_dir):
     assert +got == +want
 
 
+@pytest.mark.parametrize("hot", [3, 10_000])
+def test_components(spark, monkeypatch, hot):
+    """Chains, stars with hubs high and low, and random edges, with and without nodes dealt apart."""
+    from docweave.llm import common
+
+    monkeypatch.setattr(common, "HOT", hot)
+    r = random.Random(3)
+    edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + k) for k in range(1, 90)] + [(2000 - k, 2000) for k in range(1, 90)] + [(r.randrange(3000, 3200), r.randrange(3000, 3200)) for _ in range(120)] + [(5, 5)]
+    r.shuffle(edges)
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {x.node: x.root for x in common.components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()}
+    assert got == {i: find(i) for i in root if find(i) != i}
+    assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_leaves_nothing(spark):
     """When the pipeline is done, only its last table is left in the shared folder."""
     import os
