@@ -185,27 +185,42 @@ def resolved(mentions: DataFrame) -> DataFrame:
     return mentions.withColumn("global_id", F.concat("type", F.lit(":"), T.slug(first)))
 
 
+def _attribute_values(mentions: DataFrame) -> DataFrame:
+    """(base, type, leader, key, value): each key's first value that isn't empty, or its last one, as JSON."""
+    x = mentions.select("base", "type", "leader", "ord", F.explode(F.expr("cast(try_parse_json(attributes) as map<string,variant>)")).alias("key", "variant")).withColumn("value", F.to_json("variant"))
+    empty = F.col("value").isNull() | F.col("value").isin("null", '""', "[]")
+    return x.groupBy("base", "type", "leader", "key").agg(F.coalesce(F.min_by(F.when(~empty, F.col("value")), F.when(~empty, F.col("ord"))), F.max_by(F.coalesce("value", F.lit("null")), "ord")).alias("value"))
+
+
+def _as_object(pairs: Column) -> Column:
+    """array<struct<key, value>> as a JSON object, in the order of keys; values are JSON."""
+    quoted = lambda key: F.to_json(F.array(key))
+    return F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(pairs), lambda p: F.concat(quoted(p["key"]).substr(F.lit(2), F.length(quoted(p["key"])) - 2), F.lit(": "), p["value"])), ", "), F.lit("}"))
+
+
 def merged_attributes(mentions: DataFrame) -> DataFrame:
     """(base, type, leader, attributes): each key's first value that isn't empty, or its last one, as a JSON object.
 
     Empty are null, "" and []; 0, false and {} aren't.  Values stay as they are
     written, so numbers keep their form.
     """
-    x = mentions.select("base", "type", "leader", "ord", F.explode(F.expr("cast(try_parse_json(attributes) as map<string,variant>)")).alias("key", "variant")).withColumn("value", F.to_json("variant"))
-    empty = F.col("value").isNull() | F.col("value").isin("null", '""', "[]")
-    one = x.groupBy("base", "type", "leader", "key").agg(F.coalesce(F.min_by(F.when(~empty, F.col("value")), F.when(~empty, F.col("ord"))), F.max_by(F.coalesce("value", F.lit("null")), "ord")).alias("value"))
-    pairs = F.array_sort(F.collect_list(F.struct("key", "value")))
-    text = F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda p: F.concat(F.to_json(F.array(p["key"])).substr(F.lit(2), F.length(F.to_json(F.array(p["key"]))) - 2), F.lit(": "), p["value"])), ", "), F.lit("}"))
-    return one.groupBy("base", "type", "leader").agg(text.alias("attributes"))
+    return _attribute_values(mentions).groupBy("base", "type", "leader").agg(_as_object(F.collect_list(F.struct("key", "value"))).alias("attributes"))
 
 
 def entities(mentions: DataFrame) -> DataFrame:
-    """One row per entity of resolved(): (base, global_id, type, name, attributes, mentions, first_ord)."""
+    """One row per entity of resolved(): (base, global_id, type, name, attributes, mentions, first_ord).
+
+    Mentions and attributes meet in one aggregation.  A join would be planned
+    by sizes that are estimated across an explode, far too small, and send the
+    attributes of all entities through the driver as a broadcast.
+    """
     key = ["base", "type", "leader"]
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("ord", F.struct("chunk_id", F.col("id").alias("local_entity_id"), F.col("evidence").alias("evidence_entity")).alias("m")))), lambda x: x["m"])
-    x = mentions.groupBy(*key, "global_id").agg(best_name(F.col("name"), F.col("ord")).alias("name"), listed.alias("mentions"), F.min("ord").alias("first_ord"))
-    x = x.join(merged_attributes(mentions), key, "left")
-    return x.select("base", "global_id", "type", "name", F.coalesce("attributes", F.lit("{}")).alias("attributes"), "mentions", "first_ord")
+    entry = F.struct("ord", F.struct("chunk_id", F.col("id").alias("local_entity_id"), F.col("evidence").alias("evidence_entity")).alias("m"))
+    x = mentions.select(*key, "global_id", "name", "ord", entry.alias("entry"))
+    x = x.unionByName(_attribute_values(mentions).select(*key, F.struct("key", "value").alias("pair")), allowMissingColumns=True)
+    listed = F.transform(F.array_sort(F.collect_list("entry")), lambda e: e["m"])
+    x = x.groupBy(*key).agg(F.max("global_id").alias("global_id"), best_name(F.col("name"), F.col("ord")).alias("name"), _as_object(F.collect_list("pair")).alias("attributes"), listed.alias("mentions"), F.min("ord").alias("first_ord"))
+    return x.select("base", "global_id", "type", "name", "attributes", "mentions", "first_ord")
 
 
 def relations(rows: DataFrame, mentions: DataFrame) -> DataFrame:

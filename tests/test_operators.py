@@ -116,6 +116,14 @@ def test_resolution_is_idempotent(spark):
         resolution.exact(spark.createDataFrame([("b", 0, 0, 0, "e", "T", " ", "{}", None)], MENTION)).collect()
 
 
+def test_entities_send_nothing_through_the_driver(spark):
+    """Sizes are estimated too small across an explode, so a join of entities with their attributes would be a broadcast of all of them."""
+    rows = [("b", i, 0, i, f"e{i}", "T", n, a, None) for i, (n, a) in enumerate([("A b", '{"k": "", "m": 1}'), ("a  B", '{"k": 2}'), ("C", "none")])]
+    e = resolution.entities(resolution.resolved(resolution.exact(spark.createDataFrame(rows, MENTION))))
+    assert {(r.global_id, r.attributes, len(r.mentions), r.first_ord.row_pos) for r in e.collect()} == {("T:a_b", '{"k": 2, "m": 1}', 2, 0), ("T:c", "{}", 1, 2)}
+    assert "Join" not in e._jdf.queryExecution().executedPlan().toString()
+
+
 def test_attributes(spark):
     key = "base string, type string, leader string, n int, attributes string"
     rows = [("a", "T", "x", 0, '{"k": "", "f": 1.0}'), ("a", "T", "x", 1, '{"k": 0, "q\\"": {}}'), ("a", "T", "x", 2, '{"k": 5}'), ("b", "T", "x", 0, '{"k": ""}'), ("b", "T", "x", 1, '{"k": null}')]
