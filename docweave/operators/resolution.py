@@ -16,7 +16,9 @@ first name of an entity, its leader, decides what joins it:
 from __future__ import annotations
 
 import difflib
-from collections.abc import Callable, Iterator
+import math
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -48,14 +50,56 @@ def exact(mentions: DataFrame, strict: bool = True) -> DataFrame:
 TASK_NAMES = 20_000
 
 
+#: Leaders of one length up to which all of them are scored by their letters; an index costs more than it saves there.
+FEW = 64
+
+
+class _Index:
+    """Leaders of one length by keys, of which names that are similar enough share some, whichever characters differ."""
+
+    def __init__(self, keys: Callable[[str], Iterable]):
+        self.keys, self.at, self.places = keys, 0, {}
+
+    def fill(self, numbers: array, norms: list[str]) -> None:
+        for i in range(self.at, len(numbers)):
+            for key in self.keys(norms[numbers[i]]):
+                self.places.setdefault(key, array("i")).append(i)
+        self.at = len(numbers)
+
+    def found(self, keys: Iterable) -> np.ndarray:
+        """Places of leaders in the order of their numbers, as often as they have these keys."""
+        met = [np.frombuffer(p, np.intc) for p in map(self.places.get, keys) if p]
+        return np.concatenate(met) if met else np.empty(0, np.intc)
+
+
+def _grams(name: str, q: int) -> list[str]:
+    return [name[i : i + q] for i in range(len(name) - q + 1)]
+
+
+def _without_one(name: str) -> set[int]:
+    """What is left without one character, as hashes; equal hashes of others are only looked at in vain."""
+    return {hash(name[:i] + name[i + 1 :]) for i in range(len(name))}
+
+
 class _Leaders:
-    """Leaders of a group so far, with their letters' counts, which bound the similarity to any name from above."""
+    """Leaders of a group so far, and which of them a name can be similar to.
+
+    Matching characters are a common subsequence, so with names of a and b
+    characters that match in m at least, a leader has a - m others at most and
+    the name b - m.  If either is 1 at most, both share what is left without
+    those.  Else each of the leader's others breaks q of its q-grams at most,
+    each of the name's q - 1, and the name has all the rest.  Where that leaves
+    none, and for a few leaders, all are looked at.  Letters' counts then bound
+    the similarity from above.
+    """
 
     def __init__(self, names: list[str], least: float):
         self.least, self.letters = least, {c: i for i, c in enumerate(sorted(set("".join(names))))}
         self.norms: list[str] = []
-        self.matchers: list[difflib.SequenceMatcher] = []
+        self.matchers: list[difflib.SequenceMatcher | None] = []
         self.counts, self.sizes = np.zeros((16, len(self.letters)), np.int32), np.zeros(16, np.int64)
+        self.of_length: dict[int, array] = {}
+        self.indices: dict[tuple[int, str, int], _Index] = {}
 
     def count(self, name: str) -> np.ndarray:
         return np.bincount([self.letters[c] for c in name], minlength=len(self.letters)).astype(np.int32) if name else np.zeros(len(self.letters), np.int32)
@@ -66,19 +110,60 @@ class _Leaders:
             self.counts, self.sizes = np.concatenate([self.counts, np.zeros_like(self.counts)]), np.concatenate([self.sizes, np.zeros_like(self.sizes)])
         self.counts[n], self.sizes[n] = count, len(name)
         self.norms.append(name)
-        # The second sequence is the one that a matcher indexes; the first may change at no cost.
-        self.matchers.append(difflib.SequenceMatcher(None, "", name))
+        self.matchers.append(None)
+        self.of_length.setdefault(len(name), array("i")).append(n)
+
+    def index(self, length: int, kind: str, k: int, keys: Callable[[str], Iterable]) -> _Index:
+        index = self.indices.setdefault((length, kind, k), _Index(keys))
+        index.fill(self.of_length[length], self.norms)
+        return index
+
+    def near(self, name: str, length: int) -> np.ndarray | None:
+        """Places of the leaders of a length, by their numbers, that name can be similar to; None for all."""
+        least = max(0, math.ceil(self.least * (length + len(name)) / 2 - 1e-9))
+        mine, theirs = len(name) - least, length - least
+        if min(mine, theirs) < 0:
+            return np.empty(0, np.intc)
+        if len(self.of_length[length]) <= FEW:
+            return None
+        if max(mine, theirs) <= 1:
+            keys = lambda k: _without_one if k else lambda x: [hash(x)]
+            return np.unique(self.index(length, "without", theirs, keys(theirs)).found(keys(mine)(name)))
+        # Of the lengths of q-grams the longest of which an eighth must be shared, or any.
+        shared = lambda q: length + 1 + mine - q * (1 + theirs + mine)
+        most = (length + mine) // (1 + theirs + mine)
+        q = next((q for q in range(most, 0, -1) if 8 * shared(q) >= length), most)
+        if q < 1:
+            return None
+        met = self.index(length, "grams", q, lambda x: _grams(x, q)).found(set(_grams(name, q)))
+        if not len(met):
+            return met
+        if len(met) < len(self.of_length[length]) // 8:
+            places, times = np.unique(met, return_counts=True)
+            return places[times >= shared(q)]
+        return np.flatnonzero(np.bincount(met) >= shared(q))
 
     def close(self, name: str, count: np.ndarray) -> Iterator[tuple[int, float]]:
         """(number, similarity) of the leaders that are similar enough, where the most letters are shared first."""
-        n = len(self.norms)
+        if len(self.norms) <= FEW:
+            some = np.arange(len(self.norms))
+        else:
+            met = [(np.frombuffer(numbers, np.intc), self.near(name, length)) for length, numbers in self.of_length.items()]
+            some = np.concatenate([numbers if places is None else numbers[places] for numbers, places in met])
+            del met  # arrays can't grow while they are looked at
+        if not len(some):
+            return
         # Letters are few: minima over them are taken a column at a time only where the name has them.
         has = np.flatnonzero(count)
-        shared = np.minimum(self.counts[:n][:, has], count[has]).sum(axis=1)
-        bound = 2.0 * shared / np.maximum(self.sizes[:n] + len(name), 1)
-        some = np.flatnonzero(bound >= self.least - 1e-9)
-        for i in some[np.argsort(-bound[some], kind="stable")].tolist():
+        shared = np.minimum(self.counts[some[:, None], has], count[has]).sum(axis=1)
+        bound = 2.0 * shared / np.maximum(self.sizes[some] + len(name), 1)
+        fine = bound >= self.least - 1e-9
+        some, bound = some[fine], bound[fine]
+        for i in some[np.lexsort((some, -bound))].tolist():
             matcher = self.matchers[i]
+            if matcher is None:
+                # The second sequence is the one that a matcher indexes; the first may change at no cost.
+                matcher = self.matchers[i] = difflib.SequenceMatcher(None, "", self.norms[i])
             matcher.set_seq1(name)
             score = matcher.ratio()
             if score >= self.least:
@@ -119,7 +204,8 @@ def scored(names: DataFrame, least: float) -> DataFrame:
     # A document has few names of a type, so many of them share a task rather than each being a call of its own.
     flat = stored(names.select("base", "type", "norm", F.col("ord.row_pos").cast("int").alias("row_pos"), F.col("ord.ent_pos").cast("int").alias("ent_pos")), "names")
     tasks = max(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-flat.count() // TASK_NAMES))
-    out = flat.withColumn("task", F.pmod(F.xxhash64("base", "type"), F.lit(tasks))).groupBy("task").applyInPandas(elect_all, schema)
+    # By number, as sizes in bytes, by which Spark puts small partitions together, say nothing of the work.
+    out = flat.withColumn("task", F.pmod(F.xxhash64("base", "type"), F.lit(tasks))).repartition(tasks, "task").groupBy("task").applyInPandas(elect_all, schema)
     return out.select("base", "type", "norm", "leader", "score", F.struct("row_pos", "ent_pos").alias("leader_ord"))
 
 
@@ -171,7 +257,9 @@ def adjudicated(mentions: DataFrame, same: Callable[[str, str, str | None, str,
         return frame.assign(leader=out)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema) + ", leader string"
-    return flat.groupBy("base", "type").applyInPandas(fold, schema).withColumn("ord", F.struct("row_pos", "ent_pos"))
+    # By number, as in scored().
+    tasks = int(flat.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return flat.repartition(tasks, "base", "type").groupBy("base", "type").applyInPandas(fold, schema).withColumn("ord", F.struct("row_pos", "ent_pos"))
 
 
 def best_name(name: Column, order: Column) -> Column:

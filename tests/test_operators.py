@@ -98,6 +98,28 @@ def test_fuzzy_resolution(spark, least):
     assert {(x.base, x.row_pos, x.ent_pos): x.leader for x in resolution.adjudicated(m, lambda *a: False, least, least).collect()} == want
 
 
+@pytest.mark.parametrize("least", [0.55, 0.8, 0.92])
+def test_leaders_are_found_by_keys(least):
+    """Keys lose none of the leaders that are similar enough, and few others are looked at."""
+    r = random.Random(7)
+    names = ["".join(r.choice("0123456789abcdef") for _ in range(r.choice((12, 18, 33)))) for _ in range(150)]
+    for name in names[:75]:
+        x = list(name)
+        for _ in range(r.choice((1, 1, 2, 4, 6))):
+            i = r.randrange(len(x))
+            x[i : i + r.choice((0, 1))] = r.choice(("", "0", "f", "a1"))
+        names.append("".join(x))
+    names = list(dict.fromkeys([*names, *(f"customer#{k:06}" for k in range(0, 800, 11)), "", "a"]))
+    leaders = resolution._Leaders(names, least)
+    for i, name in enumerate(names):
+        want = {k: s for k, lead in enumerate(leaders.norms) if (s := resolution.difflib.SequenceMatcher(None, name, lead).ratio()) >= least} if i % 4 == 0 else None
+        assert want is None or dict(leaders.close(name, leaders.count(name))) == want
+        if i % 5:
+            leaders.add(name, leaders.count(name))
+    looked_at = sum(1 if x is None else 0 for x in leaders.matchers)
+    assert least < 0.8 or looked_at > 100  # leaders that no name came near
+
+
 def test_adjudication(spark):
     rows = [("b", 0, 0, 0, "e", "T", "Example Company", "{}", "one"), ("b", 1, 0, 1, "e", "T", "Example Companies", "{}", "two")]
     m = spark.createDataFrame(rows, MENTION)
