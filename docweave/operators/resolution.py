@@ -220,7 +220,8 @@ def fuzzy(mentions: DataFrame, least: float = 0.92, max_candidates: int = 25, st
     x = named(mentions, strict)
     pairs = scored(x.groupBy("base", "type", "norm").agg(F.min("ord").alias("ord")), least)
     before = F.struct(F.col("leader_ord.row_pos"), F.col("leader_ord.ent_pos")) < F.struct(F.col("row_pos").cast("int"), F.col("ent_pos").cast("int"))
-    met = x.join(pairs, ["base", "type", "norm"]).where((F.col("norm") == F.col("leader")) | before)
+    # Sizes are estimated across explodes and from packed files: left to them, mentions would be a broadcast that grows with the input.
+    met = x.join(pairs.hint("merge"), ["base", "type", "norm"]).where((F.col("norm") == F.col("leader")) | before)
     best = met.groupBy("base", "type", "row_pos", "ent_pos").agg(F.min_by(F.struct(*x.columns, "leader"), F.struct(-F.col("score"), F.col("leader_ord"))).alias("best"))
     return best.select("best.*")
 

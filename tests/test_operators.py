@@ -120,6 +120,14 @@ def test_leaders_are_found_by_keys(least):
     assert least < 0.8 or looked_at > 100  # leaders that no name came near
 
 
+def test_mentions_are_no_broadcast(spark):
+    """Mentions are joined with their leaders by sorting, however small Spark takes either side for."""
+    m = spark.createDataFrame([("b", i, 0, i, "e", "T", n, "{}", None) for i, n in enumerate(["Northern Line", "Northern Lines", "C"])], MENTION)
+    x = resolution.fuzzy(m, 0.92)
+    assert {r.name: r.leader for r in x.collect()} == {"Northern Line": "northern line", "Northern Lines": "northern line", "C": "c"}
+    assert "Broadcast" not in x._jdf.queryExecution().executedPlan().toString()
+
+
 def test_adjudication(spark):
     rows = [("b", 0, 0, 0, "e", "T", "Example Company", "{}", "one"), ("b", 1, 0, 1, "e", "T", "Example Companies", "{}", "two")]
     m = spark.createDataFrame(rows, MENTION)
