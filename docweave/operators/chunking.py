@@ -64,7 +64,9 @@ def rule_chunks(docs: DataFrame, size: int = 4000, overlap: int = 300, max_chunk
     """
     check_sizes(size, overlap)
     docs = docs.select("base", "text")
-    plain = docs.where(~F.col("text").contains(MARK)).select("base", "text", F.posexplode(even_spans(F.length("text"), size, overlap)).alias("chunk_id", "s"))
+    # A length is counted from a text's first character, so once a text, not once a chunk.
+    plain = docs.where(~F.col("text").contains(MARK)).withColumn("n", held(F.length("text")))
+    plain = plain.select("base", "text", F.posexplode(even_spans(F.col("n"), size, overlap)).alias("chunk_id", "s"))
     plain = plain.select("base", "chunk_id", F.col("s.start").alias("char_start"), F.col("s.end").alias("char_end"), T.strip(T.part(F.col("text"), F.col("s.start"), F.col("s.end"))).alias("text"))
     whole = docs.where(F.col("text").contains(MARK)).withColumn("lo", F.lit(0)).withColumn("hi", F.length("text"))
     cut = cut_ranges(whole, size, overlap).select("base", F.col("index").alias("chunk_id"), "char_start", "char_end", "text")

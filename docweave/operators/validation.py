@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -41,9 +41,14 @@ def statuses(relations: DataFrame, chunks: DataFrame, ignore_case: bool = True,
     return x.withColumn("support_status", status).drop("_formed")
 
 
+def escalates() -> Column:
+    """Whether a completion backend is asked about an entry of statuses()."""
+    return F.col("chunk_text").isNotNull() & F.col("support_status").isin("UNSUPPORTED", "UNKNOWN")
+
+
 def to_escalate(rows: DataFrame) -> DataFrame:
     """Entries of statuses() that a completion backend is asked about."""
-    return rows.where(F.col("chunk_text").isNotNull() & F.col("support_status").isin("UNSUPPORTED", "UNKNOWN"))
+    return rows.where(escalates())
 
 
 def validated(rows: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from .functions import text as T
 from .operators import chunking, completion, evaluation, extraction, graph, resolution, validation
 from .plans import asking, graph_plan
 from .sources import documents
+from .sources.shared import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -575,10 +576,11 @@ def replayed_segments(spark, sf_dir):
 @query(chain(6, "select base, source, type, target, prov_pos::int as prov_pos, support_status, case when support_status = 'UNSUPPORTED' then case length(source) % 3 when 0 then 'SUPPORTED' when 1 then 'UNSUPPORTED' else 'UNSURE' end end as llm_support_status from statuses"))
 def replayed_verdicts(spark, sf_dir):
     """Entries that the rule doesn't support, with verdicts from recorded replies; replies that say nothing are UNSURE."""
-    rows = checked(spark, sf_dir)
+    rows = stored(asking.hashed(checked(spark, sf_dir)), "statuses")
     rest = F.length("source") % 3
     reply = F.when(rest == 0, '{"verdict": "supported"}').when(rest == 1, 'So: {"verdict": " UNSUPPORTED "}').otherwise("can't say")
-    out = asking.verdicts(rows, recorded(asking.verdict_requests(rows), reply), graph_plan.Settings())
+    kept = completion.Recorded(rows.where("prompt_sha256 is not null").select("prompt_sha256", reply.alias("reply")).dropDuplicates(["prompt_sha256"]))
+    out = asking.verdicts(rows, kept, graph_plan.Settings())
     return out.select("base", "source", "type", "target", "prov_pos", "support_status", "llm_support_status")
 
 
