@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -170,6 +171,44 @@ class _Leaders:
                 yield i, score
 
 
+#: Distinct names up to which a group's short names are found by keys that are kept as they are.
+SHORT_NAMES = 20_000
+
+
+class _ShortLeaders:
+    """As _Leaders, for groups of a document's size: names so short that similar ones share what is left without a character of each at most.
+
+    With names of b characters at most, of which two that are similar enough
+    have b (2 - 2 least) / (2 - least) others at most, that is where this is
+    less than 2.
+    """
+
+    @staticmethod
+    def fit(names: list[str], least: float) -> bool:
+        return len(names) <= SHORT_NAMES and max(map(len, names)) * (2 - 2 * least) < 2 * (2 - least) - 1e-6
+
+    def __init__(self, least: float):
+        self.least, self.norms, self.places = least, [], {}
+
+    def count(self, name: str) -> set[str]:
+        return {name, *(name[:i] + name[i + 1 :] for i in range(len(name)))}
+
+    def add(self, name: str, keys: set[str]) -> None:
+        for key in keys:
+            self.places.setdefault(key, []).append(len(self.norms))
+        self.norms.append(name)
+
+    def close(self, name: str, keys: set[str]) -> Iterator[tuple[int, float]]:
+        """(number, similarity) of the leaders that are similar enough, in any order."""
+        for i in {i for key in keys for i in self.places.get(key, ())}:
+            leader = self.norms[i]
+            most = min(len(name), len(leader)) - (len(name) == len(leader) and name != leader)
+            if 2.0 * most >= (self.least - 1e-9) * (len(name) + len(leader)):
+                score = difflib.SequenceMatcher(None, name, leader).ratio()
+                if score >= self.least:
+                    yield i, score
+
+
 def scored(names: DataFrame, least: float) -> DataFrame:
     """(base, type, norm, leader, score, leader_ord) of distinct names (base, type, norm, ord).
 
@@ -180,32 +219,41 @@ def scored(names: DataFrame, least: float) -> DataFrame:
     """
     schema = ", ".join(f"{c} {names.schema[f].dataType.simpleString()}" for c, f in (("base", "base"), ("type", "type"), ("norm", "norm"), ("leader", "norm"))) + ", score double, row_pos int, ent_pos int"
 
-    def elect(frame: pd.DataFrame) -> list[tuple]:
-        norms, ords = frame["norm"].tolist(), list(zip(frame["row_pos"].tolist(), frame["ent_pos"].tolist()))
-        leaders = _Leaders(norms, least)
+    def elect(norms: list[str]) -> Iterator[tuple[int, int, float]]:
+        leaders = _ShortLeaders(least) if _ShortLeaders.fit(norms, least) else _Leaders(norms, least)
         places: list[int] = []
-        others: list[tuple[str, np.ndarray]] = []
+        others = []
         for i, name in enumerate(norms):
             count = leaders.count(name)
             if next(leaders.close(name, count), None) is None:
                 leaders.add(name, count)
                 places.append(i)
             else:
-                others.append((name, count))
-        rows = [(norms[i], norms[i], 1.0, *ords[i]) for i in places]
-        rows += [(name, leaders.norms[k], score, *ords[places[k]]) for name, count in others for k, score in leaders.close(name, count)]
-        return [(frame["base"].iat[0], frame["type"].iat[0], *r) for r in rows]
-
-    def elect_all(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["row_pos", "ent_pos"])
-        rows = [row for _, group in frame.groupby(["base", "type"], sort=False, dropna=False) for row in elect(group)]
-        return pd.DataFrame(rows, columns=["base", "type", "norm", "leader", "score", "row_pos", "ent_pos"])
+                others.append((i, name, count))
+        yield from ((i, i, 1.0) for i in places)
+        yield from ((i, places[k], score) for i, name, count in others for k, score in leaders.close(name, count))
+
+    def elect_all(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("row_pos", "ascending"), ("ent_pos", "ascending")]).combine_chunks()
+        norms = table["norm"].to_pylist()
+        groups: dict[tuple, list[int]] = {}
+        for i, key in enumerate(zip(table["base"].to_pylist(), table["type"].to_pylist())):
+            groups.setdefault(key, []).append(i)
+        own, led, scores = array("q"), array("q"), array("d")
+        for at in groups.values():
+            for i, k, score in elect([norms[i] for i in at]):
+                own.append(at[i])
+                led.append(at[k])
+                scores.append(score)
+        own, led = pa.array(np.frombuffer(own, np.int64)), pa.array(np.frombuffer(led, np.int64))
+        mine, theirs = table.select(["base", "type", "norm"]).take(own), table.select(["norm", "row_pos", "ent_pos"]).take(led)
+        return pa.Table.from_arrays([*mine.columns, theirs["norm"], pa.array(np.frombuffer(scores)), theirs["row_pos"], theirs["ent_pos"]], names=["base", "type", "norm", "leader", "score", "row_pos", "ent_pos"])
 
     # A document has few names of a type, so many of them share a task rather than each being a call of its own.
     flat = stored(names.select("base", "type", "norm", F.col("ord.row_pos").cast("int").alias("row_pos"), F.col("ord.ent_pos").cast("int").alias("ent_pos")), "names")
     tasks = max(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-flat.count() // TASK_NAMES))
     # By number, as sizes in bytes, by which Spark puts small partitions together, say nothing of the work.
-    out = flat.withColumn("task", F.pmod(F.xxhash64("base", "type"), F.lit(tasks))).repartition(tasks, "task").groupBy("task").applyInPandas(elect_all, schema)
+    out = flat.withColumn("task", F.pmod(F.xxhash64("base", "type"), F.lit(tasks))).repartition(tasks, "task").groupBy("task").applyInArrow(elect_all, schema)
     return out.select("base", "type", "norm", "leader", "score", F.struct("row_pos", "ent_pos").alias("leader_ord"))
 
 
@@ -219,11 +267,13 @@ def fuzzy(mentions: DataFrame, least: float = 0.92, max_candidates: int = 25, st
         return exact(mentions, strict)
     x = named(mentions, strict)
     pairs = scored(x.groupBy("base", "type", "norm").agg(F.min("ord").alias("ord")), least)
-    before = F.struct(F.col("leader_ord.row_pos"), F.col("leader_ord.ent_pos")) < F.struct(F.col("row_pos").cast("int"), F.col("ent_pos").cast("int"))
+    found = F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("leader_ord").alias("o"), F.col("leader").alias("l"))).alias("found")
+    pairs = pairs.groupBy("base", "type", "norm").agg(found)
     # Sizes are estimated across explodes and from packed files: left to them, mentions would be a broadcast that grows with the input.
-    met = x.join(pairs.hint("merge"), ["base", "type", "norm"]).where((F.col("norm") == F.col("leader")) | before)
-    best = met.groupBy("base", "type", "row_pos", "ent_pos").agg(F.min_by(F.struct(*x.columns, "leader"), F.struct(-F.col("score"), F.col("leader_ord"))).alias("best"))
-    return best.select("best.*")
+    met = x.join(pairs.hint("merge"), ["base", "type", "norm"])
+    at = F.struct(F.col("row_pos").cast("int"), F.col("ent_pos").cast("int"))
+    best = F.array_min(F.filter("found", lambda c: (c["l"] == F.col("norm")) | (F.struct(c["o"]["row_pos"], c["o"]["ent_pos"]) < at)))
+    return met.withColumn("leader", best["l"]).where("leader is not null").select(*x.columns, "leader")
 
 
 def adjudicated(mentions: DataFrame, same: Callable[[str, str, str | None, str, str | None], bool], high: float = 0.92, low: float = 0.80, strict: bool = True) -> DataFrame:
@@ -312,6 +362,12 @@ def entities(mentions: DataFrame) -> DataFrame:
     return x.select("base", "global_id", "type", "name", "attributes", "mentions", "first_ord")
 
 
+def entity_names(mentions: DataFrame) -> DataFrame:
+    """entities() without what is slow to make: (base, global_id, type, name, first_ord)."""
+    x = mentions.groupBy("base", "type", "leader").agg(F.max("global_id").alias("global_id"), best_name(F.col("name"), F.col("ord")).alias("name"), F.min("ord").alias("first_ord"))
+    return x.select("base", "global_id", "type", "name", "first_ord")
+
+
 def relations(rows: DataFrame, mentions: DataFrame) -> DataFrame:
     """Relations between entities: (base, source, type, target, provenance, first_ord).
 

@@ -1,10 +1,14 @@
 """What steps do once, so that their work grows no faster than the input."""
 
+import difflib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from docweave import queries
 from docweave.functions import text as T
-from docweave.operators import chunking, completion
+from docweave.operators import chunking, completion, resolution
 from docweave.plans import asking
 from docweave.sources.settings import Settings
 
@@ -42,3 +46,36 @@ def test_recorded_verdicts_take_one_pass(spark):
 def test_replayed_verdicts_check_evidence_once(spark, sf_dir):
     plan = queries.QUERIES["replayed_verdicts"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" not in plan and "contains(" not in plan.lower()
+
+
+@given(st.sets(st.text(alphabet="abc", max_size=14), min_size=1, max_size=40), st.sampled_from([0.8, 0.9, 0.92, 1.0]))
+@settings(max_examples=200, deadline=None)
+def test_short_leaders_are_those_of_all_pairs(names, least):
+    """Whatever the keys leave out isn't similar enough."""
+    fitting = [n for n in sorted(names, key=hash) if resolution._ShortLeaders.fit([n], least)]
+    leaders = resolution._ShortLeaders(least)
+    for name in fitting:
+        keys = leaders.count(name)
+        want = {(i, score) for i, x in enumerate(leaders.norms) for score in [difflib.SequenceMatcher(None, name, x).ratio()] if score >= least}
+        assert set(leaders.close(name, keys)) == want
+        leaders.add(name, keys)
+
+
+def test_documents_names_need_no_letter_counts(spark, monkeypatch):
+    """Groups of short names, as documents have them, are resolved without the tables that large groups need."""
+    rows = [(f"d{i}", k, 0, k, f"e{k}", "T", name, "{}", name) for i in range(3) for k, name in enumerate(["Marken", "Markens", "Strand", "Abcdefghijkl", "Abcdefghijk"])]
+    m = spark.createDataFrame(rows, "base string, row_pos int, ent_pos int, chunk_id int, id string, type string, name string, attributes string, evidence string")
+    names = resolution.named(m).groupBy("base", "type", "norm").agg(F.min("ord").alias("ord"))
+    monkeypatch.setattr(resolution, "_Leaders", None)  # travels with the function to the workers' copies
+    got = {(r.base, r.norm, r.leader) for r in resolution.scored(names, 0.92).collect()}
+    pairs = [("marken", "marken"), ("markens", "marken"), ("strand", "strand"), ("abcdefghijkl", "abcdefghijkl"), ("abcdefghijk", "abcdefghijkl")]
+    assert got == {(f"d{i}", *p) for i in range(3) for p in pairs}
+
+
+def test_mentions_take_their_leaders_without_another_exchange(spark):
+    rows = [("d", k, 0, k, f"e{k}", "T", name, "{}", name) for k, name in enumerate(["Northern Line", "Northern Lines", "Northern Line", "C"])]
+    m = spark.createDataFrame(rows, "base string, row_pos int, ent_pos int, chunk_id int, id string, type string, name string, attributes string, evidence string")
+    x = resolution.fuzzy(m, 0.92)
+    assert [r.leader for r in x.orderBy("row_pos").collect()] == ["northern line"] * 3 + ["c"]
+    plan = x._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
