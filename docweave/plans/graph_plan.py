@@ -75,10 +75,15 @@ class Graph:
     def nodes(self) -> DataFrame:
         return graph.nodes(self.entities, self.settings.graph_max_mention_samples)
 
+    @cached_property
+    def node_ids(self) -> DataFrame:
+        """Ids of nodes: those of all mentions, as each has a type and a name."""
+        return self.mentions.select("global_id").distinct()
+
     @cached_property
     def edges(self) -> DataFrame:
         s = self.settings
-        return graph.edges(graph.with_support(self.validated, s.graph_min_support_ratio, s.graph_accept_llm_supported), self.nodes, s.graph_overwrite, s.graph_max_provenance)
+        return graph.edges(graph.with_support(self.validated, s.graph_min_support_ratio, s.graph_accept_llm_supported), self.node_ids, s.graph_overwrite, s.graph_max_provenance)
 
 
 def build(docs: DataFrame, settings: Settings = Settings(), extract: Callable[[DataFrame], DataFrame] = extraction.mentions_by_rule, entity_types: DataFrame | None = None, relation_types: DataFrame | None = None, fuzzy: bool = True) -> Graph:

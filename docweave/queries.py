@@ -394,7 +394,7 @@ def graph_edges_upsert_last(spark, sf_dir):
 @query(chain(7, "select * from first_edges"))
 def graph_edges_upsert_first(spark, sf_dir):
     g = plan(spark, sf_dir)
-    return flat(graph.edges(graph.with_support(g.validated), g.nodes, overwrite=False))
+    return flat(graph.edges(graph.with_support(g.validated), g.node_ids, overwrite=False))
 
 
 #: A graph that lacks the nodes that were mentioned only once.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from docweave import queries
 from docweave.functions import text as T
 from docweave.operators import chunking, completion, resolution
-from docweave.plans import asking
+from docweave.plans import asking, graph_plan
 from docweave.sources.settings import Settings
 
 
@@ -79,3 +79,11 @@ def test_mentions_take_their_leaders_without_another_exchange(spark):
     assert [r.leader for r in x.orderBy("row_pos").collect()] == ["northern line"] * 3 + ["c"]
     plan = x._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1
+
+
+def test_edges_need_no_attributes(spark):
+    """Edges are held against ids alone; entities with their attributes are made for nodes only."""
+    g = graph_plan.build(spark.createDataFrame([("a", "Alpha knows Gamma. Alpha met Delta, then Gammas.")], "base string, text string"))
+    assert {r.global_id for r in g.node_ids.collect()} == {r.global_id for r in g.nodes.collect()} != set()
+    parsed = lambda df: "variant" in df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert parsed(g.nodes) and not parsed(g.edges)
