@@ -43,9 +43,14 @@ def subset(docs: DataFrame, n: int) -> DataFrame:
     return docs.where(F.col("pos") < max(1, n))
 
 
+def name_items(rows: DataFrame, key: str = "name") -> DataFrame:
+    """(doc, item) of rows (doc, name), in the form of comparison, without blank ones."""
+    return rows.select("doc", T.eval_name(F.col(key)).alias("item")).where("item <> ''")
+
+
 def name_set(rows: DataFrame, key: str = "name") -> DataFrame:
-    """Distinct (doc, item) of rows (doc, name), in the form of comparison, without blank ones."""
-    return rows.select("doc", T.eval_name(F.col(key)).alias("item")).where("item <> ''").distinct()
+    """Distinct name_items()."""
+    return name_items(rows, key).distinct()
 
 
 def triple_set(rows: DataFrame) -> DataFrame:

@@ -463,22 +463,32 @@ tally as (select count(*) filter (p.doc is not null and g.doc is not null) as tp
 tally3 as (select count(*) filter (p.doc is not null and g.doc is not null) as tp, count(*) filter (g.doc is null) as fp, count(*) filter (p.doc is null) as fn from (select * from p3 where doc in (select doc from both_)) p full join (select * from g3 where doc in (select doc from both_)) g on p.doc = g.doc and p.s = g.s and p.r = g.r and p.t = g.t)"""
 
 
-def evaluated_sets(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(predicted names, gold names, predicted triples, gold triples)."""
+def predicted(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The plan's names (doc, name) and triples (doc, source_name, type, target_name)."""
     g = plan(spark, sf_dir)
-    entities = g.entities.select(F.col("base").alias("doc"), "global_id", "name", F.col("first_ord").alias("pos"))
-    triples = evaluation.predicted_triples(g.relations.select(F.col("base").alias("doc"), "source", "type", "target"), entities)
-    words = chunking.clean(docs(spark, sf_dir)).select(F.col("base").alias("doc"), F.regexp_extract_all("text", F.lit("[A-Z][a-z]{5,}"), F.lit(0)).alias("m"))
+    entities = resolution.entity_names(g.mentions).select(F.col("base").alias("doc"), "global_id", "name", F.col("first_ord").alias("pos"))
+    return entities.select("doc", "name"), evaluation.predicted_triples(g.relations.select(F.col("base").alias("doc"), "source", "type", "target"), entities)
+
+
+def gold(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Names (doc, name) and triples (doc, source_name, type, target_name) of whole texts, whose words are found once."""
+    words = stored(chunking.clean(docs(spark, sf_dir)).select(F.col("base").alias("doc"), F.regexp_extract_all("text", F.lit("[A-Z][a-z]{5,}"), F.lit(0)).alias("m")), "words")
     pairs = words.where(F.size("m") > 1).select("doc", F.explode(F.transform(F.sequence(F.lit(0), F.size("m") - 2), lambda i: F.struct(F.get("m", i).alias("source_name"), F.get("m", i + 1).alias("target_name")))).alias("x")).select("doc", "x.*")
     rest = (F.length("source_name") + F.length("target_name")) % 3
-    pairs = pairs.where(rest < 2).withColumn("type", F.when(rest == 0, "knows").otherwise("located in"))
-    return evaluation.name_set(entities.select("doc", "name")), evaluation.name_set(words.select("doc", F.explode("m").alias("name"))), evaluation.triple_set(triples), evaluation.triple_set(pairs)
+    return words.select("doc", F.explode("m").alias("name")), pairs.where(rest < 2).withColumn("type", F.when(rest == 0, "knows").otherwise("located in"))
+
+
+def named_docs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Names that were predicted, and those of gold, as (doc, item)."""
+    return evaluation.name_items(predicted(spark, sf_dir)[0]), evaluation.name_items(gold(spark, sf_dir)[0])
 
 
 def tallied(spark, sf_dir, triples: bool = False) -> DataFrame:
-    p, g, p3, g3 = evaluated_sets(spark, sf_dir)
-    counted = evaluation.evaluated(p, g)[0]
-    return evaluation.counts(p3, g3, counted) if triples else evaluation.counts(p, g, counted)
+    (names, found), (gold_names, gold_triples) = predicted(spark, sf_dir), gold(spark, sf_dir)
+    counted = evaluation.evaluated(evaluation.name_items(names), evaluation.name_items(gold_names))[0]
+    if triples:
+        return evaluation.counts(evaluation.triple_set(found), evaluation.triple_set(gold_triples), counted)
+    return evaluation.counts(evaluation.name_set(names), evaluation.name_set(gold_names), counted)
 
 
 def scores_of(tally: str) -> str:
@@ -511,19 +521,17 @@ def prf_triples(spark, sf_dir):
 
 @query(eval_chain(" select doc, s as source_name, r as type, t as target_name from p3"))
 def predicted_triples(spark, sf_dir):
-    return evaluated_sets(spark, sf_dir)[2].select("doc", F.col("item.s").alias("source_name"), F.col("item.r").alias("type"), F.col("item.t").alias("target_name"))
+    return evaluation.triple_set(predicted(spark, sf_dir)[1]).select("doc", F.col("item.s").alias("source_name"), F.col("item.r").alias("type"), F.col("item.t").alias("target_name"))
 
 
 @query(eval_chain(" select distinct doc from p where doc not in (select doc from g)"))
 def missing_gold(spark, sf_dir):
-    p, g, *_ = evaluated_sets(spark, sf_dir)
-    return evaluation.evaluated(p, g)[1]
+    return evaluation.evaluated(*named_docs(spark, sf_dir))[1]
 
 
 @query(eval_chain(" select (select count(*) from both_) as evaluated_docs, (select count(*) from (select doc from p except select doc from g)) as missing_gold_docs"))
 def evaluation_docs(spark, sf_dir):
-    p, g, *_ = evaluated_sets(spark, sf_dir)
-    return evaluation.doc_counts(*evaluation.evaluated(p, g))
+    return evaluation.doc_counts(*evaluation.evaluated(*named_docs(spark, sf_dir)))
 
 
 REPLIES = r"""replies as (select event_id, case event_id % 4 when 0 then 'Reply: {"entities": [{"id": " e1", "type": "T", "name": "' || event_type || '", "attributes": ' || props || ', "evidence": null}, 5], "relations": []} end'

@@ -87,3 +87,15 @@ def test_edges_need_no_attributes(spark):
     assert {r.global_id for r in g.node_ids.collect()} == {r.global_id for r in g.nodes.collect()} != set()
     parsed = lambda df: "variant" in df._jdf.queryExecution().optimizedPlan().toString().lower()
     assert parsed(g.nodes) and not parsed(g.edges)
+
+
+def test_triples_are_scored_without_attributes_or_texts(spark, sf_dir):
+    """Names are all that scoring needs of entities; words of gold are found once and kept."""
+    plan = queries.QUERIES["tp_fp_fn_triples"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "variant" not in plan.lower() and "regexp_extract_all" not in plan
+
+
+def test_entity_names_are_those_of_entities(spark, sf_dir):
+    g = queries.plan(spark, sf_dir)
+    want = g.entities.select("base", "global_id", "type", "name", "first_ord")
+    assert resolution.entity_names(g.mentions).exceptAll(want).isEmpty() and want.exceptAll(resolution.entity_names(g.mentions)).isEmpty()
