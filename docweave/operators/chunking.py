@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -73,22 +73,51 @@ def rule_chunks(docs: DataFrame, size: int = 4000, overlap: int = 300, max_chunk
     return capped(plain.unionByName(cut), max_chunks, size, overlap).withColumn("chunk_method", F.lit("rule"))
 
 
+#: Characters of results that a task keeps before it passes them on.
+KEPT_CHARS = 4_000_000
+
+
+def _by_row(taken: list[str], carried: list[str], cut: Callable[[dict], Iterator[tuple]], kinds: dict[str, pa.DataType], order: list[str] | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For mapInArrow: carried columns with those of kinds, of which cut(row of taken columns) gives the values, the text first.
+
+    Rows are read one by one and results passed on before they are many, so a
+    task's memory is that of a batch, however long its texts are.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made() -> pa.RecordBatch:
+            own = [batch.column(c).take(pa.array(rows, pa.int64())) for c in carried]
+            made = pa.RecordBatch.from_arrays([*own, *(pa.array(v, kind) for v, kind in zip(out, kinds.values()))], names=[*carried, *kinds])
+            return made.select(order) if order else made
+
+        for batch in batches:
+            rows, out, chars = [], [[] for _ in kinds], 0
+            columns = {c: batch.column(c) for c in taken}
+            for i in range(batch.num_rows):
+                for found in cut({c: column[i].as_py() for c, column in columns.items()}):
+                    rows.append(i)
+                    for values, v in zip(out, found):
+                        values.append(v)
+                    chars += len(found[0])
+                    if chars > KEPT_CHARS:
+                        yield made()
+                        rows, out, chars = [], [[] for _ in kinds], 0
+            yield made()
+
+    return run
+
+
 def cut_ranges(ranges: DataFrame, size: int, overlap: int) -> DataFrame:
     """Rows of ranges (..., text, lo, hi) for each span in [lo, hi): text becomes the stripped span; adds index, char_start, char_end."""
     carried = [f for f in ranges.schema if f.name not in ("text", "lo", "hi")]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in carried), "text string, index int, char_start int, char_end int"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, out = [], {"text": [], "index": [], "char_start": [], "char_end": []}
-            for i, (text, lo, hi) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("text", "lo", "hi")))):
-                for found in spans(text or "", lo, hi, size, overlap):
-                    rows.append(i)
-                    for name, v in zip(out, ((text[found[1] : found[2]]).strip(), *found)):
-                        out[name].append(v)
-            own = [batch.column(f.name).take(pa.array(rows, pa.int64())) for f in carried]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(out["text"], pa.string()), *[pa.array(out[c], pa.int32()) for c in ("index", "char_start", "char_end")]], names=[*(f.name for f in carried), *out])
+    def cut(row: dict) -> Iterator[tuple]:
+        text = row["text"] or ""
+        for index, lo, hi in spans(text, row["lo"], row["hi"], size, overlap):
+            yield text[lo:hi].strip(), index, lo, hi
 
+    run = _by_row(["text", "lo", "hi"], [f.name for f in carried], cut, {"text": pa.string(), "index": pa.int32(), "char_start": pa.int32(), "char_end": pa.int32()})
     return ranges.select(*(f.name for f in carried), "text", "lo", "hi").mapInArrow(run, schema)
 
 
@@ -107,26 +136,28 @@ def expected_chunks(length: Column, size: int, overlap: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(length / F.lit(step))).cast("long") if step > 0 else F.lit(1_000_000_000).cast("long")
 
 
+def paragraph_spans(text: str) -> list[tuple[int, int]]:
+    """(start, end) of paragraphs: what blank lines separate, stripped, none empty."""
+    at, out = 0, []
+    for piece in re.split(r"\n\s*\n+", text):
+        piece = piece.strip()
+        if piece:
+            found = text.find(piece, at)
+            start = found if found >= 0 else at
+            at = start + len(piece)
+            out.append((start, at))
+    return out
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
     """(base, idx, char_start, char_end, text): blank-line-separated paragraphs, stripped, none empty, where they stand."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, out = [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                at = n = 0
-                for piece in re.split(r"\n\s*\n+", text or ""):
-                    piece = piece.strip()
-                    if piece:
-                        found = text.find(piece, at)
-                        start = found if found >= 0 else at
-                        at = start + len(piece)
-                        rows.append(i)
-                        out.append((n, start, at, piece))
-                        n += 1
-            cols = list(zip(*out)) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *[pa.array(c, pa.int32()) for c in cols[:3]], pa.array(cols[3], pa.string())], names=["base", "idx", "char_start", "char_end", "text"])
+    def cut(row: dict) -> Iterator[tuple]:
+        text = row["text"] or ""
+        for n, (lo, hi) in enumerate(paragraph_spans(text)):
+            yield text[lo:hi], n, lo, hi
 
+    run = _by_row(["text"], ["base"], cut, {"text": pa.string(), "idx": pa.int32(), "char_start": pa.int32(), "char_end": pa.int32()}, ["base", "idx", "char_start", "char_end", "text"])
     return docs.select("base", "text").mapInArrow(run, f"base {docs.schema['base'].dataType.simpleString()}, idx int, char_start int, char_end int, text string")
 
 
@@ -138,6 +169,18 @@ def segments_valid(segments: DataFrame, counts: DataFrame) -> DataFrame:
     return counts.join(x, "base", "left").select("base", F.coalesce(F.col("joined") & (F.col("last") == F.col("n_paragraphs")), F.lit(False)).alias("valid"))
 
 
+def tiled(segments: list[tuple[int, int]], n: int) -> bool:
+    """segments_valid() of one document's segments (start, end)."""
+    before = 0
+    if any(start is None or end is None for start, end in segments):
+        return False
+    for start, end in sorted(segments):
+        if start != before or end <= start:
+            return False
+        before = end
+    return before == n
+
+
 def hybrid_chunks(docs: DataFrame, paras: DataFrame, segments: DataFrame, size: int = 4000, overlap: int = 300, subchunks: bool = True) -> DataFrame:
     """Chunks of segments (base, segment_id, para_start, para_end, topic), paragraphs [para_start, para_end).
 
@@ -164,14 +207,36 @@ def routed(docs: DataFrame, segments: DataFrame, max_paragraphs: int = 120, size
     segments (base, segment_id, para_start, para_end, topic) has no rows for a
     document without a usable reply; documents with no paragraphs or more than
     max_paragraphs fall back too.
+
+    A document is one row with all its segments, and is cut in one go: its
+    text travels once, and neither texts nor paragraphs are sorted or joined.
     """
-    paras = paragraphs(docs)
-    counts = docs.select("base").join(paras.groupBy("base").agg(F.count("*").cast("int").alias("n_paragraphs")), "base", "left").na.fill(0, ["n_paragraphs"])
-    ok = segments_valid(segments.select("base", F.col("para_start").alias("start"), F.col("para_end").alias("end")), counts)
-    ok = ok.join(counts, "base").where(F.col("valid") & F.col("n_paragraphs").between(1, max_paragraphs)).select("base")
-    by_reply = hybrid_chunks(docs.join(ok, "base", "left_semi"), paras, segments.join(ok, "base", "left_semi"), size, overlap, subchunks)
-    by_reply = capped(by_reply, max_chunks, size, overlap)
-    by_rule = rule_chunks(docs.join(ok, "base", "left_anti"), *(rule or (size, overlap)), max_chunks)
-    common = ["base", "chunk_id", "char_start", "char_end", "text", "chunk_method"]
-    more = [F.lit(None).cast(by_reply.schema[c].dataType).alias(c) for c in ("segment_id", "para_start", "para_end", "topic")]
-    return by_reply.select(*common, "segment_id", "para_start", "para_end", "topic", F.lit("llm").alias("variant")).unionByName(by_rule.select(*common, *more, F.lit("llm_fallback_rule").alias("variant")))
+    sizes = {"llm": (size, overlap), "llm_fallback_rule": rule or (size, overlap)}
+    for pair in sizes.values():
+        check_sizes(*pair)
+
+    def cut(row: dict) -> Iterator[tuple]:
+        text, found = row["text"] or "", row["segments"] or []
+        paras = paragraph_spans(text) if found else []
+        ok = 1 <= len(paras) <= max_paragraphs and tiled([(x["para_start"], x["para_end"]) for x in found], len(paras))
+        variant = "llm" if ok else "llm_fallback_rule"
+        step = sizes[variant][0] - sizes[variant][1]
+        limit = max_chunks if max_chunks > 0 else max(2000, 10 * max(1, -(-len(text) // step)))
+        wholes = [(x, paras[x["para_start"]][0], paras[x["para_end"] - 1][1]) for x in sorted(found, key=lambda x: x["segment_id"])] if ok else [({}, 0, len(text))]
+        chunk_id = 0
+        for x, start, end in wholes:
+            for _, lo, hi in spans(text, start, end, *sizes[variant]) if subchunks or not ok else [(0, start, end)]:
+                if chunk_id >= limit:
+                    raise ValueError(f"too many chunks: {row['base']}")
+                yield text[lo:hi].strip(), chunk_id, lo, hi, "llm_semantic" if ok else "rule", *(x.get(c) for c in own), variant
+                chunk_id += 1
+
+    own = ["segment_id", "para_start", "para_end", "topic"]
+    listed = segments.groupBy("base").agg(F.collect_list(F.struct(*own)).alias("segments"))
+    # Only segments, which are small, are held; texts pass by.
+    x = docs.select("base", "text").join(listed.hint("shuffle_hash"), "base", "left").select("base", "text", "segments")
+    whole, word = pa.int32(), pa.string()
+    kinds = {"text": word, "chunk_id": whole, "char_start": whole, "char_end": whole, "chunk_method": word, "segment_id": whole, "para_start": whole, "para_end": whole, "topic": word, "variant": word}
+    order = ["base", "chunk_id", "char_start", "char_end", "text", "chunk_method", *own, "variant"]
+    schema = f"base {docs.schema['base'].dataType.simpleString()}, chunk_id int, char_start int, char_end int, text string, chunk_method string, segment_id int, para_start int, para_end int, topic string, variant string"
+    return x.mapInArrow(_by_row(["base", "text", "segments"], ["base"], cut, kinds, order), schema)

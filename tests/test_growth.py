@@ -2,6 +2,7 @@
 
 import difflib
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -99,3 +100,27 @@ def test_entity_names_are_those_of_entities(spark, sf_dir):
     g = queries.plan(spark, sf_dir)
     want = g.entities.select("base", "global_id", "type", "name", "first_ord")
     assert resolution.entity_names(g.mentions).exceptAll(want).isEmpty() and want.exceptAll(resolution.entity_names(g.mentions)).isEmpty()
+
+
+def test_routed_documents_are_one_row_each(spark, sf_dir):
+    """Texts are neither sorted nor joined with each of their segments, and results are passed on before they are many."""
+    plan = queries.QUERIES["hybrid_chunks"](spark, sf_dir)._jdf.queryExecution()
+    assert "Window" not in plan.optimizedPlan().toString() and plan.executedPlan().toString().count("Join") == 1
+    assert "ShuffledHashJoin" in plan.executedPlan().toString()
+
+
+def test_results_are_passed_on_before_they_are_many(monkeypatch):
+    monkeypatch.setattr(chunking, "KEPT_CHARS", 1000)
+    batch = pa.RecordBatch.from_pydict({"base": [1, 2, 3], "text": ["x" * 900, None, "y" * 2500]})
+    run = chunking._by_row(["text"], ["base"], lambda r: ((c,) for c in (r["text"] or "")), {"text": pa.string()})
+    made = list(run(iter([batch])))
+    assert [b.num_rows for b in made] == [1001, 1001, 1001, 397]
+    assert "".join(x for b in made for x in b["text"].to_pylist()) == "x" * 900 + "y" * 2500
+    assert [x for b in made for x in b["base"].to_pylist()] == [1] * 900 + [3] * 2500
+
+
+@given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 6)), max_size=4), st.integers(0, 6))
+@settings(max_examples=200, deadline=None)
+def test_tiled(segments, n):
+    want = bool(segments) and sorted(x for a, b in segments for x in range(a, b)) == list(range(n)) and all(a < b for a, b in segments)
+    assert not segments or chunking.tiled(segments, n) == want
