@@ -66,21 +66,21 @@ def compact_schema(schema: dict) -> dict:
     return {"domain": schema.get("domain", "Domain"), "entity_types": schema.get("entity_types", []), "relation_types": schema.get("relation_types", [])}
 
 
-def mentions_by_rule(chunks: DataFrame, pattern: str = "[A-Z][a-z]{4,}") -> DataFrame:
-    """Extractions without a service: capitalised words as entities, neighbours as relations.
+def mentions_by_rule(chunks: DataFrame, pattern: str = "[A-Z][a-z]{4,}", carried: tuple[str, ...] = ()) -> DataFrame:
+    """Extractions without a service: capitalised words as entities, neighbours as relations; carried columns of chunks come last.
 
     Types follow from lengths, so that every part of a schema is met.  Evidence
     is the first word, which the text has, or both, which it may not have.
     """
     found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    x = chunks.select("base", F.col("chunk_id").alias("row_pos"), "chunk_id", held(found).alias("_m"))
+    x = chunks.select("base", F.col("chunk_id").alias("row_pos"), "chunk_id", held(found).alias("_m"), *carried)
     kind = lambda n, *names: F.element_at(F.array(*[F.lit(v) for v in names]), (F.pmod(n, F.lit(len(names))) + 1).cast("int"))
     entity = lambda m, i: F.struct(F.concat(F.lit("e"), i).alias("id"), kind(F.length(m), "Person", "Group", "Place", "Other").alias("type"), m.alias("name"), F.concat(F.lit('{"length": '), F.length(m), F.lit("}")).alias("attributes"), m.alias("evidence"))
     both = lambda i: F.length(F.get("_m", i)) + F.length(F.get("_m", i + 1))
     quote = lambda i: F.when(both(i) % 3 == 0, F.get("_m", i)).otherwise(F.concat_ws(" ", F.get("_m", i), F.get("_m", i + 1)))
     pair = lambda i: F.struct(F.concat(F.lit("e"), i).alias("source_id"), kind(both(i), "knows", "located in", "unlisted").alias("type"), F.concat(F.lit("e"), i + 1).alias("target_id"), quote(i).alias("evidence"))
     pairs = F.when(F.size("_m") > 1, F.transform(F.sequence(F.lit(0), F.size("_m") - 2), pair)).otherwise(F.array().cast("array<struct<source_id:string,type:string,target_id:string,evidence:string>>"))
-    return x.select("base", "row_pos", "chunk_id", F.transform("_m", entity).alias("entities"), pairs.alias("relations"))
+    return x.select("base", "row_pos", "chunk_id", F.transform("_m", entity).alias("entities"), pairs.alias("relations"), *carried)
 
 
 #: Wording of our own; placeholders are filled by format_string.

@@ -383,3 +383,42 @@ def relations(rows: DataFrame, mentions: DataFrame) -> DataFrame:
     entry = F.struct(F.struct("row_pos", "rel_pos").alias("ord"), F.struct("chunk_id", F.col("evidence").alias("evidence_relation")).alias("p"))
     out = x.groupBy("base", "source", "type", "target").agg(F.array_sort(F.collect_list(entry)).alias("all"))
     return out.select("base", "source", "type", "target", F.transform("all", lambda e: e["p"]).alias("provenance"), F.get("all", F.lit(0))["ord"].alias("first_ord"))
+
+
+def _with_relations(extractions: DataFrame) -> DataFrame:
+    """Slim mentions (base, row_pos, ent_pos, id, type, name), of which the first of each extraction has its chunk_id and relations.
+
+    Without local ids mentions are nothing that relations can name, and go
+    before the first is told.
+    """
+    usable = F.filter("entities", lambda e: T.strip(F.coalesce(e["id"], F.lit(""))) != "")
+    # Within the array: beside it, an explode would write them anew for each mention.
+    first = lambda i, c: F.when(i == 0, F.col(c)).alias(c)
+    slim = F.transform(usable, lambda e, i: F.struct(*(e[c].alias(c) for c in ("id", "type", "name")), first(i, "chunk_id"), first(i, "relations")))
+    return extractions.select("base", "row_pos", F.posexplode(slim).alias("ent_pos", "e")).select("base", "row_pos", "ent_pos", "e.*")
+
+
+def located(extractions: DataFrame, mentions: DataFrame | None = None) -> DataFrame:
+    """Relations of extractions, one row each, with their ends: (base, row_pos, rel_pos, chunk_id, source, type, target, and what else relations have).
+
+    What relations() says of blank fields, unknown ends and equal local ids
+    holds.  mentions are resolved(); without them names are resolved exactly on
+    the way.  All rows of a base meet in one exchange: a base is a document,
+    whose size is bounded, and its mentions, rows and relations need no other.
+    """
+    if mentions is None:
+        x = exact(_with_relations(extractions)).select("base", "row_pos", "ent_pos", "id", "type", "name", "leader", "chunk_id", "relations")
+        x = resolved(x.where("base is not null").repartition("base").withColumn("ord", F.struct("row_pos", "ent_pos")))
+    else:
+        x = mentions.select("base", "row_pos", "ent_pos", "id", "global_id").unionByName(extractions.select("base", "row_pos", "chunk_id", "relations"), allowMissingColumns=True)
+        x = x.where("base is not null").repartition("base")
+    end = F.when(F.col("global_id").isNotNull(), F.struct("ent_pos", "id", "global_id"))
+    # The last of equal local ids comes first, where it is found.
+    x = x.groupBy("base", "row_pos").agg(F.sort_array(F.collect_list(end), False).alias("ends"), F.collect_list(F.when(F.col("relations").isNotNull(), F.struct("chunk_id", "relations"))).alias("of"))
+    x = x.select("base", "row_pos", F.col("ends.id").alias("ids"), F.col("ends.global_id").alias("gids"), F.explode("of").alias("of"))
+    own = [f.name for f in extractions.schema["relations"].dataType.elementType.fields if f.name not in ("source_id", "type", "target_id")]
+    text = lambda c: T.strip(F.coalesce(c, F.lit("")))
+    gid = lambda c: F.get("gids", F.array_position("ids", text(c)).cast("int") - 1)
+    ends = lambda r, i: F.struct(i.alias("rel_pos"), gid(r["source_id"]).alias("source"), text(r["type"]).alias("type"), gid(r["target_id"]).alias("target"), *(r[c].alias(c) for c in own))
+    x = x.select("base", "row_pos", F.col("of.chunk_id").alias("chunk_id"), F.explode(F.transform("of.relations", ends)).alias("r")).select("base", "row_pos", "chunk_id", "r.*")
+    return x.where("type <> '' and source is not null and target is not null")

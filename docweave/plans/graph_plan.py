@@ -31,8 +31,10 @@ class Graph:
 
     Extractions and mentions, which several branches read, are stored then, so
     that texts are scanned for them once; all else is as lazy as DataFrames
-    are.  extract turns chunks into extraction rows.  fuzzy: names that differ
-    little are one entity, as in the steps; without it only equal ones.
+    are.  Asking for checked before extractions, and for mentions before
+    validated, spares another scan where both are asked for.  extract turns
+    chunks into extraction rows.  fuzzy: names that differ little are one
+    entity, as in the steps; without it only equal ones.
     """
 
     def __init__(self, docs: DataFrame, settings: Settings, extract: Callable[[DataFrame], DataFrame], entity_types: DataFrame | None, relation_types: DataFrame | None, fuzzy: bool):
@@ -43,14 +45,32 @@ class Graph:
         s = self.settings
         return chunking.rule_chunks(chunking.clean(self.docs, s.chunk_max_doc_chars), s.chunk_size, s.chunk_overlap, s.chunk_max_chunks)
 
-    @cached_property
-    def extractions(self) -> DataFrame:
-        spark = self.docs.sparkSession
-        found = self.extract(extraction.first_rows(self.chunks, self.settings.extract_max_chunks, "chunk_id"))
-        if self.settings.extract_strict:
+    def _found(self, checked: bool = False) -> DataFrame:
+        """Extractions; checked: their relations have support_status."""
+        spark, s = self.docs.sparkSession, self.settings
+        chunks = extraction.first_rows(self.chunks, s.extract_max_chunks, "chunk_id")
+        if not checked:
+            found = self.extract(chunks)
+        elif self.extract is extraction.mentions_by_rule:
+            found = self.extract(chunks, carried=("text",))
+        else:
+            texts = validation.chunk_texts(self.chunks.withColumn("row_pos", F.col("chunk_id"))).withColumnRenamed("chunk_id", "_chunk")
+            found = self.extract(chunks).withColumn("_chunk", F.col("chunk_id").try_cast("int")).join(texts, ["base", "_chunk"], "left").drop("_chunk")
+        if s.extract_strict:
             pick = lambda given, values: given if given is not None else names(spark, values)
             found = extraction.filter_to_schema(found, pick(self.entity_types, ENTITY_TYPES), pick(self.relation_types, RELATION_TYPES))
-        return stored(found, "extractions")
+        return validation.with_status(found, s.validate_case_insensitive) if checked else found
+
+    @cached_property
+    def extractions(self) -> DataFrame:
+        return stored(self._found(), "extractions")
+
+    @cached_property
+    def checked(self) -> DataFrame:
+        """Extractions whose relations have support_status; they do for extractions that weren't asked for before."""
+        found = stored(self._found(checked=True), "extractions")
+        self.__dict__.setdefault("extractions", found)
+        return found
 
     @cached_property
     def mentions(self) -> DataFrame:
@@ -65,11 +85,16 @@ class Graph:
     def relations(self) -> DataFrame:
         return resolution.relations(extraction.relations(self.extractions), self.mentions)
 
+    @cached_property
+    def located(self) -> DataFrame:
+        """Relations with their ends and support_status, before equal ones become one; nothing is stored for them alone."""
+        if self.fuzzy or "mentions" in self.__dict__:
+            return resolution.located(self.checked, self.mentions)
+        return resolution.located(self._found(checked=True))
+
     @cached_property
     def validated(self) -> DataFrame:
-        s = self.settings
-        texts = validation.chunk_texts(self.chunks.withColumn("row_pos", F.col("chunk_id")))
-        return validation.validated(validation.statuses(self.relations, texts, s.validate_case_insensitive, s.validate_max_relations, s.validate_max_provenances))
+        return validation.validated_rows(self.located, self.settings.validate_max_relations, self.settings.validate_max_provenances)
 
     @cached_property
     def nodes(self) -> DataFrame:
@@ -82,8 +107,8 @@ class Graph:
 
     @cached_property
     def edges(self) -> DataFrame:
-        s = self.settings
-        return graph.edges(graph.with_support(self.validated, s.graph_min_support_ratio, s.graph_accept_llm_supported), self.node_ids, s.graph_overwrite, s.graph_max_provenance)
+        s, ids = self.settings, self.checked and self.node_ids
+        return graph.edges(graph.with_support(self.validated, s.graph_min_support_ratio, s.graph_accept_llm_supported), ids, s.graph_overwrite, s.graph_max_provenance)
 
 
 def build(docs: DataFrame, settings: Settings = Settings(), extract: Callable[[DataFrame], DataFrame] = extraction.mentions_by_rule, entity_types: DataFrame | None = None, relation_types: DataFrame | None = None, fuzzy: bool = True) -> Graph:

@@ -394,7 +394,8 @@ def graph_edges_upsert_last(spark, sf_dir):
 @query(chain(7, "select * from first_edges"))
 def graph_edges_upsert_first(spark, sf_dir):
     g = plan(spark, sf_dir)
-    return flat(graph.edges(graph.with_support(g.validated), g.node_ids, overwrite=False))
+    ids = g.checked and g.node_ids
+    return flat(graph.edges(graph.with_support(g.validated), ids, overwrite=False))
 
 
 #: A graph that lacks the nodes that were mentioned only once.
@@ -410,7 +411,8 @@ def graph_dangling(spark, sf_dir):
 @query(chain(7, f", {SOME}, x as (select passes, source in (select global_id from picked) and target in (select global_id from picked) as ends_known from passing) select count(*) filter (passes and ends_known) as imported, count(*) filter (not passes) as skipped_support, count(*) filter (passes and not ends_known) as skipped_missing_nodes from x").replace(" , picked", ", picked"))
 def graph_counters(spark, sf_dir):
     g = plan(spark, sf_dir)
-    return graph.counters(graph.with_support(g.validated), g.nodes.where("mention_count > 1"))
+    nodes = g.checked and g.nodes
+    return graph.counters(graph.with_support(g.validated), nodes.where("mention_count > 1"))
 
 
 VERTICES = "marked as (select o_custkey as doc, o_orderkey % 4 as vertex, o_orderkey as pos, case when o_orderkey % 4 = 2 then ' ' else ' ' || o_orderpriority end as name from orders), canon as (select doc, vertex, arg_max(trim(name), n * 1000000000000::bigint - first) as name from (select doc, vertex, trim(name) as name, count(*) as n, min(pos) as first from marked where trim(name) <> '' group by all) group by doc, vertex)"

@@ -3,13 +3,14 @@
 import difflib
 
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from docweave import queries
 from docweave.functions import text as T
-from docweave.operators import chunking, completion, resolution
+from docweave.operators import chunking, completion, extraction, resolution, validation
 from docweave.plans import asking, graph_plan
 from docweave.sources.settings import Settings
 
@@ -124,3 +125,36 @@ def test_results_are_passed_on_before_they_are_many(monkeypatch):
 def test_tiled(segments, n):
     want = bool(segments) and sorted(x for a, b in segments for x in range(a, b)) == list(range(n)) and all(a < b for a, b in segments)
     assert not segments or chunking.tiled(segments, n) == want
+
+
+def test_support_is_counted_without_joins(spark, sf_dir):
+    """Evidence is looked for while a chunk's text is at hand; a document's rows meet in one exchange."""
+    plan = queries.QUERIES["support_ratio"](spark, sf_dir)._jdf.queryExecution().optimizedPlan()
+    assert "Join" not in plan.toString() and plan.toString().count("RepartitionByExpression") == 1
+
+
+ENTITY, RELATION = "struct<id:string,type:string,name:string,attributes:string,evidence:string>", "struct<source_id:string,type:string,target_id:string,evidence:string>"
+
+
+def odd_extractions(chunks):
+    """Equal and blank local ids, unknown ends, rows without either, evidence that is blank, null, spread over lines or missing."""
+    entity = lambda id_, name: F.struct(F.lit(id_).alias("id"), F.lit("T").alias("type"), F.lit(name).alias("name"), F.lit("{}").alias("attributes"), F.lit(None).cast("string").alias("evidence"))
+    relation = lambda s, t, o, e: F.struct(F.lit(s).alias("source_id"), F.lit(t).alias("type"), F.lit(o).alias("target_id"), F.lit(e).cast("string").alias("evidence"))
+    some = F.array(entity("", "Nobody"), entity("a", "Alpha"), entity(" b", "beta\tx"), entity("b", "Gamma"), entity("c", "ALPHA "), entity("d", "Alpha-"), entity("e", "alpha."))
+    pairs = F.array(*[relation(*r) for r in (("a", " r ", "b", "ALPHA  met"), ("c", "r", "b", None), ("a", "r", "b", " \n"), ("d", "r", "e", "no such"), ("e", "r", "d", "met\xa0Gamma"), ("a", " ", "b", "x"), ("a", "r", "z", "x"), (None, "r", "b", "x"))])
+    few = F.col("chunk_id") % 3
+    x = chunks.select("base", F.col("chunk_id").alias("row_pos"), F.when(few == 2, "none").otherwise(F.col("chunk_id").cast("string")).alias("chunk_id"))
+    return x.select("*", F.when(F.col("row_pos") % 5 == 4, F.array().cast(f"array<{ENTITY}>")).otherwise(some).alias("entities"), F.when(F.col("row_pos") % 7 == 6, F.array().cast(f"array<{RELATION}>")).otherwise(pairs).alias("relations"))
+
+
+@pytest.mark.parametrize(("fuzzy", "limits"), [(True, {}), (False, {"validate_case_insensitive": False, "validate_max_relations": 2, "validate_max_provenances": 1})])
+def test_support_found_on_the_way_is_that_of_statuses(spark, fuzzy, limits):
+    docs = spark.createDataFrame([("a", "Alpha \n met Gamma. " * 900), ("b", "Alpha met\n\nGamma"), (None, "Alpha met"), ("c", " "), ("d", None)], "base string, text string")
+    s = Settings(extract_strict=False, **limits)
+    for extract in (odd_extractions, extraction.mentions_by_rule):
+        g = graph_plan.build(docs, s, extract, fuzzy=fuzzy)
+        texts = validation.chunk_texts(g.chunks.withColumn("row_pos", F.col("chunk_id")))
+        want = validation.validated(validation.statuses(g.relations, texts, s.validate_case_insensitive, s.validate_max_relations, s.validate_max_provenances)).collect()
+        for now in (g.validated, graph_plan.build(docs, s, extract, fuzzy=fuzzy).validated):
+            assert sorted(now.collect(), key=str) == sorted(want, key=str) != []
+            assert now.columns == ["base", "source", "type", "target", "first_ord", "provenance", "validation"]
